@@ -269,6 +269,10 @@ def _daily(where: str) -> str:
     )
 
 
+_MONTHLY = f"""
+  SELECT CAST(date_trunc('month', ordered_at) AS DATE) AS order_month, tier, count(order_id) AS orders,
+         {count('qty')} AS tickets, {money('net_revenue')} AS net_revenue
+  FROM d_orders GROUP BY 1, 2"""
 _SEASON_DAYS = "order_date >= '1995-01-01' AND order_date < '2001-08-02'"
 _SEASON = """
   SELECT 'Summer season, ' || CASE WHEN strftime(f, '%Y-%m') = strftime(l, '%Y-%m')
@@ -354,17 +358,14 @@ _STATEMENTS = {
     # slices
     "daily_sales": _daily(_SEASON_DAYS),
     "daily_sales_one_day": _daily("order_date = '1996-03-04'"),
-    "daily_sales_rebuilt": _daily(_SEASON_DAYS),
     "slice_summary": f"""
         SELECT order_date, count(*) AS row_count, {money('net_revenue')} AS slice_net_revenue
         FROM ({_daily(_SEASON_DAYS)}) GROUP BY order_date""",
     "missing_slices": f"""
         SELECT CAST(unnest(generate_series(TIMESTAMP '1994-12-25', TIMESTAMP '2001-08-10', INTERVAL 1 DAY)) AS DATE) AS order_date
         EXCEPT SELECT CAST(order_date AS DATE) FROM d_orders""",
-    "monthly_sales": f"""
-        SELECT CAST(date_trunc('month', ordered_at) AS DATE) AS order_month, tier, count(order_id) AS orders,
-               {count('qty')} AS tickets, {money('net_revenue')} AS net_revenue
-        FROM d_orders GROUP BY 1, 2""",
+    "monthly_sales": _MONTHLY,
+    "monthly_sales_rebuilt": _MONTHLY,
     # document parts
     "event_results": "SELECT * FROM d_results",
     "event_attendance": "SELECT event_id AS id, tickets_sold AS kept, tickets_scanned AS scanned, show_up_rate AS show_up, no_shows FROM d_att",

@@ -268,12 +268,14 @@ def daily_sales_one_day(s: Season) -> DataFrame:
 
 
 @_query
-def daily_sales_rebuilt(s: Season) -> DataFrame:
-    """Slices as stored: an outdated first build, then the whole range rebuilt over it."""
-    path = fresh_path(s.spark, "daily_sales")
-    outdated = s.orders.withColumn("net_revenue", F.lit(0.0))
-    slices.rebuild_days(outdated, path, FIRST_DAY, "1995-03-01")
-    return slices.rebuild_days(s.orders, path, FIRST_DAY, END_DAY)
+def monthly_sales_rebuilt(s: Season) -> DataFrame:
+    """Slices as stored: an outdated first build, then all of them rebuilt over it."""
+    path = fresh_path(s.spark, "monthly_sales")
+    rows = settle(slices.monthly_sales(s.orders), "months")
+    outdated = rows.filter(F.col("order_month") < "1996-01-01").withColumn("orders", -F.col("orders"))
+    for build in (outdated, rows):
+        tables.replace_slices(build, path, "order_month", build.select("order_month").distinct())
+    return tables.read_slices(s.spark, path, rows.schema, "order_month")
 
 
 @_query
