@@ -6,7 +6,7 @@ Each takes a session and a folder and runs over the whole tables.
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagedoor import schemas
@@ -61,22 +61,25 @@ class Season:
             self.scans, self.orders, self.events, one_row_per_ticket=True
         )
 
-    def attendance_of_sales(self) -> DataFrame:
+    def attendance_from(self, rollup: DataFrame) -> DataFrame:
         return attendance.attendance_by_event(
-            self.scans, self.sales, self.events, one_row_per_ticket=True
+            self.scans, rollup, self.events, one_row_per_ticket=True
         )
 
     @cached_property
-    def capacity(self) -> int:
-        """The size of the house, a report setting; it follows the number of orders."""
-        return self.events.agg(F.max("capacity")).first()[0]
+    def capacity(self) -> Column:
+        """The size of the house, a report setting; here it follows the number of orders."""
+        return self.events.agg(F.max("capacity")).scalar()
 
     def marts(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Campaigns, revenue and attendance, written, all from one scan of the orders."""
+        """Campaigns, revenue and attendance, all from one scan of the orders.
+
+        The reports read revenue by three groupings, so that one is written too.
+        """
         return (
-            settle(attribution.campaign_performance(self.sales, self.campaigns), "performance"),
+            attribution.campaign_performance(self.sales, self.campaigns),
             settle(sales.revenue_by_tier(self.sales, self.events), "revenue"),
-            settle(self.attendance_of_sales(), "attendance"),
+            self.attendance_from(self.sales),
         )
 
     def results(self) -> DataFrame:
@@ -88,8 +91,8 @@ class Season:
 
     @cached_property
     def parts(self) -> payload.PayloadParts:
-        return payload.payload_parts(
-            self.orders, self.events, self.campaigns, self.attendance, self.settings
+        return payload.PayloadParts(
+            self.orders, self.events, self.campaigns, self.attendance_from, self.settings
         )
 
 
@@ -306,7 +309,7 @@ def event_results(s: Season) -> DataFrame:
 
 @_query
 def event_attendance(s: Season) -> DataFrame:
-    results = growth.event_results(s.events, s.sales, s.attendance_of_sales(), s.settings)
+    results = growth.event_results(s.events, s.orders, s.attendance, s.settings)
     return results.filter(F.col("attendance").isNotNull()).select("id", "attendance.*")
 
 
@@ -426,8 +429,7 @@ def derived_scalars(s: Season) -> DataFrame:
 
 @_query
 def season(s: Season) -> DataFrame:
-    results = growth.event_results(s.events, s.sales, s.attendance_of_sales(), s.settings)
-    return growth.season(settle(results, "results"), sales.daily_pacing(s.sales))
+    return s.parts.season
 
 
 @_query
@@ -439,7 +441,7 @@ def season_totals(s: Season) -> DataFrame:
 def payload_document(s: Season) -> DataFrame:
     """The document as JSON text, read back: figures from each of its sections."""
     row = payload.payload_row(s.parts)
-    text = payload.payload_json(s.parts)
+    text = payload.payload_json(row)
     read = text.select(F.from_json("document", row.schema).alias("d")).select("d.*")
 
     def added(array, field):
@@ -598,7 +600,7 @@ def changed_rows(s: Season) -> DataFrame:
 def payload_headline(s: Season) -> DataFrame:
     """The headline of an exported document."""
     path = fresh_path(s.spark, "document")
-    payload.payload_json(s.parts).write.text(path)
+    payload.payload_json(payload.payload_row(s.parts)).write.text(path)
     return s.spark.range(1).select(F.lit(files.payload_headline(s.spark, path)).alias("headline"))
 
 

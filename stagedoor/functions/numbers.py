@@ -19,8 +19,10 @@ def zero_if(condition: Column, value: Column) -> Column:
     return F.when(condition, zero).otherwise(value)
 
 
-def total(value: Column) -> Column:
-    """A count-like sum that is 0, not NULL, over no rows."""
+def total(value: Column | str) -> Column:
+    """A count-like sum that is 0, not NULL, over no rows. A string is a SQL expression."""
+    if isinstance(value, str):
+        return F.expr(f"CAST(COALESCE(SUM({value}), 0) AS BIGINT)")
     return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
 
 
@@ -28,12 +30,18 @@ def total(value: Column) -> Column:
 _STEPS = 10000.0
 
 
-def money_total(value: Column) -> Column:
+def money_total(value: Column | str) -> Column:
     """A sum of amounts that is 0.0 over no rows and does not depend on the order of the rows.
 
+    A string is a SQL expression.
+
     Whole steps add up exactly in a double, so partitioning and retries leave no trace in the last
     digits, for totals up to 9e11; beyond that it is an ordinary sum of doubles.
     """
+    if isinstance(value, str):
+        return F.expr(
+            f"COALESCE(SUM(RINT(CAST({value} AS DOUBLE) * {_STEPS}D)) / {_STEPS}D, 0D)"
+        )
     steps = F.sum(F.rint(value.cast("double") * _STEPS))
     return F.coalesce(steps / _STEPS, F.lit(0.0))
 

@@ -39,7 +39,7 @@ def attendance_by_event(
     """
     distinct = F.count("ticket_id") if one_row_per_ticket else F.count_distinct("ticket_id")
     sales = sales_measures(orders)
-    sold = sales.groupBy("event_id").agg(total(F.col("completed_tickets")).alias("tickets_sold"))
+    sold = sales.groupBy("event_id").agg(total("completed_tickets").alias("tickets_sold"))
     scanned = scans.groupBy("event_id").agg(distinct.alias("tickets_scanned"))
     return show_rate_by(
         events.select("event_id", "event_name", "event_date"),
@@ -52,10 +52,10 @@ def attendance_by_event(
 
 def attendance_totals(attendance: DataFrame) -> DataFrame:
     """One row: tickets kept, scanned and missing over all events, and the overall rate."""
-    kept, scanned = total(F.col("tickets_sold")), total(F.col("tickets_scanned"))
+    kept, scanned = total("tickets_sold"), total("tickets_scanned")
     return attendance.agg(
         kept.alias("attendance_kept"),
         scanned.alias("scanned"),
-        total(F.col("no_shows")).alias("no_shows"),
+        total("no_shows").alias("no_shows"),
         F.try_divide(scanned.cast("double"), kept).alias("overall_rate"),
     )

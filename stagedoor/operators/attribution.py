@@ -22,8 +22,8 @@ def code_totals(orders: DataFrame, *keep: str) -> DataFrame:
     return (
         sales_measures(orders, *keep)
         .groupBy("promo_code", *keep)
-        .agg(*[total(F.col(c)).alias(c) for c in ("orders", "order_rows", "tickets")],
-             money_total(F.col("net")).alias("net"))
+        .agg(*[total(c).alias(c) for c in ("orders", "order_rows", "tickets")],
+             money_total("net").alias("net"))
     )
 
 
@@ -102,9 +102,9 @@ def campaign_performance(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
         rows.unionByName(always)
         .groupBy(*columns, "promo_code", "copies")
         .agg(
-            total(F.col("orders")).alias("attributed_orders"),
-            total(F.col("tickets")).alias("tickets_sold"),
-            money_total(F.col("net")).alias("attributed_revenue"),
+            total("orders").alias("attributed_orders"),
+            total("tickets").alias("tickets_sold"),
+            money_total("net").alias("attributed_revenue"),
         )
     )
     sold, revenue, spend = F.col("tickets_sold"), F.col("attributed_revenue"), F.col("spend_usd")
@@ -159,10 +159,10 @@ def campaign_returns(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
         .select(F.inline(forms))
         .groupBy("code")
         .agg(
-            total(F.col("clean_orders")).alias("orders"),
-            total(F.col("clean_tickets")).alias("tickets"),
-            money_total(F.col("clean_net")).alias("net"),
-            money_total(F.col("recorded_net")).alias("net_dirty"),
+            total("clean_orders").alias("orders"),
+            total("clean_tickets").alias("tickets"),
+            money_total("clean_net").alias("net"),
+            money_total("recorded_net").alias("net_dirty"),
         )
     )
     spend, net = F.col("spend_usd"), F.coalesce("net", F.lit(0.0))
@@ -218,7 +218,7 @@ def unknown_codes(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
         .groupBy("promo_code")
         .agg(
             F.count("*").alias("order_rows"),
-            money_total(F.col("net_revenue")).alias("net"),
+            money_total("net_revenue").alias("net"),
             F.min(F.struct("ordered_at", "order_id")).alias("first_seen"),
         )
     )
@@ -310,7 +310,7 @@ def order_live_campaigns(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     per_day = (
         live_days(campaigns)
         .groupBy("day")
-        .agg(F.count("*").alias("live_campaigns"), money_total(F.col("spend_usd")).alias("live_spend"))
+        .agg(F.count("*").alias("live_campaigns"), money_total("spend_usd").alias("live_spend"))
     )
     return (
         orders.select("order_id", F.to_date("ordered_at").alias("day"))
@@ -332,9 +332,9 @@ def campaign_window_reach(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
         sales_measures(orders)
         .groupBy(F.col("order_date").cast("date").alias("day"))
         .agg(
-            total(F.col("order_rows")).alias("order_rows"),
-            total(F.col("tickets")).alias("tickets"),
-            money_total(F.col("net")).alias("net"),
+            total("order_rows").alias("order_rows"),
+            total("tickets").alias("tickets"),
+            money_total("net").alias("net"),
         )
     )
     return (
@@ -342,9 +342,9 @@ def campaign_window_reach(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
         .join(per_day, "day", "left")
         .groupBy("campaign_id")
         .agg(
-            total(F.col("order_rows")).alias("orders_while_live"),
-            total(F.col("tickets")).alias("tickets_while_live"),
-            money_total(F.col("net")).alias("net_while_live"),
+            total("order_rows").alias("orders_while_live"),
+            total("tickets").alias("tickets_while_live"),
+            money_total("net").alias("net_while_live"),
         )
     )
 
@@ -380,9 +380,9 @@ def fallback_attribution(orders: DataFrame, campaigns: DataFrame, second_key: st
         F.coalesce("code_campaign", "key_campaign", F.lit(UNATTRIBUTED)).alias("campaign_id"),
         matched_by.alias("matched_by"),
     ).agg(
-        total(F.col("order_rows")).alias("orders"),
-        total(F.col("tickets")).alias("tickets_sold"),
-        money_total(F.col("net")).alias("net"),
+        total("order_rows").alias("orders"),
+        total("tickets").alias("tickets_sold"),
+        money_total("net").alias("net"),
     )
 
 
@@ -392,9 +392,9 @@ def without_code_summary(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
         code_buckets(orders, campaigns)
         .groupBy("bucket")
         .agg(
-            total(F.col("order_rows")).alias("order_rows"),
-            total(F.col("tickets")).alias("tickets"),
-            money_total(F.col("net")).alias("net"),
+            total("order_rows").alias("order_rows"),
+            total("tickets").alias("tickets"),
+            money_total("net").alias("net"),
         )
     )
 
@@ -404,8 +404,8 @@ def attribution_check_counts(orders: DataFrame, campaigns: DataFrame) -> DataFra
     unknown = unknown_codes(orders, campaigns)
     return side_by_side(
         unknown.agg(
-            total(F.col("order_rows")).alias("unattributed_orders"),
-            money_total(F.col("net")).alias("unattributed_revenue"),
+            total("order_rows").alias("unattributed_orders"),
+            money_total("net").alias("unattributed_revenue"),
         ),
         code_samples(unknown),
     )

@@ -46,7 +46,7 @@ def orders_reference_known_events(orders: DataFrame, events: DataFrame) -> DataF
     """Every order belongs to an event of the roster. Orders are counted per event before the join."""
     per_event = orders.groupBy("event_id").agg(F.count("*").alias("rows"))
     counts = with_unknown_key(per_event, events, "event_id").agg(
-        total(F.col("rows")).alias("orders_with_unknown_event")
+        total("rows").alias("orders_with_unknown_event")
     )
     return _verdict(
         counts, "orders_reference_known_events", F.col("orders_with_unknown_event") == 0

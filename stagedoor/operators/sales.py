@@ -38,8 +38,8 @@ def sales_measures(orders: DataFrame, *keep: str) -> DataFrame:
 
 
 def measure_sums() -> list:
-    return [total(F.col(c)).alias(c) for c in COUNTS] + [
-        money_total(F.col(c)).alias(c) for c in AMOUNTS
+    return [total(c).alias(c) for c in COUNTS] + [
+        money_total(c).alias(c) for c in AMOUNTS
     ]
 
 
@@ -57,10 +57,10 @@ def revenue_by(sales: DataFrame, names: DataFrame, key: str, name: str, tier: st
         sales_measures(sales)
         .groupBy(key, tier)
         .agg(
-            total(F.col("tickets")).alias("tickets_sold"),
-            money_total(F.col("gross")).alias("gross_revenue"),
-            total(F.col("refunded_tickets")).alias("refunded_tickets"),
-            money_total(F.col("net")).alias("net_revenue"),
+            total("tickets").alias("tickets_sold"),
+            money_total("gross").alias("gross_revenue"),
+            total("refunded_tickets").alias("refunded_tickets"),
+            money_total("net").alias("net_revenue"),
         )
     )
     measures = ["tickets_sold", "gross_revenue", "refunded_tickets", "net_revenue"]
@@ -100,7 +100,7 @@ def daily_pacing(orders: DataFrame) -> DataFrame:
         sales_measures(orders)
         .filter(F.col("order_date").isNotNull())
         .groupBy(F.col("order_date").alias("date"))
-        .agg(money_total(F.col("net")).alias("net"), total(F.col("tickets")).alias("tickets"))
+        .agg(money_total("net").alias("net"), total("tickets").alias("tickets"))
     )
 
 
@@ -110,10 +110,10 @@ def launch_window(pacing: DataFrame, days: int = 4) -> DataFrame:
     return side_by_side(
         opening.agg(
             F.coalesce(F.min_by("net", "date"), F.lit(0.0)).alias("day_net"),
-            money_total(F.col("net")).alias("first4_net"),
+            money_total("net").alias("first4_net"),
         ),
         pacing.agg(
-            F.max("date").alias("last_order_date"), money_total(F.col("net")).alias("paced_net")
+            F.max("date").alias("last_order_date"), money_total("net").alias("paced_net")
         ),
     )
 

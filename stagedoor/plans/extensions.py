@@ -18,10 +18,10 @@ def settlement_by_venue(orders: DataFrame, venue: str = "venue_id") -> DataFrame
         sales_measures(orders, venue)
         .groupBy(venue, "tier")
         .agg(
-            total(F.col("tickets")).alias("tickets_sold"),
-            money_total(F.col("gross")).alias("gross_revenue"),
-            total(F.col("refunded_tickets")).alias("refunded_tickets"),
-            money_total(F.col("net")).alias("net_revenue"),
+            total("tickets").alias("tickets_sold"),
+            money_total("gross").alias("gross_revenue"),
+            total("refunded_tickets").alias("refunded_tickets"),
+            money_total("net").alias("net_revenue"),
         )
     )
     return with_grand_total(per_venue, [venue, "tier"], SETTLEMENT)
@@ -95,7 +95,7 @@ def pass_utilization(orders: DataFrame, scans: DataFrame) -> DataFrame:
     A ticket counts as used once, and only if its order owns it; owned ones need no fan-out, the
     quantity already counts them.
     """
-    owned = orders.groupBy("event_id").agg(total(F.col("qty")).alias("owned"))
+    owned = orders.groupBy("event_id").agg(total("qty").alias("owned"))
     tickets = scans.select(
         "order_id", ticket_number(F.col("ticket_id")).alias("number")
     ).distinct()
@@ -126,8 +126,8 @@ def campaign_quality(joins: DataFrame, registrations: DataFrame, campaigns: Data
         registered.join(came, "order_id", "left")
         .groupBy("promo_code")
         .agg(
-            total(F.col("qty")).alias("registered"),
-            total(F.col("attendees")).alias("attendees"),
+            total("qty").alias("registered"),
+            total("attendees").alias("attendees"),
         )
     )
     zero = F.lit(0).cast("bigint")
@@ -144,7 +144,7 @@ def campaign_quality(joins: DataFrame, registrations: DataFrame, campaigns: Data
 def revenue_by_sku(merch: DataFrame) -> DataFrame:
     """Units and revenue per event and article, with a grand total."""
     per_sku = merch.groupBy("event_id", "sku").agg(
-        total(F.col("units")).alias("units"), money_total(F.col("revenue")).alias("revenue")
+        total("units").alias("units"), money_total("revenue").alias("revenue")
     )
     return with_grand_total(per_sku, ["event_id", "sku"], ["units", "revenue"])
 
@@ -152,7 +152,7 @@ def revenue_by_sku(merch: DataFrame) -> DataFrame:
 def merch_per_attendee(merch: DataFrame, attendance: DataFrame) -> DataFrame:
     """Merch revenue and units per person who came."""
     per_event = merch.groupBy("event_id").agg(
-        total(F.col("units")).alias("units"), money_total(F.col("revenue")).alias("revenue")
+        total("units").alias("units"), money_total("revenue").alias("revenue")
     )
     came = F.col("tickets_scanned")
     return attendance.join(per_event, "event_id", "left").select(

@@ -33,10 +33,10 @@ def event_results(
         return F.when(F.col("tier") == tier, F.col(column))
 
     sold = sales.groupBy("event_id").agg(
-        total(F.col("tickets")).alias("sold"),
-        money_total(F.col("gross")).alias("gross"),
-        money_total(F.col("net")).alias("net"),
-        total(F.col("refunded_tickets")).alias("refunded_tickets"),
+        total("tickets").alias("sold"),
+        money_total("gross").alias("gross"),
+        money_total("net").alias("net"),
+        total("refunded_tickets").alias("refunded_tickets"),
         *[total(of_tier(t, "tickets")).alias(f"sold_{i}") for i, t in enumerate(tiers)],
         *[money_total(of_tier(t, "net")).alias(f"net_{i}") for i, t in enumerate(tiers)],
     )
@@ -102,20 +102,23 @@ def events_by_net(results: DataFrame) -> DataFrame:
     return results.orderBy(F.desc("net"), "id")
 
 
-def season_totals(
-    orders: DataFrame,
-    events: DataFrame,
-    campaigns: DataFrame,
-    attendance: DataFrame,
-    returns: DataFrame,
-) -> DataFrame:
-    """One row: sales, seats, attendance, marketing and the ratios between them."""
+def season_totals(orders: DataFrame, results: DataFrame, returns: DataFrame) -> DataFrame:
+    """One row: sales, seats, attendance, marketing and the ratios between them.
+
+    Sales are those of all orders, also of unknown events; seats and attendance come from the
+    event results, marketing from the campaign returns.
+    """
+    attendance = results.select("attendance.*").select(
+        F.col("kept").alias("tickets_sold"), F.col("scanned").alias("tickets_scanned"), "no_shows"
+    )
     sums = side_by_side(
         sales_totals(orders),
-        events.agg(total(F.col("capacity")).alias("seats_total")),
-        campaigns.agg(money_total(F.col("spend_usd")).alias("marketing_spend")),
+        results.agg(total("capacity").alias("seats_total")),
         attendance_totals(attendance),
-        returns.agg(money_total(F.col("net")).alias("attributed_net_clean")),
+        returns.agg(
+            money_total("spend").alias("marketing_spend"),
+            money_total("net").alias("attributed_net_clean"),
+        ),
     )
 
     def rate(top, bottom):
@@ -234,8 +237,8 @@ def median_return(returns: DataFrame) -> DataFrame:
 
 
 def _weighted_return() -> Column:
-    spend = money_total(F.col("spend"))
-    return F.when(spend > 0, money_total(F.col("net")) / spend).otherwise(F.lit(0.0))
+    spend = money_total("spend")
+    return F.when(spend > 0, money_total("net") / spend).otherwise(F.lit(0.0))
 
 
 def weakest_campaigns(returns: DataFrame, rows: int = 2) -> DataFrame:

@@ -4,7 +4,8 @@ The arrays hold one element per event, campaign and day. The orders behind them
 into a written roll-up, and all parts are computed from that.
 """
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,48 +20,74 @@ from stagedoor.session import settle
 LISTS = ["events", "daily", "campaigns"]
 
 
-@dataclass(frozen=True)
 class PayloadParts:
-    """The parts of the document as tables: one row each but for the three lists."""
-
-    season: DataFrame
-    goal: DataFrame
-    totals: DataFrame
-    attribution: DataFrame
-    derived: DataFrame
-    events: DataFrame
-    daily: DataFrame
-    campaigns: DataFrame
-    levers: dict[str, DataFrame]
-
-
-def payload_parts(
-    orders: DataFrame,
-    events: DataFrame,
-    campaigns: DataFrame,
-    attendance: DataFrame,
-    settings: PlanSettings | None = None,
-) -> PayloadParts:
-    settings = settings or PlanSettings()
-    sales = settle(sales_rollup(orders), "sales")
-    attendance = settle(attendance, "attendance")
-    results = settle(growth.event_results(events, sales, attendance, settings), "results")
-    pacing = settle(daily_pacing(sales), "pacing")
-    returns = settle(campaign_returns(sales, campaigns), "returns")
-    totals = settle(
-        growth.season_totals(sales, events, campaigns, attendance, returns), "totals"
-    )
-    return PayloadParts(
-        season=growth.season(results, pacing),
-        goal=growth.goal(totals, settings),
-        totals=totals.drop("no_shows"),
-        attribution=attribution_summary(sales, campaigns),
-        derived=growth.derived_scalars(results, returns, pacing, totals, settings),
-        events=results,
-        daily=pacing,
-        campaigns=returns,
-        levers=growth.growth_levers(results, returns, totals, settings),
-    )
+    """The parts of the document as tables: one row each but for the three lists.
+
+    Each is built when asked for; what several parts read is written once.
+    """
+
+    def __init__(
+        self,
+        orders: DataFrame,
+        events: DataFrame,
+        campaigns: DataFrame,
+        attendance_of: Callable[[DataFrame], DataFrame],
+        settings: PlanSettings | None = None,
+    ):
+        """``attendance_of`` gives the attendance table, from the roll-up it is handed."""
+        self._orders, self._roster, self._campaigns = orders, events, campaigns
+        self._attendance_of = attendance_of
+        self.settings = settings or PlanSettings()
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        if "order_rows" in self._orders.columns:
+            return self._orders
+        return settle(sales_rollup(self._orders), "sales")
+
+    @cached_property
+    def events(self) -> DataFrame:
+        attendance = self._attendance_of(self.sales)
+        results = growth.event_results(self._roster, self.sales, attendance, self.settings)
+        return settle(results, "results")
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return settle(daily_pacing(self.sales), "pacing")
+
+    @cached_property
+    def campaigns(self) -> DataFrame:
+        return settle(campaign_returns(self.sales, self._campaigns), "returns")
+
+    @cached_property
+    def _totals(self) -> DataFrame:
+        return settle(growth.season_totals(self.sales, self.events, self.campaigns), "totals")
+
+    @property
+    def totals(self) -> DataFrame:
+        return self._totals.drop("no_shows")
+
+    @property
+    def season(self) -> DataFrame:
+        return growth.season(self.events, self.daily)
+
+    @property
+    def goal(self) -> DataFrame:
+        return growth.goal(self._totals, self.settings)
+
+    @property
+    def attribution(self) -> DataFrame:
+        return attribution_summary(self.sales, self._campaigns)
+
+    @property
+    def derived(self) -> DataFrame:
+        return growth.derived_scalars(
+            self.events, self.campaigns, self.daily, self._totals, self.settings
+        )
+
+    @property
+    def levers(self) -> dict[str, DataFrame]:
+        return growth.growth_levers(self.events, self.campaigns, self._totals, self.settings)
 
 
 def _nested(table: DataFrame, name: str) -> DataFrame:
@@ -82,8 +109,8 @@ def _listed(table: DataFrame, name: str, *order) -> DataFrame:
 
 def payload_row(parts: PayloadParts) -> DataFrame:
     """The whole document as one row of structs and arrays, levers as one struct per key."""
-    levers = [_nested(lever, f"lever_{key}") for key, lever in parts.levers.items()]
-    amounts = growth.lever_amounts(parts.levers)
+    levers = parts.levers
+    amounts = growth.lever_amounts(levers)
     return side_by_side(
         _nested(parts.season, "season"),
         _nested(parts.goal, "goal"),
@@ -93,14 +120,13 @@ def payload_row(parts: PayloadParts) -> DataFrame:
         _listed(parts.events, "events", F.col("id")),
         _listed(parts.daily, "daily", F.col("date")),
         _listed(parts.campaigns, "campaigns", -F.col("rpd"), F.col("id")),
-        *levers,
+        *[_nested(lever, f"lever_{key}") for key, lever in levers.items()],
         amounts.agg(F.sum("amount").alias("levers_total")),
     )
 
 
-def payload_json(parts: PayloadParts) -> DataFrame:
+def payload_json(row: DataFrame) -> DataFrame:
     """One row: the document as JSON text, missing values written as null."""
-    row = payload_row(parts)
     return row.select(
         F.to_json(F.struct(*row.columns), {"ignoreNullFields": "false"}).alias("document")
     )

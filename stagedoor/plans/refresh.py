@@ -15,7 +15,7 @@ from stagedoor.operators.attendance import attendance_by_event, attendance_total
 from stagedoor.operators.attribution import campaign_performance, real_campaigns
 from stagedoor.operators.sales import revenue_by_tier, sales_rollup
 from stagedoor.operators.staging import observed_scans, stg_campaigns, stg_events, stg_orders
-from stagedoor.plans.payload import payload_parts
+from stagedoor.plans.payload import PayloadParts
 from stagedoor.plans.report import box_office_report
 from stagedoor.plans.settings import VENUE_CAPACITY, PlanSettings
 from stagedoor.sinks.documents import export_document
@@ -140,7 +140,9 @@ def _admissions(spark: SparkSession, run: Refresh, sources: Sources, targets: Ta
     )
     run.write(report, house, "box_office_report")
     if targets.report_dir:
-        parts = payload_parts(sales, events, stored("stg_campaigns"), attendance, targets.settings)
+        parts = PayloadParts(
+            sales, events, stored("stg_campaigns"), lambda _sales: attendance, targets.settings
+        )
         export_document(parts, targets.report_dir)
         run.note("document", net_revenue=parts.totals.first().net)
 

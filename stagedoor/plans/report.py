@@ -1,6 +1,6 @@
 """The executive one-pager: eight KPIs and a short summary over the three marts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagedoor.functions.numbers import money_total, total
@@ -14,11 +14,11 @@ def headline_numbers(
     performance: DataFrame,
     revenue: DataFrame,
     attendance: DataFrame,
-    capacity: int = VENUE_CAPACITY,
+    capacity: int | Column = VENUE_CAPACITY,
 ) -> DataFrame:
     """One row with the unformatted KPIs. Ties go to the name or id that sorts first."""
     tiers = revenue.filter(F.col("event_name") != "TOTAL")
-    by_tier = tiers.groupBy("tier").agg(money_total(F.col("net_revenue")).alias("net"))
+    by_tier = tiers.groupBy("tier").agg(money_total("net_revenue").alias("net"))
     sold_out = (
         tiers.groupBy("event_name")
         .agg(F.sum("tickets_sold").alias("sold"))
@@ -29,8 +29,8 @@ def headline_numbers(
     worst = F.struct(F.col("event_name").alias("name"), rate.alias("rate"))
     return side_by_side(
         tiers.agg(
-            money_total(F.col("net_revenue")).alias("total_net"),
-            total(F.col("tickets_sold")).alias("tickets_sold"),
+            money_total("net_revenue").alias("total_net"),
+            total("tickets_sold").alias("tickets_sold"),
         ),
         by_tier.agg(first_row_by(F.col("tier"), -F.col("net"), F.col("tier")).alias("top_tier")),
         sold_out.agg(joined_or_none(F.collect_list("event_name")).alias("sellouts")),
@@ -53,7 +53,7 @@ def box_office_report(
     performance: DataFrame,
     revenue: DataFrame,
     attendance: DataFrame,
-    capacity: int = VENUE_CAPACITY,
+    capacity: int | Column = VENUE_CAPACITY,
 ) -> DataFrame:
     """Eight rows: metric and its value as shown."""
     numbers = headline_numbers(performance, revenue, attendance, capacity)
@@ -91,7 +91,7 @@ def executive_summary(
     revenue: DataFrame,
     attendance: DataFrame,
     title: str,
-    capacity: int = VENUE_CAPACITY,
+    capacity: int | Column = VENUE_CAPACITY,
 ) -> DataFrame:
     """One row: the opening sentence of the one-pager."""
     text = F.concat(

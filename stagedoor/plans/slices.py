@@ -27,9 +27,9 @@ def sales_by(orders: DataFrame, key: Column, name: str) -> DataFrame:
         .filter(key.isNotNull() & F.col("tier").isNotNull())
         .groupBy(key.alias(name), "tier")
         .agg(
-            total(F.col("orders")).alias("orders"),
-            total(F.col("tickets")).alias("tickets"),
-            money_total(F.col("net")).alias("net_revenue"),
+            total("orders").alias("orders"),
+            total("tickets").alias("tickets"),
+            money_total("net").alias("net_revenue"),
         )
     )
 
@@ -63,7 +63,7 @@ def monthly_sales(orders: DataFrame) -> DataFrame:
 def slice_summary(slices: DataFrame, key: str = "order_date") -> DataFrame:
     """Rows and net revenue per slice."""
     return slices.groupBy(key).agg(
-        F.count("*").alias("row_count"), money_total(F.col("net_revenue")).alias("slice_net_revenue")
+        F.count("*").alias("row_count"), money_total("net_revenue").alias("slice_net_revenue")
     )
 
 

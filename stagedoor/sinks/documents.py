@@ -3,7 +3,7 @@
 import json
 from pathlib import Path
 
-from stagedoor.plans.payload import LISTS, PayloadParts, payload_json
+from stagedoor.plans.payload import LISTS, PayloadParts, payload_json, payload_row
 
 # The variable and note of the script twin of the document.
 SCRIPT_NOTE = "// Written by the document export; edits are lost on the next run.\n"
@@ -17,7 +17,7 @@ def document(parts: PayloadParts) -> dict:
 
     One row comes to the driver. The four levers, whose details differ, become one list here.
     """
-    row = json.loads(payload_json(parts).first().document)
+    row = json.loads(payload_json(payload_row(parts)).first().document)
     levers = [row.pop(f"lever_{key}") for key in parts.levers]
     total = row.pop("levers_total")
     return {**row, "levers": levers, "levers_total": total}

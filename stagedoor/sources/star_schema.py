@@ -5,8 +5,6 @@ gate scans. The expressions give every cleaning and matching rule some rows: cod
 case, with spaces, unknown or missing; rows with no quantity; refunds; duplicate and orphan scans.
 """
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +24,15 @@ def plan_settings() -> PlanSettings:
     return PlanSettings(tier_caps=tier_caps(), premium_tier=TIERS[0], balcony_tier=TIERS[1])
 
 
-@dataclass(frozen=True)
 class StarSchema:
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def raw_campaigns(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
