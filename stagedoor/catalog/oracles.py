@@ -369,7 +369,7 @@ _STATEMENTS = {
     # document parts
     "event_results": "SELECT * FROM d_results",
     "event_attendance": "SELECT event_id AS id, tickets_sold AS kept, tickets_scanned AS scanned, show_up_rate AS show_up, no_shows FROM d_att",
-    "events_by_net": "SELECT id, name, net, CAST(row_number() OVER (ORDER BY net DESC, id) AS BIGINT) AS place FROM d_results",
+    "events_by_net": "SELECT id, name, net FROM d_results ORDER BY net DESC, id",
     "tier_matrix": "SELECT id, tier, sold, cap, net FROM d_matrix",
     "tier_totals": f"SELECT tier, {count('sold')} AS sold, {money('net')} AS net FROM d_matrix GROUP BY tier",
     "daily_pacing": "SELECT * FROM d_pacing",

@@ -315,12 +315,7 @@ def event_attendance(s: Season) -> DataFrame:
 
 @_query
 def events_by_net(s: Season) -> DataFrame:
-    ordered = growth.events_by_net(s.results()).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("net")).alias("at"), "id", "name", "net"))).alias("rows")
-    )
-    return ordered.select(F.posexplode("rows").alias("place", "e")).select(
-        "e.id", "e.name", "e.net", (F.col("place") + 1).cast("bigint").alias("place")
-    )
+    return growth.events_by_net(s.results()).select("id", "name", "net")
 
 
 @_query

@@ -12,6 +12,7 @@ from stagedoor.functions.numbers import money_total, ratio_or_null, total
 from stagedoor.functions.text import normalize_code, quoted
 from stagedoor.operators.relational import side_by_side
 from stagedoor.operators.sales import sales_measures
+from stagedoor.session import settle
 
 UNATTRIBUTED, ORGANIC = "(unattributed)", "(organic)"
 CAMPAIGN_PREFIX = "CMP-"
@@ -401,7 +402,7 @@ def without_code_summary(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
 
 def attribution_check_counts(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One row: unattributed orders, their net and sample codes."""
-    unknown = unknown_codes(orders, campaigns)
+    unknown = settle(unknown_codes(orders, campaigns), "unknown-codes")
     return side_by_side(
         unknown.agg(
             total("order_rows").alias("unattributed_orders"),

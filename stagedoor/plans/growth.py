@@ -17,6 +17,9 @@ from stagedoor.operators.sales import launch_window, sales_measures, sales_total
 from stagedoor.plans.settings import PlanSettings
 
 
+_ATTENDANCE = "struct<kept: bigint, scanned: bigint, show_up: double, no_shows: bigint>"
+
+
 def event_results(
     events: DataFrame, orders: DataFrame, attendance: DataFrame | None, settings: PlanSettings
 ) -> DataFrame:
@@ -40,17 +43,19 @@ def event_results(
         *[total(of_tier(t, "tickets")).alias(f"sold_{i}") for i, t in enumerate(tiers)],
         *[money_total(of_tier(t, "net")).alias(f"net_{i}") for i, t in enumerate(tiers)],
     )
+    joined = events.join(sold, "event_id", "left")
     if attendance is None:
-        attendance = _no_attendance(events)
-    came = attendance.select(
-        "event_id",
-        F.struct(
+        joined = joined.withColumn("attendance", F.lit(None).cast(_ATTENDANCE))
+    else:
+        came = F.struct(
             F.col("tickets_sold").alias("kept"),
             F.col("tickets_scanned").alias("scanned"),
             F.col("show_up_rate").alias("show_up"),
             "no_shows",
-        ).alias("attendance"),
-    )
+        )
+        joined = joined.join(
+            attendance.select("event_id", came.alias("attendance")), "event_id", "left"
+        )
     no_count, no_money = F.lit(0).cast("bigint"), F.lit(0.0)
     entries = []
     for i, (tier, cap) in enumerate(settings.tier_caps.items()):
@@ -65,32 +70,23 @@ def event_results(
         ]
     tickets = F.coalesce("sold", no_count)
     gross, net = F.coalesce("gross", no_money), F.coalesce("net", no_money)
-    return (
-        events.join(sold, "event_id", "left")
-        .join(came, "event_id", "left")
-        .select(
-            F.col("event_id").alias("id"),
-            F.col("event_name").alias("name"),
-            "genre",
-            day_text(F.col("event_date")).alias("date"),
-            "capacity",
-            tickets.alias("sold"),
-            F.try_divide(tickets.cast("double"), F.col("capacity")).alias("sell_through"),
-            gross.alias("gross"),
-            net.alias("net"),
-            (gross - net).alias("refunded_rev"),
-            F.coalesce("refunded_tickets", no_count).alias("refunded_tickets"),
-            F.create_map(*entries).alias("tiers"),
-            "attendance",
-        )
+    return joined.select(
+        F.col("event_id").alias("id"),
+        F.col("event_name").alias("name"),
+        "genre",
+        day_text(F.col("event_date")).alias("date"),
+        "capacity",
+        tickets.alias("sold"),
+        F.try_divide(tickets.cast("double"), F.col("capacity")).alias("sell_through"),
+        gross.alias("gross"),
+        net.alias("net"),
+        (gross - net).alias("refunded_rev"),
+        F.coalesce("refunded_tickets", no_count).alias("refunded_tickets"),
+        F.create_map(*entries).alias("tiers"),
+        "attendance",
     )
 
 
-def _no_attendance(events: DataFrame) -> DataFrame:
-    columns = "event_id string, tickets_sold bigint, tickets_scanned bigint, show_up_rate double"
-    return events.sparkSession.createDataFrame([], f"{columns}, no_shows bigint")
-
-
 def tier_matrix(results: DataFrame) -> DataFrame:
     """Every event with every tier: sold, cap and net, zero where nothing was sold."""
     return results.select("id", F.explode("tiers").alias("tier", "figures")).select(

@@ -18,6 +18,7 @@ from stagedoor.plans.settings import PlanSettings
 from stagedoor.session import settle
 
 LISTS = ["events", "daily", "campaigns"]
+MOST_LIST_ROWS = 100_000
 
 
 class PayloadParts:
@@ -107,8 +108,19 @@ def _listed(table: DataFrame, name: str, *order) -> DataFrame:
     return table.agg(F.transform(ordered, lambda item: item["row"]).alias(name))
 
 
+def fits_one_document(parts: PayloadParts) -> bool:
+    """Whether every list is short enough to travel as one row."""
+    sizes = [getattr(parts, name).limit(MOST_LIST_ROWS + 1).count() for name in LISTS]
+    return max(sizes) <= MOST_LIST_ROWS
+
+
 def payload_row(parts: PayloadParts) -> DataFrame:
-    """The whole document as one row of structs and arrays, levers as one struct per key."""
+    """The whole document as one row of structs and arrays, levers as one struct per key.
+
+    Refuses lists too long for one row; ``export_sections`` writes those, whole, in parallel.
+    """
+    if not fits_one_document(parts):
+        raise ValueError(f"a list has more than {MOST_LIST_ROWS} rows; export sections instead")
     levers = parts.levers
     amounts = growth.lever_amounts(levers)
     return side_by_side(

@@ -3,15 +3,12 @@
 import json
 from pathlib import Path
 
-from stagedoor.plans.payload import LISTS, PayloadParts, payload_json, payload_row
+from stagedoor.plans.payload import PayloadParts, fits_one_document, payload_json, payload_row
 
 # The variable and note of the script twin of the document.
 SCRIPT_NOTE = "// Written by the document export; edits are lost on the next run.\n"
 SCRIPT_VARIABLE = "window.BOXOFFICE_DATA"
 
-MOST_LIST_ROWS = 100_000
-
-
 def document(parts: PayloadParts) -> dict:
     """The document as nested Python values, sections and keys in publishing order.
 
@@ -23,12 +20,6 @@ def document(parts: PayloadParts) -> dict:
     return {**row, "levers": levers, "levers_total": total}
 
 
-def fits_one_document(parts: PayloadParts) -> bool:
-    """Whether every list is short enough to travel as one row."""
-    sizes = [getattr(parts, name).limit(MOST_LIST_ROWS + 1).count() for name in LISTS]
-    return max(sizes) <= MOST_LIST_ROWS
-
-
 def export_document(parts: PayloadParts, out_dir: str) -> list[str]:
     """Write ``data.json`` and its script twin; the same input gives the same bytes.
 

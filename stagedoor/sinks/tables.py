@@ -27,7 +27,8 @@ def replace_slices(df: DataFrame, path: str, key: str, requested: DataFrame) ->
 
     Other slices stay. One write covers all slices; dynamic overwrite leaves a slice alone for
     which no row comes, so requested slices that exist but got no rows are emptied afterwards.
-    Their number is that of the requested slices, a calendar range or a list of venues.
+    Their number is that of the requested slices, a calendar range or a list of venues. Rows are
+    gathered by slice so that a slice gets few files; a slice far larger than the others is split.
     """
     spark = df.sparkSession
     rows = settle(df.join(requested.select(key), key, "left_semi"), "slices")
@@ -35,7 +36,7 @@ def replace_slices(df: DataFrame, path: str, key: str, requested: DataFrame) ->
     if before is not None:
         before = settle(before, "slice-keys")
     (
-        rows.repartition(key)
+        rows.hint("rebalance", F.col(key))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)

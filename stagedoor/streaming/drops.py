@@ -50,7 +50,7 @@ def newer_files(names: DataFrame, after: str) -> DataFrame:
 
 
 def _log(names: DataFrame, state_dir: str, batch_id: int) -> None:
-    names.select("file_name").coalesce(1).write.mode("overwrite").parquet(
+    names.select("file_name").write.mode("overwrite").parquet(
         f"{state_dir}/drops/batch_id={batch_id}"
     )
 
