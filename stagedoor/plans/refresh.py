@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagedoor import schemas
-from stagedoor.operators import checks
+from stagedoor.operators import checks as quality
 from stagedoor.operators.attendance import attendance_by_event, attendance_totals
 from stagedoor.operators.attribution import campaign_performance, real_campaigns
 from stagedoor.operators.sales import revenue_by_tier, sales_rollup
@@ -46,7 +46,7 @@ class Refresh:
     """What a run wrote: metrics per table and the outcome of its checks."""
 
     metrics: dict[str, dict[str, float | str]] = field(default_factory=dict)
-    checks: list[checks.CheckResult] = field(default_factory=list)
+    checks: list[quality.CheckResult] = field(default_factory=list)
 
     def write(self, df: DataFrame, warehouse: str, name: str) -> DataFrame:
         table, rows = write_observed(df, warehouse, name)
@@ -82,8 +82,8 @@ def refresh_all(spark: SparkSession, sources: Sources, targets: Targets) -> Refr
     events = run.write(stg_events(raw_events), house, "stg_events")
     orders = run.write(stg_orders(raw_orders, targets.normalize_codes), house, "stg_orders")
     run.note("stg_orders", refunded_orders=orders.filter("status = 'refunded'").count())
-    run.checks += checks.gate(
-        checks.order_amounts_valid(orders), checks.orders_reference_known_events(orders, events)
+    run.checks += quality.gate(
+        quality.order_amounts_valid(orders), quality.orders_reference_known_events(orders, events)
     )
     sales = write_table(sales_rollup(orders), house, ROLLUP)
     performance = run.write(campaign_performance(sales, campaigns), house, "campaign_performance")
@@ -92,7 +92,7 @@ def refresh_all(spark: SparkSession, sources: Sources, targets: Targets) -> Refr
     revenue = run.write(revenue_by_tier(sales, events), house, "revenue_by_tier")
     whole = revenue.filter(F.col("event_name") == "TOTAL").first()
     run.note("revenue_by_tier", total_net_revenue=whole.net_revenue)
-    run.checks += checks.gate(checks.all_promo_orders_attributed(orders, campaigns))
+    run.checks += quality.gate(quality.all_promo_orders_attributed(orders, campaigns))
     _admissions(spark, run, sources, targets)
     _append_metrics(spark, run, house)
     return run
@@ -134,7 +134,7 @@ def _admissions(spark: SparkSession, run: Refresh, sources: Sources, targets: Ta
     )
     overall = attendance_totals(attendance).first().overall_rate
     run.note("attendance_by_event", overall_show_up_rate=overall)
-    run.checks += checks.gate(checks.show_up_rate_in_bounds(attendance))
+    run.checks += quality.gate(quality.show_up_rate_in_bounds(attendance))
     report = box_office_report(
         stored("campaign_performance"), stored("revenue_by_tier"), attendance, targets.capacity
     )
