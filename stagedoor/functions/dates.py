@@ -1,13 +1,30 @@
 """Date columns."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SEASON_PREFIX = "Summer season"
 
 
 def day_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd")
+    """The day as ``yyyy-MM-dd``."""
+    return moment.cast("date").cast("string")
+
+
+def parsed(df: DataFrame, name: str) -> Column:
+    """A time column: text is parsed, a column that is a time already stays as it is.
+
+    Leaving it bare lets comparisons with it reach the file scan.
+    """
+    column = F.col(name)
+    return F.to_timestamp(column) if isinstance(df.schema[name].dataType, StringType) else column
+
+
+def within(df: DataFrame, name: str, first: str, end: str) -> Column:
+    """From the day ``first`` on, before the day ``end``, compared in the column's own type."""
+    kind, column = df.schema[name].dataType, F.col(name)
+    return (column >= F.lit(first).cast(kind)) & (column < F.lit(end).cast(kind))
 
 
 def season_label(first: Column, last: Column) -> Column:

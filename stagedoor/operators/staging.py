@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stagedoor.functions.dates import day_text
+from stagedoor.functions.dates import day_text, parsed
 from stagedoor.functions.text import blank_to_null, normalize_code
 from stagedoor.operators.relational import keep_first, side_by_side, with_known_key
 
@@ -15,8 +15,8 @@ SHOW_STARTS = "INTERVAL 20 HOURS"
 def stg_campaigns(raw_campaigns: DataFrame) -> DataFrame:
     return raw_campaigns.withColumns(
         {
-            "starts_on": F.to_timestamp("starts_on"),
-            "ends_on": F.to_timestamp("ends_on"),
+            "starts_on": parsed(raw_campaigns, "starts_on"),
+            "ends_on": parsed(raw_campaigns, "ends_on"),
             "spend_usd": F.col("spend_usd").cast("double"),
             "promo_code": blank_to_null(F.col("promo_code")),
         }
@@ -24,7 +24,7 @@ def stg_campaigns(raw_campaigns: DataFrame) -> DataFrame:
 
 
 def stg_events(raw_events: DataFrame) -> DataFrame:
-    date = F.to_timestamp("event_date")
+    date = parsed(raw_events, "event_date")
     return raw_events.withColumns(
         {
             "event_date": date,
@@ -43,7 +43,7 @@ def stg_orders(raw_orders: DataFrame, normalize: bool = False) -> DataFrame:
     gross = F.col("qty") * F.col("unit_price_usd")
     refunded = F.col("status").eqNullSafe("refunded")
     code = F.col("promo_code")
-    ordered_at = F.to_timestamp("ordered_at")
+    ordered_at = parsed(raw_orders, "ordered_at")
     return raw_orders.filter((F.col("qty") > 0) & (F.col("unit_price_usd") > 0)).withColumns(
         {
             "ordered_at": ordered_at,
@@ -67,7 +67,7 @@ class ScanStages:
 def scan_stages(
     raw_scans: DataFrame, orders: DataFrame, person_keys: tuple[str, ...] = ("ticket_id",)
 ) -> ScanStages:
-    typed = raw_scans.withColumn("scanned_at", F.to_timestamp("scanned_at"))
+    typed = raw_scans.withColumn("scanned_at", parsed(raw_scans, "scanned_at"))
     first = keep_first(typed, list(person_keys), ["scanned_at", "scan_id"])
     return ScanStages(typed, first, with_known_key(first, orders, "order_id"))
 
@@ -103,7 +103,7 @@ def observed_scans(raw_scans: DataFrame, orders: DataFrame) -> tuple[DataFrame,
     """The staged scans, with row counts taken at every step while they are written."""
     marks = {name: Observation(name) for name in ("scans_read", "scans_first", "scans_kept")}
     count = F.count(F.lit(1)).alias("rows")
-    typed = raw_scans.withColumn("scanned_at", F.to_timestamp("scanned_at")).observe(
+    typed = raw_scans.withColumn("scanned_at", parsed(raw_scans, "scanned_at")).observe(
         marks["scans_read"], count
     )
     first = keep_first(typed, ["ticket_id"], ["scanned_at", "scan_id"]).observe(

@@ -1,8 +1,11 @@
 """Sales by slice: days of a bounded calendar, months, venues."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagedoor.functions.dates import within
 from stagedoor.functions.numbers import money_total, total
 from stagedoor.operators.sales import sales_measures
 from stagedoor.schemas import DAILY_SALES
@@ -34,11 +37,15 @@ def sales_by(orders: DataFrame, key: Column, name: str) -> DataFrame:
     )
 
 
+def _time_column(orders: DataFrame) -> str:
+    """The recorded time where there is one, as scans can filter on it; a roll-up has the day."""
+    return "ordered_at" if "ordered_at" in orders.columns else "order_date"
+
+
 def daily_sales(orders: DataFrame, first: str = FIRST_DAY, end: str = END_DAY) -> DataFrame:
     """All day slices of the range in one aggregation; other days have no slice."""
-    day = F.col("order_date")
-    inside = orders.filter((day >= first) & (day < end))
-    return sales_by(inside, day, "order_date").select(
+    inside = orders.filter(within(orders, _time_column(orders), first, end))
+    return sales_by(inside, F.col("order_date"), "order_date").select(
         F.col("order_date").cast("timestamp").alias("order_date"),
         "tier",
         "orders",
@@ -49,7 +56,9 @@ def daily_sales(orders: DataFrame, first: str = FIRST_DAY, end: str = END_DAY) -
 
 def day_slice(orders: DataFrame, day: str) -> DataFrame:
     """One slice, its day as the first column."""
-    rows = sales_by(orders.filter(F.col("order_date") == day), F.col("order_date"), "order_date")
+    next_day = str(date.fromisoformat(day) + timedelta(days=1))
+    inside = orders.filter(within(orders, _time_column(orders), day, next_day))
+    rows = sales_by(inside, F.col("order_date"), "order_date")
     return rows.select(
         F.lit(day).cast("timestamp").alias("order_date"), "tier", "orders", "tickets", "net_revenue"
     )
