@@ -143,8 +143,14 @@ def _admissions(spark: SparkSession, run: Refresh, sources: Sources, targets: Ta
         parts = PayloadParts(
             sales, events, stored("stg_campaigns"), lambda _sales: attendance, targets.settings
         )
-        export_document(parts, targets.report_dir)
-        run.note("document", net_revenue=parts.totals.first().net)
+        changed = export_document(parts, targets.report_dir)
+        goal = parts.goal.first()
+        run.note(
+            "document",
+            changed_files=len(changed),
+            net_revenue=parts.totals.first().net,
+            target_net=goal.target_net,
+        )
 
 
 def _append_metrics(spark: SparkSession, run: Refresh, warehouse: str) -> None:

@@ -21,8 +21,9 @@ def document(parts: PayloadParts) -> dict:
 
 
 def export_document(parts: PayloadParts, out_dir: str) -> list[str]:
-    """Write ``data.json`` and its script twin; the same input gives the same bytes.
+    """Write ``data.json`` and its script twin and return the names of the files that changed.
 
+    The same input gives the same bytes, and files that would stay the same are left alone.
     Lists too long for one document are written by Spark as folders of JSON lines, all rows of
     them, one folder per section.
     """
@@ -35,9 +36,14 @@ def export_document(parts: PayloadParts, out_dir: str) -> list[str]:
         "data.json": f"{text}\n",
         "data.js": f"{SCRIPT_NOTE}{SCRIPT_VARIABLE} = {text};\n",
     }
-    for name, content in files.items():
-        (folder / name).write_text(content, encoding="utf-8")
-    return sorted(files)
+    changed = [name for name, content in files.items() if _content(folder / name) != content]
+    for name in changed:
+        (folder / name).write_text(files[name], encoding="utf-8")
+    return changed
+
+
+def _content(path: Path) -> str | None:
+    return path.read_text(encoding="utf-8") if path.exists() else None
 
 
 def export_sections(parts: PayloadParts, out_dir: str) -> list[str]:

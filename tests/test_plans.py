@@ -71,3 +71,35 @@ def test_day_ranges_reach_the_scan(spark):
         filters = re.findall(r"PushedFilters: \[([^\]]*o_orderdate[^\]]*)\]", plan(spark, name))
         assert filters and "GreaterThanOrEqual(o_orderdate" in filters[0]
         assert "LessThan(o_orderdate" in filters[0]
+
+
+def test_a_hot_order_is_split(spark, frames):
+    """Half of all scans carry one order id: its join partition is split at run time."""
+    from pyspark.sql import functions as F
+
+    from stagedoor.operators.relational import with_known_key
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        number = F.col("id")
+        order = F.when(number % 2 == 0, F.lit("hot")).otherwise(number.cast("string"))
+        scans = spark.range(0, 80000, 1, 8).select(order.alias("order_id"), F.sha2(number.cast("string"), 256))
+        orders = spark.range(80000).select(number.cast("string").alias("order_id"))
+        orders = orders.unionByName(spark.range(1).select(F.lit("hot").alias("order_id")))
+        kept = with_known_key(scans, orders, "order_id")
+        assert kept.count() == 80000
+        kept.collect()
+        text = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in text
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

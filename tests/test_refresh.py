@@ -83,7 +83,9 @@ def test_full_and_partial_refresh(spark, delivered):
     assert [lever["key"] for lever in document["levers"]] == ["soft_night", "vip", "realloc", "refunds"]
     assert document["attribution"]["still_unattributed_net"] == 0.0
 
-    refresh_admissions(spark, sources, targets)
+    assert run.metrics["document"]["changed_files"] == 2
+    again = refresh_admissions(spark, sources, targets)
+    assert again.metrics["document"]["changed_files"] == 0
     assert (root / "report/data.json").read_bytes() == first
     (root / "scans/ticket_scans_2025-07-02.csv").write_text(NIGHT_2)
     partial = refresh_admissions(spark, sources, targets)
