@@ -448,10 +448,10 @@ _STATEMENTS = {
         f"unattributed_orders, unattributed_revenue, sample_bad_codes, '{_MESSAGE}' AS hint",
         f"""SELECT (SELECT unattributed_dirty_orders FROM d_attr) AS unattributed_orders,
                   (SELECT unattributed_dirty_net FROM d_attr) AS unattributed_revenue,
-                  (SELECT string_agg('''' || promo_code || '''', ', ' ORDER BY first_at, first_id, promo_code) FROM (
-                     SELECT promo_code, min(ordered_at) AS first_at, arg_min(order_id, (ordered_at, order_id)) AS first_id
+                  (SELECT string_agg('''' || promo_code || '''', ', ' ORDER BY first_at, promo_code) FROM (
+                     SELECT promo_code, min(ordered_at) AS first_at
                      FROM d_orders WHERE {_NOT_CAMPAIGN} GROUP BY promo_code
-                     ORDER BY first_at, first_id, promo_code LIMIT 10)) AS sample_bad_codes""",
+                     ORDER BY first_at, promo_code LIMIT 10)) AS sample_bad_codes""",
     ),
     "check_show_up_rate": _check(
         "show_up_rate_in_bounds", "WARN", False,

@@ -220,7 +220,7 @@ def unknown_codes(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("order_rows"),
             money_total("net_revenue").alias("net"),
-            F.min(F.struct("ordered_at", "order_id")).alias("first_seen"),
+            F.min("ordered_at").alias("first_seen"),
         )
     )
     known = known_codes(campaigns).withColumnRenamed("known_code", "promo_code")
@@ -228,7 +228,10 @@ def unknown_codes(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
 
 
 def code_samples(unknown: DataFrame, rows: int = 10) -> DataFrame:
-    """One row: the first codes seen, each in quotes so that stray spaces show."""
+    """One row: the first codes seen, each in quotes so that stray spaces show.
+
+    Codes first seen at the same moment come in text order.
+    """
     first = unknown.orderBy("first_seen", "promo_code").limit(rows)
     listed = F.array_sort(F.collect_list(F.struct("first_seen", "promo_code")))
     return first.agg(

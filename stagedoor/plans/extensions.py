@@ -51,18 +51,25 @@ def mrr_by_month(payments: DataFrame, paid_at: Column, amount: Column, customer:
 def churn_by_month(payments: DataFrame, paid_at: Column, customer: Column) -> DataFrame:
     """Customers of each month and how many of them do not pay in the next one.
 
-    Each customer shrinks to the set of months with a payment before the shuffle, so the largest
-    customer weighs no more than the calendar. The last month has no next one: its churn is NULL.
+    A payment marks its own month as active and the month before as followed. Both marks meet in one
+    aggregate by customer and month, so the largest customer shrinks to its months before the
+    shuffle. The last month has no next one: its churn is NULL.
     """
-    months = payments.groupBy(customer.alias("customer")).agg(
-        F.collect_set(F.trunc(paid_at, "month")).alias("months")
-    )
-    active = months.filter(F.col("customer").isNotNull()).select(
-        "months", F.explode("months").alias("month")
-    )
-    returns = F.array_contains("months", F.add_months("month", 1).cast("date"))
-    counted = active.groupBy("month").agg(
-        F.count("*").alias("customers"), F.count_if(~returns).alias("gone")
+    month = F.trunc(paid_at, "month")
+    marks = F.array(
+        F.struct(month.alias("month"), F.lit(1).alias("active"), F.lit(0).alias("followed")),
+        F.struct(
+            F.add_months(month, -1).alias("month"), F.lit(0).alias("active"), F.lit(1).alias("followed")
+        ),
+    )
+    counted = (
+        payments.filter(customer.isNotNull())
+        .select(customer.alias("customer"), F.inline(marks))
+        .groupBy("customer", "month")
+        .agg(F.max("active").alias("active"), F.max("followed").alias("followed"))
+        .filter("active = 1")
+        .groupBy("month")
+        .agg(F.count("*").alias("customers"), F.count_if(F.col("followed") == 0).alias("gone"))
     )
     last = payments.agg(F.max(F.trunc(paid_at, "month")).alias("last")).scalar()
     has_next = F.col("month") < last
