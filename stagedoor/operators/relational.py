@@ -82,7 +82,10 @@ def with_grand_total(
     )
     is_total = F.col("_level") > 0
     return grouped.filter(is_total | F.col(labels[0]).isNotNull()).select(
-        *[F.when(is_total, F.lit(word)).otherwise(F.col(name)).alias(name) for name in labels],
+        *[
+            F.when(is_total, F.lit(word)).otherwise(F.col(name).cast("string")).alias(name)
+            for name in labels
+        ],
         *measures,
     )
 

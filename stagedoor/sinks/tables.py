@@ -1,9 +1,18 @@
 """Writing tables: whole, by slice, as CSV."""
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from stagedoor.session import settle
 
@@ -46,10 +55,10 @@ def replace_slices(df: DataFrame, path: str, key: str, requested: DataFrame) ->
         return
     wanted = requested.select(F.col(key).cast("string").alias("slice")).distinct()
     produced = rows.select(F.col(key).cast("string").alias("slice")).distinct()
-    stale = wanted.join(before, "slice", "left_semi").join(produced, "slice", "left_anti")
+    stale = before.join(wanted, "slice", "left_semi").join(produced, "slice", "left_anti")
     nothing = df.drop(key).limit(0)
     for row in stale.collect():
-        nothing.write.mode("overwrite").parquet(f"{path}/{key}={row.slice}")
+        nothing.write.mode("overwrite").parquet(unquote(row.folder))
 
 
 def read_slices(spark: SparkSession, path: str, layout: StructType, key: str) -> DataFrame:
@@ -65,14 +74,14 @@ def read_slices(spark: SparkSession, path: str, layout: StructType, key: str) ->
 
 
 def slice_keys(spark: SparkSession, path: str, key: str) -> DataFrame | None:
-    """The keys of slices that hold rows, as text; None where no table exists yet."""
+    """The keys of slices that hold rows, as text, and their folders; None where no table exists yet."""
+    as_text = StructType([StructField(key, StringType(), True)])
     try:
-        table = spark.read.parquet(path)
+        table = spark.read.schema(as_text).parquet(path)
     except AnalysisException:
         return None
-    if key not in table.columns:
-        return None
-    return table.select(F.col(key).cast("string").alias("slice")).distinct()
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    return table.groupBy(F.col(key).cast("string").alias("slice")).agg(F.min(folder).alias("folder"))
 
 
 def missing_slices(calendar: DataFrame, present: DataFrame, key: str) -> DataFrame:
