@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from stagedoor.catalog import oracles
+from stagedoor.catalog.queries import queries as catalog
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
@@ -35,17 +37,19 @@ def table(columns, rows):
     return sorted(columns), sorted([plain(row[i]) for i in order] for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog()))
 def test_query_equals_its_sql(spark, engine, name):
-    result = contract.queries()[name](spark, FOLDER)
-    cursor = engine.execute(contract.oracle_sql()[name])
+    result = catalog()[name](spark, FOLDER)
+    cursor = engine.execute(oracles.statements()[name])
     expected = table([c[0] for c in cursor.description], cursor.fetchall())
     assert table(result.columns, [tuple(r) for r in result.collect()]) == expected
     assert expected[1], "the query has no rows to compare"
 
 
 def test_contract():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog()) == set(oracles.statements())
+    assert set(catalog()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
