@@ -33,7 +33,8 @@ def null_safe(left: DataFrame, right: DataFrame, *keys: str) -> Column:
 
 
 def _minimum_of_neighbours(links: DataFrame) -> DataFrame:
-    return links.groupBy("a").agg(F.min("b").alias("low"))
+    """Written, so that the join with it shuffles both sides and a hot node's part can be split."""
+    return settle(links.groupBy("a").agg(F.min("b").alias("low")), "low")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

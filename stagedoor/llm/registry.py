@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import exact_dedup, mixing, sharding
+from stagedoor.llm import decontaminate, exact_dedup, mixing, sharding, simhash
 from stagedoor.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -13,6 +13,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its fingerprint and its component of near duplicates."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its share of words in benchmark windows."""
+    found = decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return found.drop("text_key")
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's slot and shard, of 64 shards."""
     return sharding.shard_documents(table(spark, folder, "documents"), SHARDS)
@@ -35,13 +48,13 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op5_sharding, op9_exact_dedup, op10_mixing)
+        for f in (op1_simhash_near_dedup, op3_benchmark_decontamination, op5_sharding, op9_exact_dedup, op10_mixing)
     }
 
 
 def statements() -> dict[str, str]:
     """The same in DuckDB's SQL, where SQL can express it."""
-    return {"op9_exact_dedup": _EXACT_DEDUP}
+    return {"op3_benchmark_decontamination": _DECONTAMINATION, "op9_exact_dedup": _EXACT_DEDUP}
 
 
 _EXACT_DEDUP = r"""
@@ -52,3 +65,24 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
+
+_DECONTAMINATION = r"""
+WITH
+d AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(len(w), 13) AS n, w[p : p + least(len(w), 13) - 1] AS run
+       FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS p FROM i WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT r, n, p, w[p : p + n - 1] AS run
+       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, lengths WHERE len(w) >= n)),
+hit AS (SELECT r, p, dw.n, item FROM dw JOIN iw ON dw.n = iw.n AND dw.run = iw.run),
+covered AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM hit) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS h FROM hit GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
