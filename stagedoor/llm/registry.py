@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import decontaminate, exact_dedup, mixing, sharding, simhash
+from stagedoor.llm import decontaminate, exact_dedup, mixing, secret_scan, sharding, simhash
 from stagedoor.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), SHARDS)
 
 
+def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the secrets in it."""
+    return secret_scan.secrets(table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the document that stays for its normalised text."""
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
@@ -48,7 +53,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_simhash_near_dedup, op3_benchmark_decontamination, op5_sharding, op9_exact_dedup, op10_mixing)
+        for f in (op1_simhash_near_dedup, op3_benchmark_decontamination, op5_sharding, op6_secret_scans, op9_exact_dedup, op10_mixing)
     }
 
 
