@@ -102,7 +102,10 @@ def exact_duplicates(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("n"), "sha"
     )
     some = tested.filter("maybe").select("doc_id", "sha")
-    groups = some.groupBy("sha").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
+    # Written before it is joined, so that both sides are shuffled and a hot text's part can be split.
+    groups = settle(
+        some.groupBy("sha").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n")), "groups"
+    )
     grouped = some.join(groups, "sha").select("doc_id", "keep_id", "n", "sha")
     return alone.union(grouped).select(
         "doc_id",
