@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import decontaminate, exact_dedup, mixing, secret_scan, sharding, simhash
+from stagedoor.llm import arc_warc, decontaminate, exact_dedup, mixing, secret_scan, sharding, simhash
 from stagedoor.llm.common import table
+from stagedoor.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,20 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page with its record in the WARC archives that its legacy archive is converted to.
+
+    Pages with an even id are archived in version 1 of the old format, all others in version 2.
+    """
+    pages = table(spark, folder, "pages")
+    arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
+    even = F.coalesce(F.col("page_id") % 2 == 0, F.lit(False))
+    arc_warc.write_arc(pages.filter(even), f"{arc}/v1", 1)
+    arc_warc.write_arc(pages.filter(~even), f"{arc}/v2", 2)
+    arc_warc.convert(spark, f"{arc}/*", warc)
+    return arc_warc.read_warc(spark, warc)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its share of words in benchmark windows."""
     found = decontaminate.contamination(
@@ -53,7 +68,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_simhash_near_dedup, op3_benchmark_decontamination, op5_sharding, op6_secret_scans, op9_exact_dedup, op10_mixing)
+        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op5_sharding, op6_secret_scans, op9_exact_dedup, op10_mixing)
     }
 
 
