@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import arc_warc, decontaminate, exact_dedup, mixing, secret_scan, sharding, simhash
+from stagedoor.llm import arc_warc, decontaminate, exact_dedup, language, mixing, secret_scan, sharding, simhash
 from stagedoor.llm.common import table
 from stagedoor.session import fresh_path
 
@@ -41,6 +41,11 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.drop("text_key")
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its predicted language."""
+    return language.identify(table(spark, folder, "documents"))
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's slot and shard, of 64 shards."""
     return sharding.shard_documents(table(spark, folder, "documents"), SHARDS)
@@ -68,7 +73,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op5_sharding, op6_secret_scans, op9_exact_dedup, op10_mixing)
+        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op9_exact_dedup, op10_mixing)
     }
 
 
