@@ -1,7 +1,5 @@
 """What several corpus operators share."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +25,44 @@ def lower_ascii(text: Column) -> Column:
     )
 
 
-def null_safe(left: DataFrame, right: DataFrame, *keys: str) -> Column:
-    """Equality of the named columns of both sides, null being equal to null."""
-    return reduce(Column.__and__, (left[k].eqNullSafe(right[k]) for k in keys))
+# Bits in a bitmap of Spark's bitmap functions; fixed value.
+BITMAP_BITS = 32768
+
+
+def filter_bits(rows: int, bits_per_row: int, max_bits: int) -> int:
+    """A power of two of at least ``bits_per_row`` bits a row, between one bitmap and ``max_bits``."""
+    bits = BITMAP_BITS
+    while bits < rows * bits_per_row and bits * 2 <= max_bits:
+        bits *= 2
+    return bits
+
+
+def bit_table(cells: DataFrame, cell: str) -> DataFrame:
+    """(bucket, bitmap) of the cells that ``cells`` names: a bit set in rows of 4 KiB."""
+    return cells.groupBy((F.col(cell) / BITMAP_BITS).cast("bigint").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col(cell) % BITMAP_BITS).alias("bitmap")
+    )
+
+
+def _is_set(bitmap: Column, cell: Column) -> Column:
+    bit = (cell % BITMAP_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10)
+    return F.coalesce(F.getbit(byte.cast("bigint"), bit % 8) == 1, F.lit(False))
+
+
+def with_bits(rows: DataFrame, table: DataFrame, cells: list[Column], name: str) -> DataFrame:
+    """``rows`` with a column ``name``: whether all ``cells`` are set in a :func:`bit_table`.
+
+    The table is broadcast; it has at most an eighth of a byte for each cell number there can be.
+    """
+    out = rows.withColumn(name, F.lit(True))
+    for i, cell in enumerate(cells):
+        side = table.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bitmap").alias(f"_bits{i}"))
+        hit = (cell / BITMAP_BITS).cast("bigint") == F.col(f"_bucket{i}")
+        out = out.join(F.broadcast(side), hit, "left").withColumn(
+            name, F.col(name) & _is_set(F.col(f"_bits{i}"), cell)
+        )
+    return out.select(*(f"`{c}`" for c in rows.columns), name)
 
 
 def _minimum_of_neighbours(links: DataFrame) -> DataFrame:

@@ -10,11 +10,13 @@ word, so equal hashes alone contaminate nothing. Items shorter than a window are
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagedoor.llm.common import lower_ascii
+from stagedoor.llm.common import bit_table, filter_bits, lower_ascii, with_bits
 from stagedoor.session import settle
 
 WINDOW = 13
 GRAM = 8
+# Bits of the table that says which texts have hits; 32 MiB are broadcast at most.
+MAX_BITS = 1 << 28
 # Fixed value: what separates words once A-Z are in lower case.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # A fingerprint holds 32 bits of hash above 31 bits of position.
@@ -117,10 +119,22 @@ def shared_windows(
     grams = index.select("hash", "item", "item_words", "place")
     hits = settle(marks.join(grams, "hash").drop("hash").distinct(), "hits")
     texts = settle(index.select("item", "words").distinct(), "item-words")
-    return _extended(keyed, hits, texts, window, gram)
+    whole = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    return _extended(whole, hits, texts, window, gram)
 
 
-def _extended(keyed: DataFrame, hits: DataFrame, texts: DataFrame, window: int, gram: int) -> DataFrame:
+def _with_hits(whole: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``whole`` that may be named in ``keys``, and a few more.
+
+    A bit table of text keys, ``MAX_BITS`` / 8 bytes at most, keeps texts without a hit out of the shuffle.
+    """
+    bits = filter_bits(keys.count(), 16, MAX_BITS)
+    cell = F.pmod("text_key", F.lit(bits))
+    table = settle(bit_table(keys.select(cell.alias("cell")), "cell"), "hit-bits")
+    return with_bits(whole, table, [cell], "_maybe").filter("_maybe").drop("_maybe")
+
+
+def _extended(whole: DataFrame, hits: DataFrame, texts: DataFrame, window: int, gram: int) -> DataFrame:
     """Hits grown to whole windows and compared word by word."""
     reach = window - gram
     # A run is cut out around each hit before rows are made of them, so no row carries a whole text.
@@ -128,7 +142,9 @@ def _extended(keyed: DataFrame, hits: DataFrame, texts: DataFrame, window: int,
         F.collect_list(F.struct("at", "item", "item_words", "place")).alias("hits")
     )
     named = by_text.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "hits")
-    both = keyed.join(named, keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["text_key"] == F.col("_key")))
+    some = _with_hits(whole, hits.select("text_key").distinct())
+    both = some.join(named, some["doc_id"].eqNullSafe(F.col("_id")) & (some["text_key"] == F.col("_key")))
+    both = both.select("doc_id", "text_key", "hits", words_of(F.col("text")).alias("words"))
 
     def cut(words: Column, h: Column) -> Column:
         back = F.least(h["at"] - 1, F.lit(reach))

@@ -8,13 +8,9 @@ grouped by digest. Any other row is certainly unique and goes straight to the re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagedoor.llm.common import SPACE_CLASS
+from stagedoor.llm.common import SPACE_CLASS, bit_table, filter_bits, with_bits
 from stagedoor.session import settle
 
-# Bits in a bitmap of Spark's bitmap functions; fixed value.
-BITMAP_BITS = 32768
-
-
 def normalised(text: Column) -> Column:
     """White space runs as one space, null as the empty text."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS, " ")
@@ -32,14 +28,6 @@ def _cells(sha: Column, hashes: int, bits: int) -> list[Column]:
     return [F.pmod(p.cast("bigint"), F.lit(bits)) for p in part]
 
 
-def filter_bits(rows: int, bits_per_row: int, max_bits: int) -> int:
-    """A power of two of at least ``bits_per_row`` bits a row, between one bitmap and ``max_bits``."""
-    bits = BITMAP_BITS
-    while bits < rows * bits_per_row and bits * 2 <= max_bits:
-        bits *= 2
-    return bits
-
-
 def repeated_cells(keys: DataFrame, hashes: int, bits: int) -> DataFrame:
     """(bucket, bitmap) of the cells that two rows or more have set.
 
@@ -47,30 +35,7 @@ def repeated_cells(keys: DataFrame, hashes: int, bits: int) -> DataFrame:
     """
     cell = F.explode(F.array_distinct(F.array(*_cells(F.col("sha"), hashes, bits)))).alias("cell")
     twice = keys.select(cell).groupBy("cell").count().filter("count > 1")
-    return twice.groupBy((F.col("cell") / BITMAP_BITS).cast("bigint").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("cell") % BITMAP_BITS).alias("bitmap")
-    )
-
-
-def _is_set(bitmap: Column, cell: Column) -> Column:
-    bit = (cell % BITMAP_BITS).cast("int")
-    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10)
-    return F.coalesce(F.getbit(byte.cast("bigint"), bit % 8) == 1, F.lit(False))
-
-
-def maybe_repeated(keys: DataFrame, cells: DataFrame, hashes: int, bits: int) -> DataFrame:
-    """``keys`` with a column ``maybe``: false only for a digest that no other row has.
-
-    The bit table is broadcast: it has at most ``bits`` / 8 bytes, whatever the input.
-    """
-    out = keys.withColumn("maybe", F.lit(True))
-    for i, cell in enumerate(_cells(F.col("sha"), hashes, bits)):
-        side = cells.select(F.col("bucket").alias(f"bucket{i}"), F.col("bitmap").alias(f"bits{i}"))
-        hit = (cell / BITMAP_BITS).cast("bigint") == F.col(f"bucket{i}")
-        out = out.join(F.broadcast(side), hit, "left").withColumn(
-            "maybe", F.col("maybe") & _is_set(F.col(f"bits{i}"), cell)
-        )
-    return out.select(*keys.columns, "maybe")
+    return bit_table(twice, "cell")
 
 
 def exact_duplicates(
@@ -97,7 +62,8 @@ def exact_duplicates(
     keys = settle(digests(docs, doc_id, text), "digests")
     bits = filter_bits(keys.count(), bits_per_row, max_bits)
     cells = settle(repeated_cells(keys, hashes, bits), "cells")
-    tested = maybe_repeated(keys, cells, hashes, bits)
+    # False only for a digest that no other row has. What is broadcast has ``bits`` / 8 bytes at most.
+    tested = with_bits(keys, cells, _cells(F.col("sha"), hashes, bits), "maybe")
     alone = tested.filter("not maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("n"), "sha"
     )
