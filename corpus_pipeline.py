@@ -1,6 +1,57 @@
-STAGES = []
+"""From raw documents to packed training batches, in five stages.
+
+A stage takes a session, the documents that its predecessor kept, and the folder of tables; it returns the documents
+that it keeps, the last one the packed matrices. Stages are written and read again in between.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from stagedoor.llm import decontaminate, mixing, packing, quality, simhash
+from stagedoor.llm.common import table
+from stagedoor.session import settle
+
+SHINGLE_WORDS = 3
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is within their language's limit."""
+    return quality.accepted(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return simhash.one_of_each(docs, shingle=SHINGLE_WORDS)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark passages do not contaminate."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Matrices of token ids."""
+    return packing.packed(docs, packing.public_vocabulary())
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing to target weights", source_mixing),
+    ("token-ID output", token_packing),
+]
+
+# Perplexities, fingerprints, rounding and tokens are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = settle(stage(spark, docs, sf_dir), f"stage{i}")
+    return docs

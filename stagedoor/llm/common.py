@@ -65,6 +65,32 @@ def with_bits(rows: DataFrame, table: DataFrame, cells: list[Column], name: str)
     return out.select(*(f"`{c}`" for c in rows.columns), name)
 
 
+# Bits of the table that says which rows may be dropped; 32 MiB are broadcast at most.
+MAX_BITS = 1 << 28
+
+
+def keys_of(doc_id: Column, text: Column) -> list[Column]:
+    """Two hashes that stand for a document: of its id, as text, and of its text. Nulls have hashes too."""
+    return [F.xxhash64(doc_id.cast("string")).alias("_id"), F.xxhash64(text).alias("_text")]
+
+
+def without(docs: DataFrame, dropped: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose keys are not in ``dropped``, which has the columns of :func:`keys_of`.
+
+    A bit table of the keys lets most other rows pass where they are; those that may be named, and
+    only those, are shuffled to find out.
+    """
+    gone = settle(dropped.select("_id", "_text").distinct(), "dropped")
+    bits = filter_bits(gone.count(), 16, MAX_BITS)
+    cell = F.pmod(F.col("_id").bitwiseXOR(F.col("_text")), F.lit(bits))
+    table = settle(bit_table(gone.select(cell.alias("cell")), "cell"), "dropped-bits")
+    keyed = docs.select("*", *keys_of(F.col(doc_id), F.col(text)))
+    tested = with_bits(keyed, table, [cell], "_maybe")
+    columns = [f"`{c}`" for c in docs.columns]
+    passed = tested.filter("not _maybe").select(*columns)
+    return passed.union(tested.filter("_maybe").join(gone, ["_id", "_text"], "left_anti").select(*columns))
+
+
 def _minimum_of_neighbours(links: DataFrame) -> DataFrame:
     """Written, so that the join with it shuffles both sides and a hot node's part can be split."""
     return settle(links.groupBy("a").agg(F.min("b").alias("low")), "low")

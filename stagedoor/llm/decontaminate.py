@@ -10,7 +10,7 @@ word, so equal hashes alone contaminate nothing. Items shorter than a window are
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagedoor.llm.common import bit_table, filter_bits, lower_ascii, with_bits
+from stagedoor.llm.common import bit_table, filter_bits, lower_ascii, with_bits, without
 from stagedoor.session import settle
 
 WINDOW = 13
@@ -240,6 +240,5 @@ def contamination(
 def decontaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
     bad = contamination(docs, items, doc_id, text, **options).filter("contaminated")
-    bad = settle(bad.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "contaminated")
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    return docs.join(bad, same, "left_anti")
+    keys = bad.select(F.xxhash64(F.col("doc_id").cast("string")).alias("_id"), F.col("text_key").alias("_text"))
+    return without(docs, keys, doc_id, text)

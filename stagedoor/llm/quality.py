@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagedoor.llm.common import without
 from stagedoor.session import settle
 
 ORDER = 4
@@ -415,7 +416,8 @@ def judged(
 
 def accepted(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns of ``docs``."""
-    bad = judged(docs, trusted, doc_id, text, lang, **options).filter("not kept")
-    bad = settle(bad.select(F.col("id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "rejected")
-    mine = (F.xxhash64(F.col(doc_id).cast("string"), F.col(lang)) == F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    return docs.join(bad, mine, "left_anti")
+    verdicts = judged(docs, trusted, doc_id, text, lang, **options)
+    bad = verdicts.filter("not kept").select(
+        F.xxhash64(F.col("doc_id").cast("string")).alias("_id"), F.col("text_key").alias("_text")
+    )
+    return without(docs, bad, doc_id, text)

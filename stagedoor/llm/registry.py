@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import arc_warc, decontaminate, exact_dedup, language, mixing, quality, secret_scan, sharding, simhash
+from stagedoor.llm import arc_warc, decontaminate, exact_dedup, language, mixing, packing, quality, secret_scan, sharding, simhash
 from stagedoor.llm.common import table
 from stagedoor.session import fresh_path
 
@@ -56,6 +56,13 @@ def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(table(spark, folder, "documents"))
 
 
+def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every segment of the packed documents, read back from the written matrices."""
+    path = fresh_path(spark, "packed")
+    packing.write_packed(table(spark, folder, "documents"), packing.public_vocabulary(), path)
+    return packing.read_segments(spark, path)
+
+
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its perplexity, and whether it stays."""
     trusted = quality.trusted_ids(table(spark, folder, "labels"))
@@ -79,7 +86,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op8_quality_classifier, op9_exact_dedup, op10_mixing)
+        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op7_token_ids, op8_quality_classifier, op9_exact_dedup, op10_mixing)
     }
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stagedoor.llm.common import components
+from stagedoor.llm.common import components, keys_of, without
 from stagedoor.session import settle
 
 BITS = 64
@@ -53,19 +53,22 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """(doc_id, fp), one row per row of ``docs``."""
+    """(doc_id, text_key, fp), one row per row of ``docs``; ``text_key`` is a hash of the text."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
+            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(fps, pa.int64())],
+                names=["doc_id", "text_key", "fp"],
             )
 
     rows = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text")
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.xxhash64(text).alias("text_key"),
+        F.col(text).cast("binary").alias("text"),
     )
-    return rows.mapInArrow(batches, "doc_id long, fp long")
+    return rows.mapInArrow(batches, "doc_id long, text_key long, fp long")
 
 
 def _power(bit: Column) -> Column:
@@ -119,6 +122,21 @@ def links(fps: DataFrame) -> DataFrame:
     return found.distinct()
 
 
+def _members(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(doc_id, text_key, fp, root, component_id), one row per row of ``docs``; ``root`` names the component."""
+    rows = settle(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    fps = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    roots = components(links(fps.select("fp")))
+    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    rooted = settle(rooted, "rooted")
+    # Written before it is joined, so that a hot component's part of the join can be split.
+    ids = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
+    labels = settle(rooted.join(ids, "root").select("fp", "root", "component_id"), "labels")
+    return rows.join(labels, "fp")
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -142,16 +160,33 @@ def near_duplicates(
     """
     if max_bits != MAX_BITS or shingle < 1:
         raise ValueError(f"the index is built for {MAX_BITS} bits and shingles of a word or more")
-    rows = settle(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    fps = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(links(fps.select("fp")))
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = settle(rooted, "rooted")
-    # Written before it is joined, so that a hot component's part of the join can be split.
-    ids = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
-    labels = settle(rooted.join(ids, "root").select("fp", "component_id"), "labels")
-    return rows.join(labels, "fp").select(
+    return _members(docs, doc_id, text, shingle).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 3) -> DataFrame:
+    """The document with the smallest id of each component, with the columns of ``docs``.
+
+    Of rows that share that id, or of a component without ids, the one with the least hash of its text stays;
+    of equal rows one stays.
+    """
+    members = settle(_members(docs, doc_id, text, shingle), "members")
+    first = members.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = settle(
+        first.groupBy("root").agg(F.min("text_key").alias("stays"), F.count("*").alias("n")), "stays"
+    )
+    id_key = F.xxhash64(F.col("doc_id").cast("string")).alias("_id")
+    decided = members.join(stays, "root").withColumn(
+        "stay", F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("stays"))
+    )
+    gone = decided.filter("not stay").select(id_key, F.col("text_key").alias("_text"))
+    # Rows that may be equal are taken out too, and one of each put back.
+    repeated = settle(
+        decided.filter("stay and n > 1").select(id_key, F.col("text_key").alias("_text")).distinct(), "repeated"
+    )
+    kept = without(docs, gone.union(repeated), doc_id, text)
+    if repeated.isEmpty():
+        return kept
+    again = docs.select("*", *keys_of(F.col(doc_id), F.col(text))).join(repeated, ["_id", "_text"], "left_semi")
+    return kept.union(again.dropDuplicates(["_id", "_text"]).select(*(f"`{c}`" for c in docs.columns)))
