@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stagedoor.llm.common import components, keys_of, without
+from stagedoor.llm.common import MAX_BITS as MAX_FILTER_BITS
+from stagedoor.llm.common import bit_table, components, filter_bits, keys_of, with_bits, without
 from stagedoor.session import settle
 
 BITS = 64
@@ -103,6 +104,15 @@ def _neighbours(fps: DataFrame) -> DataFrame:
     )
 
 
+def _members_of(index: DataFrame, crowds: DataFrame) -> DataFrame:
+    """Fingerprints under the variants in ``crowds``; a bounded bit table keeps most others out of the shuffle."""
+    bits = filter_bits(crowds.count(), 16, MAX_FILTER_BITS)
+    cell = F.pmod(F.xxhash64("variant"), F.lit(bits))
+    table = settle(bit_table(crowds.select(cell.alias("cell")), "cell"), "crowd-bits")
+    some = with_bits(index, table, [cell], "_maybe").filter("_maybe").drop("_maybe")
+    return settle(some.join(crowds, "variant", "left_semi").select("fp").distinct(), "members")
+
+
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): verified links between distinct fingerprints, enough to connect all within two bits."""
     index = variants(fps)
@@ -114,7 +124,7 @@ def links(fps: DataFrame) -> DataFrame:
     )
     pairs = shared.filter("n = 2").select("a", "b")
     crowds = shared.filter("n > 2").select("variant")
-    members = index.join(crowds, "variant", "left_semi").select("fp").distinct()
+    members = _members_of(index, crowds)
     near = _neighbours(members)
     least = near.groupBy("at").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1")
     stars = near.join(least, "at").select("a", F.col("fp").alias("b"))
