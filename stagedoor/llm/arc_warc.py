@@ -17,7 +17,6 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
-from itertools import islice
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -33,6 +32,8 @@ ARC_FIELDS = {
 }
 # Records in an archive file at most; an ARC file's version block is one of them.
 FILE_RECORDS = 500
+# Bytes of records that a task hands on at once, about.
+CHUNK_BYTES = 4 << 20
 WARC_END = "\r\n\r\n"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: name space of URLs
 
@@ -88,10 +89,16 @@ def write_arc(
         return _arc_header(version, fields, len(http)) + http
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for part in _pieces(batch) for row in _rows(part))
-        while some := list(islice(rows, FILE_RECORDS - 1)):
-            out = [arc_version_block(version, name), *(record(*row) for row in some)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+        out, size, number = [], 0, 0
+        for row in (row for batch in batches for part in _pieces(batch) for row in _rows(part)):
+            out += [arc_version_block(version, name)] * (number % (FILE_RECORDS - 1) == 0)
+            out.append(record(*row))
+            size, number = size + len(out[-1]), number + 1
+            if size > CHUNK_BYTES:
+                yield _binary(out)
+                out, size = [], 0
+        if out:
+            yield _binary(out)
 
     name = f"v{version}.arc"
     rows = pages.select(F.col(key).cast("string"), F.col(url), F.col(html).cast("binary"))
@@ -152,7 +159,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                         fields.get("Content-type"), http, len(body), base32_sha1(body), base32_sha1(http),
                     ))
                     size += len(http)
-                    if size > 4 << 20:
+                    if size > CHUNK_BYTES:
                         yield _batch(rows, _RECORDS)
                         rows, size = [], 0
                 yield _batch(rows, _RECORDS)
@@ -164,6 +171,10 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 _ARROW = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
 
+def _binary(records: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
     return zip(*(column.to_pylist() for column in batch.columns), strict=True)
 
@@ -274,8 +285,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, *, min_revisit_b
 
     def synthesise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [warc_record(row) for part in _pieces(batch) for row in part.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
+            for part in _pieces(batch):
+                yield _binary([warc_record(row) for row in part.to_pylist()])
 
     _write_archive(joined.mapInArrow(synthesise, "record binary"), warc_path, WARC_END)
 

@@ -62,11 +62,10 @@ def whole_runs(words: Column, lengths: list[int]) -> Column:
     hashes = F.transform(words, lambda w: F.xxhash64(w))
 
     def runs(h):
-        each = [
-            _runs(h, n, F.size(h), lambda i, n=n: _packed(F.xxhash64(F.slice(h, i, n), F.lit(n)), i))
-            for n in lengths
-        ]
-        return F.concat(*each)
+        return F.concat(*(_runs(h, n, F.size(h), hash_of(h, n)) for n in lengths))
+
+    def hash_of(h, n):
+        return lambda i: _packed(F.xxhash64(F.slice(h, i, n), F.lit(n)), i)
 
     return F.element_at(F.transform(F.array(hashes), lambda h: runs(h)), 1)
 
