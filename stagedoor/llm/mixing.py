@@ -94,17 +94,30 @@ def tilts(targets: DataFrame, most: float = MOST, rounds: int = 60, close: float
     return state.withColumn("rate", F.coalesce(edge, F.round(rate, 9)))
 
 
-def _copies(block: pd.DataFrame, most: float) -> pd.DataFrame:
-    """Whole copies of one block's documents, large ones first, the error in words carried on."""
-    block = block.assign(all=block["size"] * block["times"]).sort_values(["all", "spread", "doc_id"], ascending=[False, True, True], kind="stable")
+def _copies(block: pd.DataFrame, most: float, whole: bool) -> pd.DataFrame:
+    """Whole copies of one block's documents, large ones first, the error in words carried on.
+
+    ``whole`` says that the block is the head of its source, whose other documents follow; else the block is
+    on its own. A document is taken no more and no less often than leaves the documents after it a need that
+    they can meet.
+    """
+    block = block.assign(all=block["size"] * block["times"]).sort_values(
+        ["all", "spread", "doc_id"], ascending=[False, True, True], kind="stable"
+    )
+    sizes, rates = block.pop("all").tolist(), block["asked"].tolist()
+    need = block["target"].iloc[0] if whole else sum(s * r for s, r in zip(sizes, rates, strict=True))
+    rest = block["source_size"].iloc[0] if whole else sum(sizes)
     owed, copies = 0.0, []
-    for size, rate in zip(block.pop("all").tolist(), block["rate"].tolist(), strict=True):
+    for size, rate in zip(sizes, rates, strict=True):
         if size <= 0:
             copies.append(min(int(rate + 0.5), int(most)))
             continue
+        rest -= size
         owed += rate * size
-        n = max(0, min(int(most), math.floor(owed / size + 0.5)))
-        owed -= n * size
+        n = math.floor(owed / size + 0.5)
+        n = min(max(n, math.ceil((need - most * rest) / size)), math.floor(need / size + 1e-6))
+        n = max(0, min(int(most), n))
+        owed, need = owed - n * size, need - n * size
         copies.append(n)
     return block.assign(copies=copies)
 
@@ -119,12 +132,15 @@ def mixed_units(
     share: float = SHARE,
     most: float = MOST,
     block_rows: int = 1000,
+    heavy: int = 1000,
 ) -> DataFrame:
     """(doc_id, spread, source, size, times, source_size, target, rate, copies): each distinct document.
 
     ``spread`` is the hash of id and text, ``times`` the number of equal rows, ``copies`` what the mix takes
-    of each of them. A source of any size is cut into blocks of about ``block_rows`` documents by hash; a
-    block is off its share by about its smallest document, so a source comes near its target at every size.
+    of each of them. Documents of over 1 / ``heavy`` of their source, so fewer than ``heavy`` a source, are
+    rounded first, and what they are off is shared out over the rates of the others. Those are cut into
+    blocks of about ``block_rows`` by hash; a block is off its share by about its smallest document. So
+    a source comes near its target at every size, and whatever its longest documents are.
     """
     row = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"),
@@ -134,19 +150,38 @@ def mixed_units(
     )
     units = settle(row.groupBy(*row.columns).agg(F.count("*").alias("times")), "sizes")
     rates = settle(tilts(source_targets(units, weights, share, most), most), "rates")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / block_rows)).alias("blocks")
     # A row a source: Spark broadcasts it where it measures it as small, and else splits the hot sources.
     joined = units.join(
-        rates.select(F.col("source").alias("_source"), "source_size", "target", "rate", blocks),
+        rates.select(F.col("source").alias("_source"), "n_docs", "source_size", "target", "rate"),
         F.col("source").eqNullSafe(F.col("_source")),
     ).drop("_source")
-    dealt = joined.withColumn("block", F.pmod("spread", "blocks")).drop("blocks")
-
-    def round_block(block: pd.DataFrame) -> pd.DataFrame:
-        return _copies(block, most)
-
-    done = ", ".join(f"{c} {kind}" for c, kind in [*dealt.dtypes, ("copies", "int")])
-    return dealt.groupBy("source", "block").applyInPandas(round_block, done).drop("block")
+    words = F.col("size") * F.col("times")
+    columns = [*units.columns, "source_size", "target", "rate"]
+
+    def rounded(dealt: DataFrame, whole: bool) -> DataFrame:
+        def round_block(block: pd.DataFrame) -> pd.DataFrame:
+            return _copies(block, most, whole)
+
+        done = ", ".join(f"{c} {kind}" for c, kind in [*dealt.dtypes, ("copies", "int")])
+        return dealt.groupBy("source", "block").applyInPandas(round_block, done).select(*columns, "copies")
+
+    is_heavy = words * heavy > F.col("source_size")
+    asked = joined.withColumn("asked", F.col("rate")).withColumn("block", F.lit(0).cast("bigint"))
+    first = settle(rounded(asked.filter(is_heavy).drop("n_docs"), True), "heavy")
+    owed = settle(
+        first.groupBy(F.col("source").alias("_source")).agg(
+            F.sum(words * (F.col("rate") - F.col("copies"))).alias("owed"), F.sum(words).alias("done")
+        ),
+        "owed",
+    )
+    rest = joined.filter(~is_heavy).join(owed, F.col("source").eqNullSafe(F.col("_source")), "left")
+    more = F.try_divide("owed", F.col("source_size") - F.col("done"))
+    rate = F.round(F.col("rate") + F.coalesce(more, F.lit(0.0)), 9)
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / block_rows))
+    dealt = rest.withColumn("asked", F.greatest(F.lit(0.0), F.least(F.lit(float(most)), rate))).withColumn(
+        "block", F.pmod("spread", blocks)
+    )
+    return first.union(rounded(dealt.select(*columns, "asked", "block"), False))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
