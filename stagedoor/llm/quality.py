@@ -8,7 +8,8 @@ The model is one of characters, ``ORDER`` at a time, one for each language. Its
    single characters up to whole n-grams.
 3. Tasks list, for each n-gram of a block, the block's documents that have it and how often. These postings
    are joined with the probabilities on the n-gram, so the model is spread over the cluster and never
-   whole anywhere; the sums meet again by block and give each document's perplexity.
+   whole anywhere; the sums meet again by block and give each document's perplexity. The few n-grams that
+   nearly every document has would be hot keys of that join; ``HOT_GRAMS`` of them, a bound, are broadcast.
 
 A document is rejected if its perplexity is above a quantile of held-out trusted documents of its language.
 """
@@ -31,6 +32,8 @@ BLOCK_DOCS = 1 << 14
 # Trusted ids (16 bytes each) up to this many are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 FOLDS = 5
+# The most frequent n-grams of trusted text, of all languages together; some 5 MB in a task.
+HOT_GRAMS = 1 << 15
 # Stands before a text, so that its beginning has a context too.
 BEGIN = "\x02"
 
@@ -76,16 +79,18 @@ def _grams(points: list[np.ndarray], owners: np.ndarray, order: int) -> tuple[li
     groups them. Should they not fit (tens of thousands of different characters), the rarest are merged.
     """
     whole = np.concatenate(points)
-    alphabet, letter, uses = np.unique(whole, return_inverse=True, return_counts=True)
+    uses = np.bincount(whole)
+    alphabet = np.flatnonzero(uses)
     owner_bits = max(1, int(owners.max()).bit_length())
     bits = max(1, int(len(alphabet) - 1).bit_length())
     room = (64 - owner_bits) // order
     if bits > room:
-        kept = np.sort(np.argsort(-uses, kind="stable")[: (1 << room) - 1])
-        place = np.full(len(alphabet), len(kept))
-        place[kept] = np.arange(len(kept))
-        alphabet, letter, bits = np.concatenate((alphabet[kept], [0xFFFD])), place[letter], room
-    letter = letter.astype(np.uint64)
+        # The rarest characters share the replacement character's number.
+        kept = np.sort(alphabet[np.argsort(-uses[alphabet], kind="stable")[: (1 << room) - 1]])
+        alphabet, bits = np.append(kept, 0xFFFD), room
+    number = np.full(len(uses), len(alphabet) - 1, np.uint64)
+    number[alphabet[alphabet < len(uses)]] = np.arange(np.count_nonzero(alphabet < len(uses)))
+    letter = number[whole]
     sizes = np.array([len(p) for p in points])
     code = np.zeros(len(letter), np.uint64)
     for i in range(order):
@@ -95,7 +100,8 @@ def _grams(points: list[np.ndarray], owners: np.ndarray, order: int) -> tuple[li
     for i in range(order - 1):
         inside[(ends - sizes + i)[sizes > i]] = False
     packed = (code << np.uint64(owner_bits)) | np.repeat(owners, sizes).astype(np.uint64)
-    packed = np.sort(packed[inside])
+    packed = packed[inside]
+    packed.sort()
     if not len(packed):
         return [], np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
     first = np.flatnonzero(np.concatenate(([True], packed[1:] != packed[:-1])))
@@ -117,7 +123,7 @@ def _by_language(block: list[tuple[tuple, np.ndarray]]) -> Iterator[tuple[str, l
 
 
 _GRAMS = "lang string, gram string, n long"
-_POSTINGS = "lang string, gram string, block string, owners binary, counts binary"
+_POSTINGS = "lang string, gram string, block long, owners binary, counts binary"
 
 
 def count_grams(rows: DataFrame, order: int) -> DataFrame:
@@ -200,38 +206,55 @@ def model(grams: DataFrame, order: int) -> DataFrame:
 # ---- scores ----------------------------------------------------------------------------------------
 
 
-def postings(rows: DataFrame, order: int) -> DataFrame:
-    """n-grams of blocks with the documents that have them, and a row (gram null) naming a block's documents."""
+def hottest(grams: DataFrame, probabilities: DataFrame, most: int) -> dict[str, dict[str, float]]:
+    """Log probabilities of the ``most`` most frequent n-grams, by language."""
+    top = grams.filter("n > 0").orderBy(F.desc("n"), "lang", "gram").limit(most).select("lang", "gram")
+    hot: dict[str, dict[str, float]] = {}
+    for r in probabilities.join(F.broadcast(top), ["lang", "gram"]).collect():
+        hot.setdefault(r.lang, {})[r.gram] = r.logp
+    return hot
+
+
+def postings(rows: DataFrame, order: int, hot: dict[str, dict[str, float]]) -> DataFrame:
+    """n-grams of blocks with the documents that have them, and a row (gram null) naming a block's documents.
+
+    What ``hot`` n-grams contribute is summed on the spot and stands in the row that names the documents.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task = TaskContext.get().partitionId()
-        number = 0
+        task, number = TaskContext.get().partitionId(), 0
         for block in _blocks(batches, order):
             for lang, members in _by_language(block):
-                name, number = f"{task}-{number}", number + 1
+                known = shared.value.get(lang, {})
+                name, number = (task << 32) + number, number + 1
                 grams, runs, owner, counts = _grams(
                     [block[i][1] for i in members], np.arange(len(members), dtype=np.uint32), order
                 )
                 ends = np.append(runs[1:], len(owner))
-                small, few = owner.astype("<u2"), np.minimum(counts, 0xFFFFFFFF).astype("<u4")
-                narrow = np.uint8 if len(counts) == 0 or counts.max() < 256 else np.uint32
-                few = few.astype(narrow)
-                who = [small[a:b].tobytes() for a, b in zip(runs.tolist(), ends.tolist(), strict=True)]
-                often = [few[a:b].tobytes() for a, b in zip(runs.tolist(), ends.tolist(), strict=True)]
+                logp = np.array([known.get(g, np.nan) for g in grams], float)
+                each = np.repeat(logp, ends - runs[: len(grams)])
+                here = ~np.isnan(each)
+                sums = np.bincount(owner[here], each[here] * counts[here], minlength=len(members))
+                rare = np.flatnonzero(np.isnan(logp))
+                small = owner.astype("<u2")
+                few = counts.astype(np.uint8 if len(counts) == 0 or counts.max() < 256 else "<u4")
+                spans = [(int(runs[g]), int(ends[g])) for g in rare]
                 keys = np.array([block[i][0][1:3] for i in members], "<i8")
                 sizes = np.array([len(block[i][1]) - order + 1 for i in members], "<i8")
+                n = len(rare) + 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * (len(grams) + 1), pa.string()),
-                        pa.array([None, *grams], pa.string()),
-                        pa.array([name] * (len(grams) + 1), pa.string()),
-                        pa.array([keys.tobytes(), *who], pa.binary()),
-                        pa.array([sizes.tobytes(), *often], pa.binary()),
+                        pa.array([lang] * n, pa.string()),
+                        pa.array([None, *(grams[g] for g in rare)], pa.string()),
+                        pa.array([name] * n, pa.int64()),
+                        pa.array([keys.tobytes(), *(small[a:b].tobytes() for a, b in spans)], pa.binary()),
+                        pa.array([sizes.tobytes() + sums.astype("<f8").tobytes(), *(few[a:b].tobytes() for a, b in spans)], pa.binary()),
                     ],
                     names=["lang", "gram", "block", "owners", "counts"],
-                )
+                )
 
     return rows.select("lang", "id", "text_key", "text").mapInArrow(post, _POSTINGS)
 
@@ -245,7 +268,7 @@ def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         keys = list(sums)
         out = pa.RecordBatch.from_arrays(
             [
-                pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
+                pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
                 pa.nulls(len(keys), pa.binary()), pa.nulls(len(keys), pa.binary()),
                 pa.array([sums[k].astype("<f8").tobytes() for k in keys], pa.binary()),
             ],
@@ -283,7 +306,7 @@ def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield flush()
 
 
-_SUMS = "lang string, block string, owners binary, counts binary, sums binary"
+_SUMS = "lang string, block long, owners binary, counts binary, sums binary"
 _SCORES = "lang string, id long, text_key long, n long, logp double"
 
 
@@ -293,12 +316,14 @@ def _block_scores(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     for batch in batches:
         for who, sizes, part in zip(*(batch.column(c).to_pylist() for c in ("owners", "counts", "sums")), strict=True):
             if part is None:
-                named = np.frombuffer(who, "<i8").reshape(-1, 2), np.frombuffer(sizes, "<i8")
+                keys = np.frombuffer(who, "<i8").reshape(-1, 2)
+                named = keys, np.frombuffer(sizes, "<i8", len(keys))
+                more = np.frombuffer(sizes, "<f8", len(keys), 8 * len(keys))
             else:
                 more = np.frombuffer(part, "<f8")
-                if len(more) > len(total):
-                    total, more = more.copy(), total
-                total[: len(more)] += more
+            if len(more) > len(total):
+                total, more = more.copy(), total
+            total[: len(more)] += more
     ids, sizes = named
     logp = np.zeros(len(sizes))
     logp[: len(total)] = total
@@ -349,7 +374,7 @@ def perplexities(
     trains = F.col("trusted").isNotNull() & ~_held_out(F.col("doc_id"))
     grams = settle(count_grams(marked.withColumn("trains", trains), order), "grams")
     probabilities = settle(model(grams, order), "model")
-    lists = postings(rows, order)
+    lists = postings(rows, order, hottest(grams, probabilities, HOT_GRAMS))
     joined = lists.join(probabilities, ["lang", "gram"], "left").select("lang", "gram", "block", "owners", "counts", "logp")
     sums = joined.mapInArrow(_partial_sums, _SUMS)
     scored = sums.groupBy("lang", "block").applyInArrow(_block_scores, _SCORES)
