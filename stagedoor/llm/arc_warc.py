@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,30 +70,39 @@ def _arc_header(version: int, fields: dict, length: int) -> bytes:
 
 
 def write_arc(
-    pages: DataFrame, path: str, version: int, key: str = "page_id", url: str = "url", html: str = "html"
+    pages: DataFrame,
+    path: str,
+    version: int | None = None,
+    key: str = "page_id",
+    url: str = "url",
+    html: str = "html",
 ) -> None:
     """One ARC record per row of ``pages``: an HTTP response whose body is the html in UTF-8 (null: empty).
 
-    Files hold ``FILE_RECORDS`` records at most, the first being the version block.
+    Files hold ``FILE_RECORDS`` records at most, the first being the version block; without a version they
+    are of version 1 and 2 in turns.
 
     The row's key travels in the HTTP header X-Record-Key; a null key leaves the header out.
     """
 
-    def record(k: str | None, u: str | None, body: bytes | None) -> bytes:
+    def record(version: int, k: str | None, u: str | None, body: bytes | None) -> bytes:
         head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n"
         head += "" if k is None else f"X-Record-Key: {k}\r\n"
         http = head.encode() + b"\r\n" + (body or b"")
         fields = {
             "URL": u, "IP-address": "192.0.2.1", "Archive-date": "20080430204825", "Content-type": "text/html",
-            "Result-code": "200", "Checksum": hashlib.md5(http).hexdigest(), "Offset": "0", "Filename": name,
+            "Result-code": "200", "Checksum": hashlib.md5(http).hexdigest(), "Offset": "0", "Filename": f"v{version}.arc",
         }
         return _arc_header(version, fields, len(http)) + http
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, size, number = [], 0, 0
+        out, size, number, file = [], 0, 0, TaskContext.get().partitionId()
         for row in (row for batch in batches for part in _pieces(batch) for row in _rows(part)):
-            out += [arc_version_block(version, name)] * (number % (FILE_RECORDS - 1) == 0)
-            out.append(record(*row))
+            if number % (FILE_RECORDS - 1) == 0:
+                file += 1
+                kind = version or 2 - file % 2
+                out.append(arc_version_block(kind, f"v{kind}.arc"))
+            out.append(record(kind, *row))
             size, number = size + len(out[-1]), number + 1
             if size > CHUNK_BYTES:
                 yield _binary(out)
@@ -100,7 +110,6 @@ def write_arc(
         if out:
             yield _binary(out)
 
-    name = f"v{version}.arc"
     rows = pages.select(F.col(key).cast("string"), F.col(url), F.col(html).cast("binary"))
     _write_archive(rows.mapInArrow(records, "record binary"), path, "\n")
 
@@ -108,7 +117,7 @@ def write_arc(
 def _write_archive(records: DataFrame, path: str, end: str) -> None:
     text = records.select(F.col("record").cast("string").alias("value"))
     write = text.write.option("lineSep", end).option("maxRecordsPerFile", FILE_RECORDS)
-    write.option("compression", "gzip").text(path)
+    write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def parse_arc(stream: BinaryIO) -> Iterator[tuple[int, dict, bytes]]:

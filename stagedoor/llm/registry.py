@@ -22,14 +22,11 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page with its record in the WARC archives that its legacy archive is converted to.
 
-    Pages with an even id are archived in version 1 of the old format, all others in version 2.
+    The old archives are files of both versions.
     """
-    pages = table(spark, folder, "pages")
     arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
-    even = F.coalesce(F.col("page_id") % 2 == 0, F.lit(False))
-    arc_warc.write_arc(pages.filter(even), f"{arc}/v1", 1)
-    arc_warc.write_arc(pages.filter(~even), f"{arc}/v2", 2)
-    arc_warc.convert(spark, f"{arc}/*", warc)
+    arc_warc.write_arc(table(spark, folder, "pages"), arc)
+    arc_warc.convert(spark, arc, warc)
     return arc_warc.read_warc(spark, warc)
 
 
