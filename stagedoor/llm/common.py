@@ -25,6 +25,14 @@ def lower_ascii(text: Column) -> Column:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 # Bits in a bitmap of Spark's bitmap functions; fixed value.
 BITMAP_BITS = 32768
 
@@ -57,10 +65,11 @@ def with_bits(rows: DataFrame, table: DataFrame, cells: list[Column], name: str)
     """
     out = rows.withColumn(name, F.lit(True))
     for i, cell in enumerate(cells):
-        side = table.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bitmap").alias(f"_bits{i}"))
-        hit = (cell / BITMAP_BITS).cast("bigint") == F.col(f"_bucket{i}")
+        bucket, bits = unused(rows, f"_bucket{i}"), unused(rows, f"_bits{i}")
+        side = table.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bits))
+        hit = (cell / BITMAP_BITS).cast("bigint") == F.col(bucket)
         out = out.join(F.broadcast(side), hit, "left").withColumn(
-            name, F.col(name) & _is_set(F.col(f"_bits{i}"), cell)
+            name, F.col(name) & _is_set(F.col(bits), cell)
         )
     return out.select(*(f"`{c}`" for c in rows.columns), name)
 
@@ -82,13 +91,19 @@ def without(docs: DataFrame, dropped: DataFrame, doc_id: str, text: str) -> Data
     """
     gone = settle(dropped.select("_id", "_text").distinct(), "dropped")
     bits = filter_bits(gone.count(), 16, MAX_BITS)
-    cell = F.pmod(F.col("_id").bitwiseXOR(F.col("_text")), F.lit(bits))
-    table = settle(bit_table(gone.select(cell.alias("cell")), "cell"), "dropped-bits")
-    keyed = docs.select("*", *keys_of(F.col(doc_id), F.col(text)))
-    tested = with_bits(keyed, table, [cell], "_maybe")
+
+    def cell(one: str, other: str) -> Column:
+        return F.pmod(F.col(one).bitwiseXOR(F.col(other)), F.lit(bits))
+
+    table = settle(bit_table(gone.select(cell("_id", "_text").alias("cell")), "cell"), "dropped-bits")
+    names = [unused(docs, "_id"), unused(docs, "_text")]
+    maybe = unused(docs, "_maybe")
+    keys = [k.alias(n) for k, n in zip(keys_of(F.col(doc_id), F.col(text)), names, strict=True)]
+    tested = with_bits(docs.select("*", *keys), table, [cell(*names)], maybe)
     columns = [f"`{c}`" for c in docs.columns]
-    passed = tested.filter("not _maybe").select(*columns)
-    return passed.union(tested.filter("_maybe").join(gone, ["_id", "_text"], "left_anti").select(*columns))
+    passed = tested.filter(~F.col(maybe)).select(*columns)
+    gone = gone.toDF(*names)
+    return passed.union(tested.filter(maybe).join(gone, names, "left_anti").select(*columns))
 
 
 def _minimum_of_neighbours(links: DataFrame) -> DataFrame:

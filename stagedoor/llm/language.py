@@ -65,11 +65,15 @@ class Parser:
         classes = np.searchsorted(kept, sample)
         classes = np.where(np.isin(sample, kept), classes, len(kept))
         states = _suffix_automaton(classes.tolist())
-        table = np.full((len(states), self.width), -1, np.int32)
+        table = np.full((len(states) + 1, self.width), -1, np.int32)
         for s, edges in enumerate(states):
             table[s, list(edges)] = list(edges.values())
-        begin = np.where(table[0] < 0, 0, table[0])
-        self.table = np.where(table < 0, ~begin[None, :], table).astype(np.int32).ravel()
+        # A character that the sample lacks is a phrase; the last state has no way on.
+        begin = np.where(table[0] < 0, len(states), table[0])
+        table = np.where(table < 0, ~begin[None, :], table)
+        # The first state is that before a text, where nothing has begun that could end.
+        table[0] = begin
+        self.table = table.astype(np.int32).ravel()
 
     def classes(self) -> np.ndarray:
         """The class of every code point."""
@@ -140,8 +144,9 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str) -> dict[str, Parse
     share = ALL_CHARS // max(languages, 1)
     named = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "n")
     # SAMPLE_DOCS rows a language; Spark broadcasts them if it measures them as small.
-    rows = docs.join(named, (F.col(doc_id) == F.col("_id")) & (F.col(lang) == F.col("_lang"))).select(
-        F.col("_lang").alias("lang"), "n", F.substring(F.col(text), 1, DOC_CHARS).alias("text")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = texts.join(named, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select(
+        "lang", "n", F.substring("text", 1, DOC_CHARS).alias("text")
     )
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:

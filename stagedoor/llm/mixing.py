@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagedoor.llm.common import WORD_CLASS
+from stagedoor.llm.common import WORD_CLASS, unused
 from stagedoor.session import settle
 
 # Weights of sources in code point order, repeating, and the whole as a share of all sizes.
@@ -202,14 +202,16 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, with the columns of ``docs``."""
-    units = mixed_units(docs, doc_id, text, source, **options).select(
-        F.col("doc_id").alias("_doc_id"), F.col("spread").alias("_spread"), F.col("source").alias("_source"), F.col("copies").alias("_copies")
-    )
-    taken = settle(units.filter("_copies > 0"), "taken")
+    names = [unused(docs, n) for n in ("_doc_id", "_spread", "_source", "_copies")]
+    units = mixed_units(docs, doc_id, text, source, **options)
+    taken = units.filter("copies > 0").select("doc_id", "spread", "source", "copies").toDF(*names)
+    taken = settle(taken, "taken")
+    of_id, of_text, of_source, copies = map(F.col, names)
     same = (
-        F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc_id"))
-        & (spread_of(F.col(doc_id), F.col(text)) == F.col("_spread"))
-        & F.col(source).eqNullSafe(F.col("_source"))
+        F.col(doc_id).cast("bigint").eqNullSafe(of_id)
+        & (spread_of(F.col(doc_id), F.col(text)) == of_text)
+        & F.col(source).eqNullSafe(of_source)
     )
-    kept = docs.join(taken, same).withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    each = F.explode(F.sequence(F.lit(1), copies)).alias(unused(docs, "_each"))
+    columns = [f"`{c}`" for c in docs.columns]
+    return docs.join(taken, same).select(*columns, each).select(*columns)

@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagedoor.llm.common import unused
+
 # A prime, and much larger than the number of shards: shares differ by about shards / slots.
 SLOTS = 65537
 
@@ -74,16 +76,23 @@ def shard_documents(
     return placed.join(F.broadcast(table), "slot").select("doc_id", "slot", "shard")
 
 
-def write_shards(docs: DataFrame, shards: list[str], path: str, key: str = "doc_id", text: str = "text", *, slots: int = SLOTS) -> None:
+def write_shards(
+    docs: DataFrame,
+    shards: list[str],
+    path: str,
+    key: str = "doc_id",
+    text: str = "text",
+    *,
+    slots: int = SLOTS,
+) -> None:
     """Whole rows of ``docs`` as Parquet, in a folder ``shard=<name>`` for each shard that has rows.
 
     The folder column replaces a column ``shard`` of ``docs``. Rows are dealt to a shard's folder by the
     tasks that read them, so a large shard is written by many tasks.
     """
-    slot = slot_of(F.col(key), F.col(text), slots)
-    table = lookup_table(docs.sparkSession, shards, slots).withColumnsRenamed(
-        {"slot": "_slot", "shard": "_shard"}
-    )
-    rows = docs.withColumn("_at", slot).join(F.broadcast(table), F.col("_at") == F.col("_slot"))
+    at, slot, shard = (unused(docs, n) for n in ("_at", "_slot", "_shard"))
+    table = lookup_table(docs.sparkSession, shards, slots).toDF(slot, shard)
+    rows = docs.withColumn(at, slot_of(F.col(key), F.col(text), slots))
+    rows = rows.join(F.broadcast(table), F.col(at) == F.col(slot))
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "shard"]
-    rows.select(*rest, F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(path)
+    rows.select(*rest, F.col(shard).alias("shard")).write.partitionBy("shard").parquet(path)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from stagedoor.llm.common import MAX_BITS as MAX_FILTER_BITS
-from stagedoor.llm.common import bit_table, components, filter_bits, keys_of, with_bits, without
+from stagedoor.llm.common import bit_table, components, filter_bits, keys_of, unused, with_bits, without
 from stagedoor.session import settle
 
 BITS = 64
@@ -198,5 +198,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     kept = without(docs, gone.union(repeated), doc_id, text)
     if repeated.isEmpty():
         return kept
-    again = docs.select("*", *keys_of(F.col(doc_id), F.col(text))).join(repeated, ["_id", "_text"], "left_semi")
-    return kept.union(again.dropDuplicates(["_id", "_text"]).select(*(f"`{c}`" for c in docs.columns)))
+    names = [unused(docs, "_id"), unused(docs, "_text")]
+    keys = [k.alias(n) for k, n in zip(keys_of(F.col(doc_id), F.col(text)), names, strict=True)]
+    again = docs.select("*", *keys).join(repeated.toDF(*names), names, "left_semi")
+    return kept.union(again.dropDuplicates(names).select(*(f"`{c}`" for c in docs.columns)))

@@ -96,8 +96,8 @@ def test_edge_cases(spark, docs, with_clashes):
     assert decontaminate.contamination(docs(*rows).limit(0), table(spark, items)).collect() == []
 
 
-def test_decontaminated_keeps_clean_rows(spark, docs):
+def test_decontaminated_keeps_clean_rows(spark, docs, with_clashes):
     span = " ".join(f"w{i}" for i in range(13))
-    rows = docs((1, span), (2, "clean"), (None, span), (3, None), (2, "clean"))
+    rows = with_clashes(docs((1, span), (2, "clean"), (None, span), (3, None), (2, "clean")))
     kept = decontaminate.decontaminated(rows, table(spark, [(1, span)]))
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "2", "3"] and kept.columns == rows.columns

@@ -77,8 +77,9 @@ def test_rates_tilt_to_their_targets(docs):
         assert r.rate * r.source_size == pytest.approx(r.target, rel=1e-6)
 
 
-def test_mixed_documents_are_repeated_as_taken(docs):
+def test_mixed_documents_are_repeated_as_taken(docs, with_clashes):
     rows = docs(*((i, "w " * (i % 9), "en", f"s{i % 4}") for i in range(200)), (None, "n n", "en", None), (5, "w " * 5, "en", "s1"))
+    rows = with_clashes(rows)
     mixed = mixing.mixed_documents(rows)
     assert mixed.columns == rows.columns
     expected = mixing.mix(rows).groupBy("doc_id", "source").agg(F.sum("copies").alias("n")).filter("n > 0")

@@ -57,8 +57,8 @@ def test_placement_equals_brute_force(docs, with_clashes):
     assert sharding.shard_documents(docs(*rows).limit(0), NAMES).collect() == []
 
 
-def test_written_shards_hold_every_row(spark, docs, tmp_path):
-    rows = docs(*((i, f"t{i}") for i in range(200)))
+def test_written_shards_hold_every_row(spark, docs, with_clashes, tmp_path):
+    rows = with_clashes(docs(*((i, f"t{i}") for i in range(200))))
     sharding.write_shards(rows, NAMES, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     expected = {r.doc_id: r.shard for r in sharding.shard_documents(rows, NAMES).collect()}

@@ -95,7 +95,10 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert 5 not in roots and 3 not in roots
 
 
-def test_one_of_each_keeps_one(docs):
-    kept = simhash.one_of_each(docs((3, "a b c d"), (2, "a b c d"), (2, "a b c d"), (None, "q r s t"), (None, "q r s t"), (9, None)))
+def test_one_of_each_keeps_one(docs, with_clashes):
+    rows = docs((3, "a b c d"), (2, "a b c d"), (2, "a b c d"), (None, "q r s t"), (None, "q r s t"), (9, None))
+    kept = simhash.one_of_each(with_clashes(rows))
+    assert kept.columns == with_clashes(rows).columns
+    kept = kept.select(rows.columns)
     assert sorted((str(r.doc_id), r.text) for r in kept.collect() if r.text) == [("2", "a b c d"), ("None", "q r s t")]
     assert kept.columns == ["doc_id", "text", "lang", "source"] and kept.count() == 3
