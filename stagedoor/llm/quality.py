@@ -27,7 +27,7 @@ from stagedoor.session import settle
 ORDER = 4
 QUANTILE = 0.995
 # Characters counted at once; bounds a task's memory, whatever the length of texts.
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 21
 BLOCK_DOCS = 1 << 14
 # Trusted ids (16 bytes each) up to this many are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
