@@ -147,7 +147,8 @@ d_sums AS (
   FROM d_orders),
 d_totals AS (
   SELECT net, gross, tickets_sold, tickets_sold - refunded_tickets AS tickets_kept, refunded_tickets,
-         gross - net AS refunded_rev, CASE WHEN gross <> 0 THEN (gross - net) / gross ELSE 0.0 END AS refund_share_of_gross,
+         CAST(CAST(gross AS DECIMAL(28,4)) - CAST(net AS DECIMAL(28,4)) AS DOUBLE) AS refunded_rev,
+         CASE WHEN gross <> 0 THEN CAST(CAST(gross AS DECIMAL(28,4)) - CAST(net AS DECIMAL(28,4)) AS DOUBLE) / gross ELSE 0.0 END AS refund_share_of_gross,
          seats_total, CASE WHEN seats_total <> 0 THEN CAST(tickets_sold AS DOUBLE) / seats_total ELSE 0.0 END AS seat_sell_through,
          CASE WHEN tickets_sold <> refunded_tickets THEN net / (tickets_sold - refunded_tickets) ELSE 0.0 END AS net_per_kept_ticket,
          CASE WHEN kept <> 0 THEN CAST(scanned AS DOUBLE) / kept ELSE 0.0 END AS show_up_rate, scanned,
@@ -347,10 +348,9 @@ _STATEMENTS = {
         UNION ALL SELECT 'worst_no_show_event', worst_name || ' (' || format('{{:.1f}}%', 100 * worst_rate) || ' show-up)' FROM k""",
     "executive_summary": f"""
         WITH k AS (SELECT {_REPORT})
-        SELECT '**Summer stand.** Net revenue **$' || format('{{:,.2f}}', total_net) || '** on ' || format('{{:,}}', tickets_sold)
-          || ' tickets; ' || format('{{:.0f}}%', 100 * overall_rate)
-          || ' of sold tickets walked through the door. Top campaign by revenue: **' || best_by_revenue
-          || '**; best return per dollar: **' || best_per_dollar || '**.' AS summary FROM k""",
+        SELECT 'Summer stand: ' || format('{{:,}}', tickets_sold) || ' tickets brought in $' || format('{{:,.2f}}', total_net)
+          || ' after refunds, and ' || format('{{:.0f}}%', 100 * overall_rate) || ' of them were used. Most was earned through '
+          || best_by_revenue || ', most for each dollar spent through ' || best_per_dollar || '.' AS summary FROM k""",
     "summary_top_campaigns": """
         SELECT name, channel, attributed_orders, attributed_revenue, revenue_per_dollar FROM d_perf
         ORDER BY attributed_revenue DESC, campaign_id LIMIT 5""",

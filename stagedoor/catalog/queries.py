@@ -553,14 +553,16 @@ def order_live_campaigns(s: Season) -> DataFrame:
 
 @_query
 def adhoc_sql(s: Season) -> DataFrame:
-    slices.daily_sales(s.orders, FIRST_DAY, END_DAY).createOrReplaceTempView("daily_sales")
-    return files.adhoc_sql(
+    sales.daily_pacing(s.orders).createOrReplaceTempView("daily_pacing")
+    result = files.adhoc_sql(
         s.spark,
         """
-        SELECT date_format(order_date, 'yyyy-MM-dd') AS order_date, SUM(net_revenue) AS net
-        FROM daily_sales WHERE order_date >= '1995-07-08' GROUP BY 1 ORDER BY 1;
+        SELECT date AS order_date, SUM(net) AS net
+        FROM daily_pacing WHERE date >= '1995-07-08' GROUP BY 1 ORDER BY 1;
         """,
-    ).withColumn("net", F.round("net", 4))
+    )
+    s.spark.catalog.dropTempView("daily_pacing")
+    return result
 
 
 @_query
@@ -596,7 +598,7 @@ def payload_headline(s: Season) -> DataFrame:
     """The headline of an exported document."""
     path = fresh_path(s.spark, "document")
     payload.payload_json(payload.payload_row(s.parts)).write.text(path)
-    return s.spark.range(1).select(F.lit(files.payload_headline(s.spark, path)).alias("headline"))
+    return files.headline_of(s.spark, path)
 
 
 @_query
@@ -721,5 +723,5 @@ def table_row_counts(s: Season) -> DataFrame:
         "revenue_by_tier": revenue,
         "attendance_by_event": attended,
     }
-    counts = [(name, tables.write_observed(df, house, name)[1]) for name, df in written.items()]
+    counts = [(name, tables.write_observed(df, house, name)[1]["row_count"]) for name, df in written.items()]
     return s.spark.createDataFrame(counts, "table_name string, row_count bigint")

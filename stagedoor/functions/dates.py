@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-SEASON_PREFIX = "Summer season"
+SEASON_PREFIX = "Summer season"  # fixed value
 
 
 def day_text(moment: Column) -> Column:

@@ -26,24 +26,22 @@ def total(value: Column | str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
 
 
-# Fixed value: amounts are added in ten-thousandths of a dollar (the files carry cents).
-_STEPS = 10000.0
+# Amounts are added as decimals of four places, up to 1e24, so no sum depends on the order of its rows.
+_MONEY = "DECIMAL(28,4)"
 
 
-def money_total(value: Column | str) -> Column:
-    """A sum of amounts that is 0.0 over no rows and does not depend on the order of the rows.
+def money_sum(value: Column | str) -> Column:
+    """The exact sum of amounts as a decimal, 0 over no rows; for sums that are summed again.
 
     A string is a SQL expression.
-
-    Whole steps add up exactly in a double, so partitioning and retries leave no trace in the last
-    digits, for totals up to 9e11; beyond that it is an ordinary sum of doubles.
     """
-    if isinstance(value, str):
-        return F.expr(
-            f"COALESCE(SUM(RINT(CAST({value} AS DOUBLE) * {_STEPS}D)) / {_STEPS}D, 0D)"
-        )
-    steps = F.sum(F.rint(value.cast("double") * _STEPS))
-    return F.coalesce(steps / _STEPS, F.lit(0.0))
+    amount = F.expr(value) if isinstance(value, str) else value
+    return F.coalesce(F.sum(amount.cast(_MONEY)), F.lit(0)).cast(_MONEY)
+
+
+def money_total(value: Column | str) -> Column:
+    """The sum of amounts as a double, 0.0 over no rows: the exact sum, rounded to a double once."""
+    return money_sum(value).cast("double")
 
 
 def to_hundreds(amount: Column) -> Column:

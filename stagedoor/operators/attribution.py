@@ -21,7 +21,7 @@ CAMPAIGN_PREFIX = "CMP-"
 def code_totals(orders: DataFrame, *keep: str) -> DataFrame:
     """Sales per promo code as typed; the NULL code collects the organic orders."""
     return (
-        sales_measures(orders, *keep)
+        sales_measures(orders, *keep, by="code")
         .groupBy("promo_code", *keep)
         .agg(*[total(c).alias(c) for c in ("orders", "order_rows", "tickets")],
              money_total("net").alias("net"))
@@ -299,16 +299,6 @@ def live_days(campaigns: DataFrame) -> DataFrame:
     )
 
 
-def campaign_window_join(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Orders paired with the coded campaigns live on their day.
-
-    The date range becomes days, so this is an equality join that Spark can partition, instead of
-    comparing every order to every campaign.
-    """
-    day = F.to_date("ordered_at")
-    return orders.withColumn("day", day).join(live_days(campaigns).drop("promo_code"), "day").drop("day")
-
-
 def order_live_campaigns(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Per order: how many coded campaigns were live on its day and what they cost together."""
     per_day = (
@@ -333,7 +323,7 @@ def campaign_window_reach(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     Orders are summed per day before they meet the windows, so no order-campaign pair exists.
     """
     per_day = (
-        sales_measures(orders)
+        sales_measures(orders, by="day")
         .groupBy(F.col("order_date").cast("date").alias("day"))
         .agg(
             total("order_rows").alias("order_rows"),

@@ -156,7 +156,11 @@ def evaluate(check: DataFrame) -> CheckResult:
 def gate(*checks: DataFrame) -> list[CheckResult]:
     """Evaluate the checks; raise once all have run if a blocking one failed."""
     results = [evaluate(check) for check in checks]
+    raise_if_blocked(results)
+    return results
+
+
+def raise_if_blocked(results: list[CheckResult]) -> None:
     for result in results:
         if result.blocking and not result.passed:
             raise BlockedByCheck(result)
-    return results

@@ -1,31 +1,43 @@
 """Sales measures and the tables grouped from them.
 
-Every sales question is a sum of the same few measures. ``sales_measures`` gives them per order;
-``sales_rollup`` sums them once by all the keys any question groups on. Both have the same columns,
-so every function here takes either one, or the staged orders: a single question reads the
-orders directly, a whole report scans them once and goes on from the roll-up.
+Every sales question is a sum of the same few measures, by event and tier, by promo code, or by day.
+``sales_measures`` gives the measures per order; ``sales_rollup`` sums them by all three in one pass,
+in as many rows as there are groups. Every function here takes either one, or the staged orders: a single
+question reads the orders directly, a whole report scans them once and goes on from the roll-up.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagedoor.functions.numbers import money_total, total, zero_if
+from stagedoor.functions.numbers import money_sum, money_total, total, zero_if
 from stagedoor.operators.relational import side_by_side, with_grand_total
 
 COUNTS = ["orders", "order_rows", "tickets", "refunded_tickets", "completed_tickets"]
 AMOUNTS = ["gross", "net"]
-ROLLUP_KEYS = ["event_id", "tier", "promo_code", "order_date"]
+KEYS = ["event_id", "tier", "promo_code", "order_date"]
+# The groupings of the roll-up, and the bits by which Spark numbers them: one for each key left out.
+GROUPINGS = {"event": KEYS[:2], "code": KEYS[2:3], "day": KEYS[3:]}
+_NUMBERS = {
+    name: sum(1 << i for i, k in enumerate(reversed(KEYS)) if k not in keys)
+    for name, keys in GROUPINGS.items()
+}
+GROUPING = "grouping"
 
 
-def sales_measures(orders: DataFrame, *keep: str) -> DataFrame:
-    """Additive measures per order row. A table that has them already passes unchanged."""
+def sales_measures(orders: DataFrame, *keep: str, by: str = "event") -> DataFrame:
+    """Additive measures per order row, or those of one grouping of a roll-up.
+
+    A table that has measures but no groupings passes unchanged.
+    """
+    if GROUPING in orders.columns:
+        return orders.filter(F.col(GROUPING) == by)
     if "order_rows" in orders.columns:
         return orders
     refunded = F.col("status").eqNullSafe("refunded")
     completed = F.col("status").eqNullSafe("completed")
     one = F.lit(1).cast("bigint")
     return orders.select(
-        *ROLLUP_KEYS,
+        *KEYS,
         *keep,
         zero_if(F.col("order_id").isNull(), one).alias("orders"),
         one.alias("order_rows"),
@@ -37,14 +49,16 @@ def sales_measures(orders: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def measure_sums() -> list:
-    return [total(c).alias(c) for c in COUNTS] + [
-        money_total(c).alias(c) for c in AMOUNTS
-    ]
-
+def sales_rollup(orders: DataFrame) -> DataFrame:
+    """Measures by event and tier, by code, and by day, told apart by the column ``grouping``.
 
-def sales_rollup(orders: DataFrame, *keep: str) -> DataFrame:
-    return sales_measures(orders, *keep).groupBy(*ROLLUP_KEYS, *keep).agg(*measure_sums())
+    Sums of amounts stay decimals, as they are summed again.
+    """
+    groups = [[F.col(k) for k in keys] for keys in GROUPINGS.values()]
+    names = F.create_map(*(F.lit(x) for name, number in _NUMBERS.items() for x in (number, name)))
+    sums = [total(c).alias(c) for c in COUNTS] + [money_sum(F.col(c)).alias(c) for c in AMOUNTS]
+    grouped = sales_measures(orders).groupingSets(groups, *KEYS).agg(F.grouping_id().alias("_id"), *sums)
+    return grouped.select(names[F.col("_id").cast("int")].alias(GROUPING), *KEYS, *COUNTS, *AMOUNTS)
 
 
 def revenue_by(sales: DataFrame, names: DataFrame, key: str, name: str, tier: str = "tier") -> DataFrame:
@@ -97,7 +111,7 @@ def total_row_reconciles(revenue: DataFrame, name: str = "event_name") -> DataFr
 def daily_pacing(orders: DataFrame) -> DataFrame:
     """Net revenue and tickets per order day."""
     return (
-        sales_measures(orders)
+        sales_measures(orders, by="day")
         .filter(F.col("order_date").isNotNull())
         .groupBy(F.col("order_date").alias("date"))
         .agg(money_total("net").alias("net"), total("tickets").alias("tickets"))
@@ -120,15 +134,16 @@ def launch_window(pacing: DataFrame, days: int = 4) -> DataFrame:
 
 def sales_totals(orders: DataFrame) -> DataFrame:
     """One row: net, gross and tickets over all orders."""
+    counts = [total(c).alias(c) for c in ("tickets", "refunded_tickets")]
     return (
         sales_measures(orders)
-        .agg(*measure_sums())
+        .agg(*counts, *(money_sum(F.col(c)).alias(c) for c in AMOUNTS))
         .select(
-            "net",
-            "gross",
+            F.col("net").cast("double").alias("net"),
+            F.col("gross").cast("double").alias("gross"),
             F.col("tickets").alias("tickets_sold"),
             "refunded_tickets",
             (F.col("tickets") - F.col("refunded_tickets")).alias("tickets_kept"),
-            (F.col("gross") - F.col("net")).alias("refunded_rev"),
+            (F.col("gross") - F.col("net")).cast("double").alias("refunded_rev"),
         )
     )

@@ -186,7 +186,7 @@ def lever_soft_night(results: DataFrame, settings: PlanSettings) -> DataFrame:
     per_ticket = ratio_or_zero(F.col("net"), F.col("sold"))
     return weakest.select(
         F.lit("soft_night").alias("key"),
-        F.lit("Rescue the soft night").alias("label"),
+        F.lit("Rescue the soft night").alias("label"),  # fixed value
         to_hundreds(add * per_ticket).alias("amount"),
         F.struct(
             F.col("name").alias("event"),
@@ -215,7 +215,7 @@ def lever_vip(results: DataFrame, settings: PlanSettings) -> DataFrame:
     lift = F.lit(settings.vip_price_lift)
     return sums.select(
         F.lit("vip").alias("key"),
-        F.lit("Reprice / expand VIP").alias("label"),
+        F.lit("Reprice / expand VIP").alias("label"),  # fixed value
         to_hundreds(lift * F.col("vip_net_on_sellouts")).alias("amount"),
         F.struct(
             "sellout_nights", "nights", "vip_net_on_sellouts", lift.alias("price_lift")
@@ -253,7 +253,7 @@ def lever_realloc(returns: DataFrame, settings: PlanSettings) -> DataFrame:
     budget, kept = F.lit(settings.realloc_budget), F.lit(settings.realloc_incrementality)
     return ends.select(
         F.lit("realloc").alias("key"),
-        F.lit("Reallocate ad spend").alias("label"),
+        F.lit("Reallocate ad spend").alias("label"),  # fixed value
         to_hundreds(budget * gain * kept).alias("amount"),
         F.struct(
             budget.alias("budget_moved"), "source_rpd", "target_rpd", kept.alias("incrementality")
@@ -266,7 +266,7 @@ def lever_refunds(totals: DataFrame, settings: PlanSettings) -> DataFrame:
     rate = F.lit(settings.refund_convert_rate)
     return totals.select(
         F.lit("refunds").alias("key"),
-        F.lit("Refunds → exchange credits").alias("label"),
+        F.lit("Refunds → exchange credits").alias("label"),  # fixed value
         to_hundreds(rate * F.col("refunded_rev")).alias("amount"),
         F.struct("refunded_rev", rate.alias("convert_rate")).alias("detail"),
     )

@@ -12,14 +12,11 @@ from pyspark.sql import functions as F
 
 from stagedoor.operators.attribution import attribution_summary, campaign_returns
 from stagedoor.operators.relational import side_by_side
-from stagedoor.operators.sales import daily_pacing, sales_rollup
+from stagedoor.operators.sales import GROUPING, daily_pacing, sales_rollup
 from stagedoor.plans import growth
 from stagedoor.plans.settings import PlanSettings
 from stagedoor.session import settle
 
-LISTS = ["events", "daily", "campaigns"]
-MOST_LIST_ROWS = 100_000
-
 
 class PayloadParts:
     """The parts of the document as tables: one row each but for the three lists.
@@ -42,7 +39,7 @@ class PayloadParts:
 
     @cached_property
     def sales(self) -> DataFrame:
-        if "order_rows" in self._orders.columns:
+        if GROUPING in self._orders.columns:
             return self._orders
         return settle(sales_rollup(self._orders), "sales")
 
@@ -108,19 +105,11 @@ def _listed(table: DataFrame, name: str, *order) -> DataFrame:
     return table.agg(F.transform(ordered, lambda item: item["row"]).alias(name))
 
 
-def fits_one_document(parts: PayloadParts) -> bool:
-    """Whether every list is short enough to travel as one row."""
-    sizes = [getattr(parts, name).limit(MOST_LIST_ROWS + 1).count() for name in LISTS]
-    return max(sizes) <= MOST_LIST_ROWS
-
-
 def payload_row(parts: PayloadParts) -> DataFrame:
     """The whole document as one row of structs and arrays, levers as one struct per key.
 
-    Refuses lists too long for one row; ``export_sections`` writes those, whole, in parallel.
+    One row by nature, whatever the number of events, days and campaigns.
     """
-    if not fits_one_document(parts):
-        raise ValueError(f"a list has more than {MOST_LIST_ROWS} rows; export sections instead")
     levers = parts.levers
     amounts = growth.lever_amounts(levers)
     return side_by_side(

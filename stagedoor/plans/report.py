@@ -95,16 +95,16 @@ def executive_summary(
 ) -> DataFrame:
     """One row: the opening sentence of the one-pager."""
     text = F.concat(
-        F.lit(f"**{title}.** Net revenue **"),
-        dollars(F.col("total_net")),
-        F.lit("** on "),
+        F.lit(f"{title}: "),
         thousands(F.col("tickets_sold")),
-        F.lit(" tickets; "),
+        F.lit(" tickets brought in "),
+        dollars(F.col("total_net")),
+        F.lit(" after refunds, and "),
         percent(F.col("overall_rate"), 0),
-        F.lit(" of sold tickets walked through the door. Top campaign by revenue: **"),
+        F.lit(" of them were used. Most was earned through "),
         F.col("best_by_revenue"),
-        F.lit("**; best return per dollar: **"),
+        F.lit(", most for each dollar spent through "),
         F.col("best_per_dollar"),
-        F.lit("**."),
+        F.lit("."),
     )
     return headline_numbers(performance, revenue, attendance, capacity).select(text.alias("summary"))

@@ -1,7 +1,5 @@
 """Session settings and the shared working folder."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,21 +30,51 @@ def build_session(app_name: str = "stagedoor", master: str | None = None, **sett
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a session that names none (a test on one machine) gets a temporary folder.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one in the session's warehouse."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    return _single_machine_dir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself would open it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none where there is no folder."""
+    folder, system = _path(spark, path)
+    if not system.exists(folder) or not system.getFileStatus(folder).isDirectory():
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(folder))
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder, system = _path(spark, path)
+        system.delete(folder, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    file, system = _path(spark, path)
+    if not system.exists(file):
+        return None
+    stream = system.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
 
 
-@functools.cache
-def _single_machine_dir() -> str:
-    return tempfile.mkdtemp(prefix="stagedoor-")
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    file, system = _path(spark, path)
+    stream = system.create(file, True)
+    try:
+        stream.write(bytearray(content.encode("utf-8")))
+    finally:
+        stream.close()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,14 +1,15 @@
 """Writing the published document."""
 
 import json
-from pathlib import Path
 
-from stagedoor.plans.payload import PayloadParts, fits_one_document, payload_json, payload_row
+from stagedoor.plans.payload import PayloadParts, payload_json, payload_row
+from stagedoor.session import read_text, write_text
 
 # The variable and note of the script twin of the document.
 SCRIPT_NOTE = "// Written by the document export; edits are lost on the next run.\n"
 SCRIPT_VARIABLE = "window.BOXOFFICE_DATA"
 
+
 def document(parts: PayloadParts) -> dict:
     """The document as nested Python values, sections and keys in publishing order.
 
@@ -23,30 +24,23 @@ def document(parts: PayloadParts) -> dict:
 def export_document(parts: PayloadParts, out_dir: str) -> list[str]:
     """Write ``data.json`` and its script twin and return the names of the files that changed.
 
-    The same input gives the same bytes, and files that would stay the same are left alone.
-    Lists too long for one document are written by Spark as folders of JSON lines, all rows of
-    them, one folder per section.
+    The same input gives the same bytes, and files that would stay the same are left alone. The
+    folder may be in any file system that Spark knows.
     """
-    if not fits_one_document(parts):
-        return export_sections(parts, out_dir)
+    spark = parts.totals.sparkSession
     text = json.dumps(document(parts), indent=2, ensure_ascii=False)
-    folder = Path(out_dir)
-    folder.mkdir(parents=True, exist_ok=True)
     files = {
         "data.json": f"{text}\n",
         "data.js": f"{SCRIPT_NOTE}{SCRIPT_VARIABLE} = {text};\n",
     }
-    changed = [name for name, content in files.items() if _content(folder / name) != content]
+    changed = [n for n, content in files.items() if read_text(spark, f"{out_dir}/{n}") != content]
     for name in changed:
-        (folder / name).write_text(files[name], encoding="utf-8")
+        write_text(spark, f"{out_dir}/{name}", files[name])
     return changed
 
 
-def _content(path: Path) -> str | None:
-    return path.read_text(encoding="utf-8") if path.exists() else None
-
-
 def export_sections(parts: PayloadParts, out_dir: str) -> list[str]:
+    """The same as a folder of JSON lines for each section, written in parallel."""
     sections = {
         "season": parts.season,
         "goal": parts.goal,

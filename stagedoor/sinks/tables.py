@@ -14,7 +14,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from stagedoor.session import settle
+from stagedoor.session import delete_folders, settle
 
 
 def write_table(df: DataFrame, warehouse: str, name: str) -> DataFrame:
@@ -24,28 +24,32 @@ def write_table(df: DataFrame, warehouse: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_observed(df: DataFrame, warehouse: str, name: str) -> tuple[DataFrame, int]:
-    """Write the table and count its rows in the same pass."""
-    rows = Observation(f"{name}_rows")
-    table = write_table(df.observe(rows, F.count(F.lit(1)).alias("row_count")), warehouse, name)
-    return table, rows.get["row_count"]
+def write_observed(
+    df: DataFrame, warehouse: str, name: str, **metrics: Column
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write the table, and count its rows and whatever else is asked for in the same pass."""
+    seen = Observation(f"{name}_rows")
+    counts = [F.count(F.lit(1)).alias("row_count"), *(m.alias(k) for k, m in metrics.items())]
+    table = write_table(df.observe(seen, *counts), warehouse, name)
+    return table, dict(seen.get)
 
 
 def replace_slices(df: DataFrame, path: str, key: str, requested: DataFrame) -> None:
     """Replace the slices named in ``requested`` (column ``key``) with the rows of ``df``.
 
-    Other slices stay. One write covers all slices; dynamic overwrite leaves a slice alone for
-    which no row comes, so requested slices that exist but got no rows are emptied afterwards.
-    Their number is that of the requested slices, a calendar range or a list of venues. Rows are
-    gathered by slice so that a slice gets few files; a slice far larger than the others is split.
+    Other slices stay. Rows are computed and written once, in one dynamic overwrite, which leaves a slice
+    alone for which no row comes: a requested slice that still holds the file it held before is stale, and all
+    stale slices are deleted together. Their number is that of the requested slices, a calendar range or
+    a list of venues. Rows are gathered by slice so that a slice gets few files; one far larger than the
+    others is split.
     """
     spark = df.sparkSession
-    rows = settle(df.join(requested.select(key), key, "left_semi"), "slices")
     before = slice_keys(spark, path, key)
     if before is not None:
         before = settle(before, "slice-keys")
     (
-        rows.hint("rebalance", F.col(key))
+        df.join(requested.select(key), key, "left_semi")
+        .hint("rebalance", F.col(key))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
@@ -54,11 +58,9 @@ def replace_slices(df: DataFrame, path: str, key: str, requested: DataFrame) ->
     if before is None:
         return
     wanted = requested.select(F.col(key).cast("string").alias("slice")).distinct()
-    produced = rows.select(F.col(key).cast("string").alias("slice")).distinct()
-    stale = before.join(wanted, "slice", "left_semi").join(produced, "slice", "left_anti")
-    nothing = df.drop(key).limit(0)
-    for row in stale.collect():
-        nothing.write.mode("overwrite").parquet(unquote(row.folder))
+    after = slice_keys(spark, path, key).select("slice", "folder", "file")
+    stale = before.join(wanted, "slice", "left_semi").join(after, ["slice", "folder", "file"])
+    delete_folders(spark, [unquote(row.folder) for row in stale.select("folder").collect()])
 
 
 def read_slices(spark: SparkSession, path: str, layout: StructType, key: str) -> DataFrame:
@@ -74,14 +76,17 @@ def read_slices(spark: SparkSession, path: str, layout: StructType, key: str) ->
 
 
 def slice_keys(spark: SparkSession, path: str, key: str) -> DataFrame | None:
-    """The keys of slices that hold rows, as text, and their folders; None where no table exists yet."""
+    """The keys of slices that hold rows, as text, with folder and first file; None where no table exists yet."""
     as_text = StructType([StructField(key, StringType(), True)])
     try:
         table = spark.read.schema(as_text).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
-    return table.groupBy(F.col(key).cast("string").alias("slice")).agg(F.min(folder).alias("folder"))
+    parts = [F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/([^/]*)$", i) for i in (1, 2)]
+    first = F.min(F.struct(parts[0].alias("folder"), parts[1].alias("file"))).alias("first")
+    return table.groupBy(F.col(key).cast("string").alias("slice")).agg(first).select("slice", "first.*")
 
 
 def missing_slices(calendar: DataFrame, present: DataFrame, key: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stagedoor.functions.text import file_date
 
@@ -17,31 +17,46 @@ MISSING_WORDS = [
 
 
 def csv_table(
-    spark: SparkSession, path: str, layout: StructType, pattern: str | None = None
+    spark: SparkSession,
+    path: str,
+    layout: StructType,
+    pattern: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Headered CSV below ``path``, columns taken by header name and cast to ``layout``.
 
     Fields are otherwise verbatim: surrounding spaces stay, columns the layout does not know come
     last as text. Within a folder every file must carry the same header; Spark raises if one
-    differs.
+    differs. A row with more fields than its header raises when it is read; in a shorter row the last
+    columns are NULL. With ``multi_line`` a quoted field may hold line breaks, and a file is read by one task.
     """
     reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("multiLine", multi_line)
+        .option("columnPruning", False)
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    text = reader.csv(path)
+    names = reader.csv(path).columns
+    odd = "_odd_row"
+    strings = [StructField(n, StringType()) for n in [*names, odd]]
+    text = reader.schema(StructType(strings)).option("columnNameOfCorruptRecord", odd).csv(path)
     known = set(layout.fieldNames())
+    # Fields of a row that doesn't fit: commas outside of quotes, and one.
+    unquoted = F.regexp_replace(odd, r'"(?:[^"]|"")*"', "")
+    too_many = F.regexp_count(unquoted, F.lit(",")) + 1 > len(names)
+    error = F.raise_error(F.concat(F.lit("a row with more fields than the header: "), F.col(odd)))
 
     def present(name):
         column = F.col(f"`{name}`")
-        return F.when(~column.isin(MISSING_WORDS), column)
+        value = F.when(~column.isin(MISSING_WORDS), column)
+        return F.when(too_many, error.cast("string")).otherwise(value)
 
     typed = [present(f.name).cast(f.dataType).alias(f.name) for f in layout.fields]
-    extra = [present(name).alias(name) for name in text.columns if name not in known]
+    extra = [present(name).alias(name) for name in names if name not in known]
     return text.select(*typed, *extra)
 
 
@@ -117,20 +132,27 @@ def adhoc_sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM (\n{query}\n)")
 
 
-def payload_headline(spark: SparkSession, path: str, fallback: str = "refreshed data") -> str:
-    """One line about an exported document: its net revenue and the nights with scans."""
+def headline_of(spark: SparkSession, path: str) -> DataFrame:
+    """One row: an exported document's net revenue and the nights with scans."""
     layout = "totals struct<net: double>, season struct<nights_scanned: bigint>"
+    document = spark.read.schema(layout).option("multiLine", True).json(path)
+    return document.select(
+        F.concat(
+            F.lit("$"),
+            F.format_number("totals.net", 0),
+            F.lit(" net, "),
+            F.col("season.nights_scanned").cast(StringType()),
+            F.lit(" nights of scans"),
+        ).alias("headline")
+    )
+
+
+def payload_headline(spark: SparkSession, path: str, fallback: str = "refreshed data") -> str:
+    """The headline of an exported document, or ``fallback`` where there is none to read."""
     try:
-        document = spark.read.schema(layout).option("multiLine", True).json(path)
-        row = document.select(
-            F.concat(
-                F.lit("$"),
-                F.format_number("totals.net", 0),
-                F.lit(" net, "),
-                F.col("season.nights_scanned").cast(StringType()),
-                F.lit(" nights of scans"),
-            ).alias("headline")
-        ).first()
-    except AnalysisException:
+        row = headline_of(spark, path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return fallback
     return (row and row.headline) or fallback

@@ -3,7 +3,7 @@
 The stream sees file entries, not their content, so noticing a file costs the same whatever its
 size, and a file with only a header is noticed too. The drop log, one folder per micro-batch, is
 both the record of handled files and the cursor: the greatest name logged by earlier batches.
-Names carry the date, so name order is date order.
+As a date in a name is written from year to day, sorting names sorts days.
 """
 
 from collections.abc import Callable
@@ -34,7 +34,9 @@ def drop_log(spark: SparkSession, state_dir: str) -> DataFrame | None:
     """Handled files with their batch; the baseline has batch -1. None before the first run."""
     try:
         return spark.read.schema(_LOG).parquet(f"{state_dir}/drops")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

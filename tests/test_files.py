@@ -1,6 +1,7 @@
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException, ParseException
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stagedoor import schemas
 from stagedoor.session import fresh_path
@@ -105,3 +106,15 @@ def test_headline(spark, tmp_path):
     assert files.payload_headline(spark, path) == "$335,166 net, 7 nights of scans"
     assert files.payload_headline(spark, str(tmp_path / "none.json")) == "refreshed data"
     assert files.payload_headline(spark, put(tmp_path / "bad.json", "{oops")) == "refreshed data"
+
+
+def test_rows_that_do_not_fit_the_header(spark, tmp_path):
+    layout = StructType([StructField(n, StringType()) for n in ("a", "b", "c")])
+    (tmp_path / "short.csv").write_text('a,b,c\n1,2\n"x,y",2,3\n')
+    assert rows(files.csv_table(spark, str(tmp_path / "short.csv"), layout)) == [("1", "2", None), ("x,y", "2", "3")]
+    (tmp_path / "long.csv").write_text('a,b,c\n1,2,3\n"x,y",2,3,4\n')
+    with pytest.raises(Exception, match="more fields than the header"):
+        files.csv_table(spark, str(tmp_path / "long.csv"), layout).collect()
+    (tmp_path / "lines.csv").write_text('a,b,c\n1,"two\nlines",3\n')
+    broken = files.csv_table(spark, str(tmp_path / "lines.csv"), layout, multi_line=True)
+    assert rows(broken) == [("1", "two\nlines", "3")]

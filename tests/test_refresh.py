@@ -66,6 +66,9 @@ def test_full_and_partial_refresh(spark, delivered):
     }
     assert run.metrics["campaign_performance"] == {"row_count": 5, "top_campaign": "Kickoff"}
     assert run.metrics["revenue_by_tier"]["total_net_revenue"] == 130.0
+    assert run.metrics["raw_ticket_scans"] == {
+        "files_ingested": 1, "latest_file": "ticket_scans_2025-07-01.csv", "row_count": 5,
+    }
     assert run.metrics["attendance_by_event"]["overall_show_up_rate"] == 0.5
     house = targets.warehouse
     kpis = dict(rows(table_input(spark, house, "box_office_report")))
@@ -95,7 +98,15 @@ def test_full_and_partial_refresh(spark, delivered):
     assert changed["season"]["nights_scanned"] == 2
     register_tables(spark, house, ["refresh_metrics"])
     trend = adhoc_sql(spark, "SELECT value FROM refresh_metrics WHERE metric = 'overall_show_up_rate'")
-    assert trend.count() == 3
+    assert trend.count() == 3 and dict(trend.dtypes) == {"value": "double"}
+    stored = {r.metric: r.value for r in table_input(spark, house, "refresh_metrics").filter("table_name = 'document'").collect()}
+    assert stored["events"] == 2 and stored["campaigns"] == 3
+    assert stored["levers_total"] == changed["levers_total"]
+    assert stored["unattributed_net"] == changed["attribution"]["unattributed_dirty_net"]
+    assert table_input(spark, house, "check_results").count() == 4 + 1 + 1
+    assert table_input(spark, house, "ingest_manifest").count() == 2
+    assert table_input(spark, house, "executive_summary").first().summary.startswith("Season to date: 11 tickets")
+    assert table_input(spark, house, "summary_top_campaigns").count() == 5
 
 
 def test_normalized_codes_pass_the_check(spark, delivered):
@@ -112,6 +123,9 @@ def test_blocking_check_stops_after_its_table(spark, delivered):
         refresh_all(spark, sources, targets)
     assert (root / "house/stg_orders").exists()
     assert not (root / "house/campaign_performance").exists()
+    verdicts = dict(rows(table_input(spark, targets.warehouse, "check_results"), "check_name", "passed"))
+    assert verdicts == {"order_amounts_valid": False, "orders_reference_known_events": True}
+    assert table_input(spark, targets.warehouse, "refresh_metrics").count() > 0
 
 
 def test_partial_refresh_needs_a_full_one(spark, delivered):
@@ -120,12 +134,28 @@ def test_partial_refresh_needs_a_full_one(spark, delivered):
         refresh_admissions(spark, sources, targets)
 
 
-def test_long_lists_leave_as_sections(spark, delivered, monkeypatch):
-    from stagedoor.plans import payload
+def test_sections_are_an_explicit_choice(spark, delivered):
+    from stagedoor.plans.payload import PayloadParts
+    from stagedoor.sinks.documents import export_sections
 
     root, sources, targets = delivered()
-    monkeypatch.setattr(payload, "MOST_LIST_ROWS", 1)
     refresh_all(spark, sources, targets)
-    events = spark.read.json(str(root / "report/events"))
-    assert rows(events, "id") == [("EV-01",), ("EV-02",)]
-    assert not (root / "report/data.json").exists()
+    orders, events, campaigns, attendance = (
+        table_input(spark, targets.warehouse, n)
+        for n in ("stg_orders", "stg_events", "stg_campaigns", "attendance_by_event")
+    )
+    export_sections(PayloadParts(orders, events, campaigns, lambda _: attendance), str(root / "sections"))
+    assert rows(spark.read.json(str(root / "sections/events")), "id") == [("EV-01",), ("EV-02",)]
+    assert (root / "report/data.json").exists()
+
+
+def test_query_tool_prints_every_row(spark, tmp_path, capsys, monkeypatch):
+    from stagedoor.sources import query_tool
+
+    monkeypatch.setattr(query_tool, "build_session", lambda name: spark)
+    assert query_tool.main([str(tmp_path / "none"), "SELECT 1"]) == 1
+    spark.range(1_500).write.parquet(str(tmp_path / "house/numbers"))
+    assert query_tool.main([str(tmp_path / "house"), "SELECT id FROM numbers ORDER BY id"]) == 0
+    assert capsys.readouterr().out.split() == ["id", *map(str, range(1_500))]
+    assert query_tool.main([str(tmp_path / "house"), "SELECT nothing FROM numbers"]) == 1
+    assert query_tool.main([str(tmp_path / "house")]) == 2

@@ -90,3 +90,20 @@ def test_monthly_sales(orders):
     assert rows(slices.monthly_sales(orders), "order_month", "tier", "tickets") == [
         (dt.date(2025, 6, 1), "GA", 5), (dt.date(2025, 6, 1), "VIP", 1), (dt.date(2025, 7, 1), "GA", 1),
     ]
+
+
+def test_many_stale_slices_are_emptied_in_as_many_jobs_as_few(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    def jobs(stale):
+        path = str(tmp_path / f"slices{stale}")
+        rows = spark.range(stale + 2).select(F.col("id").alias("key"), F.lit(1).alias("n"))
+        replace_slices(rows, path, "key", rows.select("key"))
+        spark.sparkContext.setJobGroup(path, path)
+        replace_slices(rows.filter("key = 0").withColumn("n", F.lit(2)), path, "key", rows.filter(f"key <= {stale}").select("key"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        left = {tuple(r) for r in spark.read.parquet(path).select("key", "n").collect()}
+        assert left == {(0, 2), (stale + 1, 1)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(path))
+
+    assert jobs(200) <= jobs(3) + 2
