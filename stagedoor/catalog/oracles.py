@@ -582,10 +582,81 @@ _STATEMENTS = {
 }
 
 
+def _scans_of(day: int) -> str:
+    return f"(SELECT count(*) FROM d_rawscans WHERE CAST(scan_id AS BIGINT) % 3 = {day})"
+
+
+_DELIVERED = {
+    "csv_increments": _STATEMENTS["csv_round_trip"],
+    "csv_folder_manifest": " UNION ALL ".join(
+        [f"SELECT '2025-07-0{d + 1}' AS file_date, {_scans_of(d)} AS row_count, true AS has_header" for d in range(3)]
+        + ["SELECT '2025-07-04', 0, true"]
+    ),
+    "empty_slice_rebuild": f"""
+        SELECT * FROM ({_MONTHLY}) WHERE NOT (month(order_month) = 6 AND year(order_month) <= 1996)""",
+    "stream_baseline_and_late_file": " UNION ALL ".join(
+        f"SELECT '2025-07-0{d + 1}' AS file_date, {_scans_of(d)} AS row_count, {str(d == 2).lower()} AS triggered"
+        for d in range(3)
+    ),
+    "blocking_gate": """
+        WITH d_odd AS (
+          SELECT (SELECT count(*) FROM d_orders WHERE o_orderkey % 64 = 0) AS twice,
+                 (SELECT CAST(COALESCE(sum(CASE WHEN o_orderkey % 64 = 0 THEN 2 ELSE 1 END), 0) AS BIGINT)
+                  FROM d_orders WHERE o_orderkey % 100 = 1) AS nowhere)
+        SELECT 'order_amounts_valid' AS check_name, twice = 0 AS passed, twice AS failing_rows, twice > 0 AS stops_the_run FROM d_odd
+        UNION ALL SELECT 'orders_reference_known_events', nowhere = 0, nowhere, false FROM d_odd""",
+    "refresh_metrics": """
+        WITH d_metrics AS (
+          SELECT 'raw_campaigns' AS table_name, 'row_count' AS metric, CAST((SELECT count(*) FROM d_campaigns) AS DOUBLE) AS value
+          UNION ALL SELECT 'raw_events', 'row_count', (SELECT count(*) FROM d_events)
+          UNION ALL SELECT 'raw_orders', 'row_count', (SELECT count(*) FROM d_raw)
+          UNION ALL SELECT 'raw_ticket_scans', 'row_count', (SELECT count(*) FROM d_rawscans)
+          UNION ALL SELECT 'stg_campaigns', 'row_count', (SELECT count(*) FROM d_campaigns)
+          UNION ALL SELECT 'stg_events', 'row_count', (SELECT count(*) FROM d_events)
+          UNION ALL SELECT 'stg_orders', 'row_count', (SELECT count(*) FROM d_orders)
+          UNION ALL SELECT 'stg_orders', 'refunded_orders', (SELECT count(*) FROM d_orders WHERE status = 'refunded')
+          UNION ALL SELECT 'stg_ticket_scans', 'row_count', (SELECT count(*) FROM d_scans)
+          UNION ALL SELECT 'stg_ticket_scans', 'duplicate_scans_dropped', (SELECT count(*) FROM d_rawscans) - (SELECT count(*) FROM d_first)
+          UNION ALL SELECT 'stg_ticket_scans', 'orphan_scans_dropped', (SELECT count(*) FROM d_first) - (SELECT count(*) FROM d_scans)
+          UNION ALL SELECT 'campaign_performance', 'row_count', (SELECT count(*) FROM d_perf)
+          UNION ALL SELECT 'revenue_by_tier', 'row_count', (SELECT count(*) FROM d_rev)
+          UNION ALL SELECT 'revenue_by_tier', 'total_net_revenue', (SELECT net_revenue FROM d_rev WHERE event_name = 'TOTAL')
+          UNION ALL SELECT 'attendance_by_event', 'row_count', (SELECT count(*) FROM d_att)
+          UNION ALL SELECT 'attendance_by_event', 'overall_show_up_rate',
+            (SELECT CAST(SUM(tickets_scanned) AS DOUBLE) / CAST(SUM(tickets_sold) AS DOUBLE) FROM d_att)
+          UNION ALL SELECT 'box_office_report', 'row_count', 8
+          UNION ALL SELECT 'executive_summary', 'row_count', 1
+          UNION ALL SELECT 'summary_top_campaigns', 'row_count', 5
+          UNION ALL SELECT 'summary_show_up', 'row_count', (SELECT count(*) FROM d_att)
+          UNION ALL SELECT 'document', 'changed_files', 2
+          UNION ALL SELECT 'document', 'events', (SELECT count(*) FROM d_results)
+          UNION ALL SELECT 'document', 'campaigns', (SELECT count(*) FROM d_returns)
+          UNION ALL SELECT 'document', 'net_revenue', (SELECT net FROM d_totals)
+          UNION ALL SELECT 'document', 'target_net', (SELECT target_net FROM d_goal)
+          UNION ALL SELECT 'document', 'levers_total', (SELECT SUM(amount) FROM d_levers)
+          UNION ALL SELECT 'document', 'unattributed_net', (SELECT unattributed_dirty_net FROM d_attr))
+        SELECT table_name, metric, round(value, 4) AS value FROM d_metrics""",
+    "check_results": " UNION ALL ".join(
+        f"SELECT check_name, passed, severity, blocking FROM ({_STATEMENTS[n]})"
+        for n in ("check_order_amounts", "check_known_events", "check_promo_attributed", "check_show_up_rate")
+    ),
+    "admissions_refresh": _STATEMENTS["attendance_by_event"],
+    "exported_document": """
+        SELECT CAST(row_number() OVER (ORDER BY r.id) - 1 AS INTEGER) AS position, r.id, r.sold, r.net,
+               m.sold AS premium_sold, m.net AS premium_net, a.tickets_scanned AS scanned,
+               true AS export_repeats, true AS twin_equals
+        FROM d_results r LEFT JOIN d_att a ON r.id = a.event_id
+        JOIN d_matrix m ON m.id = r.id AND m.tier = '1-URGENT'""",
+    "dated_files": """
+        SELECT scan_id, '2025-07-0' || (CAST(scan_id AS BIGINT) % 3 + 1) AS file_date FROM d_scans""",
+    "written_tables_read_back": "SELECT order_id, event_id, tier, promo_code, gross_revenue, net_revenue FROM d_orders",
+}
+
+
 def statements() -> dict[str, str]:
     """Query name to SQL. A statement with its own WITH continues the shared chain."""
     whole = {}
-    for name, text in _STATEMENTS.items():
+    for name, text in (_STATEMENTS | _DELIVERED).items():
         text = text.strip()
         joint = ",\n" + text[len("WITH ") :] if text.startswith("WITH ") else "\n" + text
         whole[name] = CHAIN.strip() + joint

@@ -99,7 +99,7 @@ class Season:
 _QUERIES: dict[str, Query] = {}
 
 
-def _query(build: Callable[[Season], DataFrame]) -> Callable[[Season], DataFrame]:
+def query(build: Callable[[Season], DataFrame]) -> Callable[[Season], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(Season(spark, folder))
 
@@ -109,59 +109,61 @@ def _query(build: Callable[[Season], DataFrame]) -> Callable[[Season], DataFrame
 
 
 def queries() -> dict[str, Query]:
+    from stagedoor.catalog import delivered  # noqa: F401  registers its queries
+
     return dict(_QUERIES)
 
 
 # ---- staging ---------------------------------------------------------------------------------
 
 
-@_query
+@query
 def stg_campaigns(s: Season) -> DataFrame:
     return s.campaigns
 
 
-@_query
+@query
 def stg_events(s: Season) -> DataFrame:
     return s.events
 
 
-@_query
+@query
 def stg_orders(s: Season) -> DataFrame:
     return s.orders
 
 
-@_query
+@query
 def stg_orders_normalized(s: Season) -> DataFrame:
     return s.clean_orders
 
 
-@_query
+@query
 def stg_ticket_scans(s: Season) -> DataFrame:
     return s.scans
 
 
-@_query
+@query
 def first_scan_per_ticket(s: Season) -> DataFrame:
     return staging.scan_stages(s.source.raw_scans(), s.orders).first_per_ticket
 
 
-@_query
+@query
 def scan_drop_counts(s: Season) -> DataFrame:
     return staging.scan_drop_counts(s.source.raw_scans(), s.orders)
 
 
-@_query
+@query
 def orphan_scans(s: Season) -> DataFrame:
     per_order = s.source.raw_scans().groupBy("order_id").agg(F.count("*").alias("scans"))
     return relational.with_unknown_key(per_order, s.orders, "order_id")
 
 
-@_query
+@query
 def unknown_order_ids(s: Season) -> DataFrame:
     return relational.key_difference(s.source.raw_scans(), s.orders, "order_id")
 
 
-@_query
+@query
 def code_forms(s: Season) -> DataFrame:
     codes = attribution.code_totals(s.orders).filter(F.col("promo_code").isNotNull())
     return codes.select(
@@ -169,7 +171,7 @@ def code_forms(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def ticket_numbers(s: Season) -> DataFrame:
     number = ticket_number(F.col("ticket_id")).alias("ticket_number")
     return s.source.raw_scans().groupBy(number).agg(F.count("*").alias("scans"))
@@ -178,27 +180,27 @@ def ticket_numbers(s: Season) -> DataFrame:
 # ---- marts -----------------------------------------------------------------------------------
 
 
-@_query
+@query
 def campaign_performance(s: Season) -> DataFrame:
     return attribution.campaign_performance(s.orders, s.campaigns)
 
 
-@_query
+@query
 def campaign_performance_normalized(s: Season) -> DataFrame:
     return attribution.campaign_performance(s.clean_orders, s.campaigns)
 
 
-@_query
+@query
 def revenue_by_tier(s: Season) -> DataFrame:
     return sales.revenue_by_tier(s.orders, s.events)
 
 
-@_query
+@query
 def attendance_by_event(s: Season) -> DataFrame:
     return s.attendance.orderBy("event_id")
 
 
-@_query
+@query
 def attendance_by_event_distinct(s: Season) -> DataFrame:
     """The mart over scans that may repeat a ticket: an exact distinct count."""
     known = relational.with_known_key(s.source.raw_scans(), s.orders, "order_id")
@@ -206,12 +208,12 @@ def attendance_by_event_distinct(s: Season) -> DataFrame:
     return attendance.attendance_by_event(first, s.orders, s.events)
 
 
-@_query
+@query
 def campaign_credit(s: Season) -> DataFrame:
     return attribution.campaign_credit(s.orders, s.campaigns)
 
 
-@_query
+@query
 def order_buckets(s: Season) -> DataFrame:
     return attribution.without_code_summary(s.orders, s.campaigns)
 
@@ -219,7 +221,7 @@ def order_buckets(s: Season) -> DataFrame:
 # ---- reporting -------------------------------------------------------------------------------
 
 
-@_query
+@query
 def headline_numbers(s: Season) -> DataFrame:
     numbers = report.headline_numbers(*s.marts(), s.capacity)
     return numbers.select(
@@ -235,23 +237,23 @@ def headline_numbers(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def box_office_report(s: Season) -> DataFrame:
     return report.box_office_report(*s.marts(), s.capacity)
 
 
-@_query
+@query
 def executive_summary(s: Season) -> DataFrame:
     return report.executive_summary(*s.marts(), "Summer stand", s.capacity)
 
 
-@_query
+@query
 def summary_top_campaigns(s: Season) -> DataFrame:
     performance = attribution.campaign_performance(s.orders, s.campaigns)
     return report.summary_tables(performance, s.attendance)[0]
 
 
-@_query
+@query
 def summary_show_up(s: Season) -> DataFrame:
     performance = attribution.campaign_performance(s.orders, s.campaigns)
     return report.summary_tables(performance, s.attendance)[1]
@@ -260,17 +262,17 @@ def summary_show_up(s: Season) -> DataFrame:
 # ---- slices ----------------------------------------------------------------------------------
 
 
-@_query
+@query
 def daily_sales(s: Season) -> DataFrame:
     return slices.daily_sales(s.orders, FIRST_DAY, END_DAY)
 
 
-@_query
+@query
 def daily_sales_one_day(s: Season) -> DataFrame:
     return slices.day_slice(s.orders, "1996-03-04")
 
 
-@_query
+@query
 def monthly_sales_rebuilt(s: Season) -> DataFrame:
     """Slices as stored: an outdated first build, then all of them rebuilt over it."""
     path = fresh_path(s.spark, "monthly_sales")
@@ -281,12 +283,12 @@ def monthly_sales_rebuilt(s: Season) -> DataFrame:
     return tables.read_slices(s.spark, path, rows.schema, "order_month")
 
 
-@_query
+@query
 def slice_summary(s: Season) -> DataFrame:
     return slices.slice_summary(slices.daily_sales(s.orders, FIRST_DAY, END_DAY))
 
 
-@_query
+@query
 def missing_slices(s: Season) -> DataFrame:
     days = s.orders.select(F.to_date("order_date").alias("order_date"))
     return tables.missing_slices(
@@ -294,7 +296,7 @@ def missing_slices(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def monthly_sales(s: Season) -> DataFrame:
     return slices.monthly_sales(s.orders)
 
@@ -302,28 +304,28 @@ def monthly_sales(s: Season) -> DataFrame:
 # ---- document parts --------------------------------------------------------------------------
 
 
-@_query
+@query
 def event_results(s: Season) -> DataFrame:
     return s.results().drop("tiers", "attendance")
 
 
-@_query
+@query
 def event_attendance(s: Season) -> DataFrame:
     results = growth.event_results(s.events, s.orders, s.attendance, s.settings)
     return results.filter(F.col("attendance").isNotNull()).select("id", "attendance.*")
 
 
-@_query
+@query
 def events_by_net(s: Season) -> DataFrame:
     return growth.events_by_net(s.results()).select("id", "name", "net")
 
 
-@_query
+@query
 def tier_matrix(s: Season) -> DataFrame:
     return growth.tier_matrix(s.results())
 
 
-@_query
+@query
 def tier_totals(s: Season) -> DataFrame:
     derived = growth.derived_events(s.results(), s.settings)
     return derived.select(F.explode("tier_totals").alias("tier", "figures")).select(
@@ -331,48 +333,48 @@ def tier_totals(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def daily_pacing(s: Season) -> DataFrame:
     return sales.daily_pacing(s.orders).orderBy("date")
 
 
-@_query
+@query
 def launch_window(s: Season) -> DataFrame:
     return sales.launch_window(settle(sales.daily_pacing(s.orders), "pacing"))
 
 
-@_query
+@query
 def campaign_returns(s: Season) -> DataFrame:
     return attribution.campaign_returns(s.orders, s.campaigns)
 
 
-@_query
+@query
 def attribution_summary(s: Season) -> DataFrame:
     return attribution.attribution_summary(s.orders, s.campaigns)
 
 
-@_query
+@query
 def lever_soft_night(s: Season) -> DataFrame:
     return growth.lever_soft_night(s.results(), s.settings).select("amount", "detail.*")
 
 
-@_query
+@query
 def lever_vip(s: Season) -> DataFrame:
     return growth.lever_vip(s.results(), s.settings).select("amount", "detail.*")
 
 
-@_query
+@query
 def lever_realloc(s: Season) -> DataFrame:
     return growth.lever_realloc(s.returns, s.settings).select("amount", "detail.*")
 
 
-@_query
+@query
 def lever_refunds(s: Season) -> DataFrame:
     totals = sales.sales_totals(s.orders)
     return growth.lever_refunds(totals, s.settings).select("amount", "detail.*")
 
 
-@_query
+@query
 def goal_and_levers(s: Season) -> DataFrame:
     return relational.side_by_side(
         s.parts.goal,
@@ -380,18 +382,18 @@ def goal_and_levers(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def median_return(s: Season) -> DataFrame:
     return growth.median_return(attribution.campaign_returns(s.orders, s.campaigns))
 
 
-@_query
+@query
 def weakest_campaigns(s: Season) -> DataFrame:
     returns = attribution.campaign_returns(s.orders, s.campaigns)
     return growth.weakest_campaigns(returns).select("id", "spend", "net", "rpd")
 
 
-@_query
+@query
 def derived_scalars(s: Season) -> DataFrame:
     return s.parts.derived.select(
         F.col("best_event.name").alias("best_event"),
@@ -422,17 +424,17 @@ def derived_scalars(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def season(s: Season) -> DataFrame:
     return s.parts.season
 
 
-@_query
+@query
 def season_totals(s: Season) -> DataFrame:
     return s.parts.totals
 
 
-@_query
+@query
 def payload_document(s: Season) -> DataFrame:
     """The document as JSON text, read back: figures from each of its sections."""
     row = payload.payload_row(s.parts)
@@ -471,14 +473,14 @@ def payload_document(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def attribution_movement(s: Season) -> DataFrame:
     returns = attribution.campaign_returns(s.sales, s.campaigns)
     summary = attribution.attribution_summary(s.sales, s.campaigns)
     return attribution.attribution_movement(returns, summary)
 
 
-@_query
+@query
 def page_scalars(s: Season) -> DataFrame:
     return payload.page_scalars(s.parts)
 
@@ -486,12 +488,12 @@ def page_scalars(s: Season) -> DataFrame:
 # ---- checks ----------------------------------------------------------------------------------
 
 
-@_query
+@query
 def check_order_amounts(s: Season) -> DataFrame:
     return checks.order_amounts_valid(s.orders)
 
 
-@_query
+@query
 def check_raw_order_amounts(s: Season) -> DataFrame:
     """The same check on orders that staging has not filtered, where it fails."""
     gross = F.col("qty") * F.col("unit_price_usd")
@@ -500,37 +502,37 @@ def check_raw_order_amounts(s: Season) -> DataFrame:
     return checks.order_amounts_valid(s.source.raw_orders().withColumn("net_revenue", net))
 
 
-@_query
+@query
 def check_known_events(s: Season) -> DataFrame:
     return checks.orders_reference_known_events(s.orders, s.events)
 
 
-@_query
+@query
 def check_promo_attributed(s: Season) -> DataFrame:
     return checks.all_promo_orders_attributed(s.orders, s.campaigns)
 
 
-@_query
+@query
 def check_show_up_rate(s: Season) -> DataFrame:
     return checks.show_up_rate_in_bounds(s.attendance)
 
 
-@_query
+@query
 def check_ticket_integrity(s: Season) -> DataFrame:
     return checks.ticket_integrity(s.source.raw_scans(), s.orders)
 
 
-@_query
+@query
 def check_codes_canonical(s: Season) -> DataFrame:
     return checks.promo_codes_canonical(s.orders)
 
 
-@_query
+@query
 def check_total_reconciles(s: Season) -> DataFrame:
     return sales.total_row_reconciles(sales.revenue_by_tier(s.orders, s.events))
 
 
-@_query
+@query
 def check_plan_covers_gap(s: Season) -> DataFrame:
     return checks.plan_covers_gap(growth.lever_amounts(s.parts.levers), s.parts.goal)
 
@@ -538,12 +540,12 @@ def check_plan_covers_gap(s: Season) -> DataFrame:
 # ---- campaign windows ------------------------------------------------------------------------
 
 
-@_query
+@query
 def campaign_window_reach(s: Season) -> DataFrame:
     return attribution.campaign_window_reach(s.orders, s.campaigns)
 
 
-@_query
+@query
 def order_live_campaigns(s: Season) -> DataFrame:
     return attribution.order_live_campaigns(s.orders, s.campaigns)
 
@@ -551,7 +553,7 @@ def order_live_campaigns(s: Season) -> DataFrame:
 # ---- sources and sinks -----------------------------------------------------------------------
 
 
-@_query
+@query
 def adhoc_sql(s: Season) -> DataFrame:
     sales.daily_pacing(s.orders).createOrReplaceTempView("daily_pacing")
     result = files.adhoc_sql(
@@ -565,18 +567,18 @@ def adhoc_sql(s: Season) -> DataFrame:
     return result
 
 
-@_query
+@query
 def rows_per_file(s: Season) -> DataFrame:
     return files.rows_per_file(s.source.table("events"))
 
 
-@_query
+@query
 def preview(s: Season) -> DataFrame:
     first = files.preview(s.source.raw_orders(), "ordered_at", "order_id")
     return first.select("order_id", "event_id", "tier", "qty")
 
 
-@_query
+@query
 def csv_round_trip(s: Season) -> DataFrame:
     """Raw orders delivered as CSV and read back verbatim."""
     path = fresh_path(s.spark, "orders-csv")
@@ -586,14 +588,14 @@ def csv_round_trip(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def changed_rows(s: Season) -> DataFrame:
     """What cleaning the promo codes changes in the staged orders."""
     columns = ["order_id", "promo_code"]
     return relational.changed_rows(s.orders.select(*columns), s.clean_orders.select(*columns))
 
 
-@_query
+@query
 def payload_headline(s: Season) -> DataFrame:
     """The headline of an exported document."""
     path = fresh_path(s.spark, "document")
@@ -601,7 +603,7 @@ def payload_headline(s: Season) -> DataFrame:
     return files.headline_of(s.spark, path)
 
 
-@_query
+@query
 def stream_file_drops(s: Season) -> DataFrame:
     """The scan table as a dropped file: a stream notices it and refreshes attendance."""
     state, out = fresh_path(s.spark, "drops"), fresh_path(s.spark, "attendance")
@@ -617,7 +619,7 @@ def stream_file_drops(s: Season) -> DataFrame:
 # ---- neighbouring businesses -----------------------------------------------------------------
 
 
-@_query
+@query
 def fallback_attribution(s: Season) -> DataFrame:
     """A second key, known for a third of the orders, names the campaign directly."""
     campaign = F.concat(F.lit("CMP-"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
@@ -632,12 +634,12 @@ def _orders_with_venue(s: Season) -> DataFrame:
     return orders.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
 
 
-@_query
+@query
 def settlement_by_venue(s: Season) -> DataFrame:
     return extensions.settlement_by_venue(_orders_with_venue(s))
 
 
-@_query
+@query
 def settlement_slices(s: Season) -> DataFrame:
     """Sales stored as one slice per venue."""
     path = fresh_path(s.spark, "venues")
@@ -658,19 +660,19 @@ def _programs(s: Season) -> tuple[DataFrame, DataFrame, DataFrame]:
     return programs, offers, offers.filter(F.col("answer") == "F")
 
 
-@_query
+@query
 def yield_by_program(s: Season) -> DataFrame:
     return extensions.yield_by_program(*_programs(s))
 
 
-@_query
+@query
 def check_yield_rate(s: Season) -> DataFrame:
     names = ("offers_made", "enrolled", "yield_rate")
     table = extensions.yield_by_program(*_programs(s))
     return checks.rate_in_bounds(table, names, 0.0, 1.0, "yield_rate_in_bounds")
 
 
-@_query
+@query
 def mrr_by_month(s: Season) -> DataFrame:
     payments = s.source.table("orders")
     return extensions.mrr_by_month(
@@ -678,38 +680,38 @@ def mrr_by_month(s: Season) -> DataFrame:
     )
 
 
-@_query
+@query
 def churn_by_month(s: Season) -> DataFrame:
     payments = s.source.table("orders")
     return extensions.churn_by_month(payments, F.col("o_orderdate"), F.col("o_custkey"))
 
 
-@_query
+@query
 def ticket_fanout(s: Season) -> DataFrame:
     return extensions.ticket_fanout(s.orders)
 
 
-@_query
+@query
 def pass_utilization(s: Season) -> DataFrame:
     return extensions.pass_utilization(s.orders, s.source.raw_scans())
 
 
-@_query
+@query
 def campaign_quality(s: Season) -> DataFrame:
     return extensions.campaign_quality(s.source.raw_scans(), s.orders, s.campaigns)
 
 
-@_query
+@query
 def revenue_by_sku(s: Season) -> DataFrame:
     return extensions.revenue_by_sku(s.source.merch_sales())
 
 
-@_query
+@query
 def merch_per_attendee(s: Season) -> DataFrame:
     return extensions.merch_per_attendee(s.source.merch_sales(), s.attendance)
 
 
-@_query
+@query
 def table_row_counts(s: Season) -> DataFrame:
     """Row counts taken while the tables are written, without a second pass."""
     house = fresh_path(s.spark, "warehouse")

@@ -57,6 +57,15 @@ def delete_folders(spark: SparkSession, paths: list[str]) -> None:
         system.delete(folder, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file within its file system; the folder it goes to is made."""
+    before, system = _path(spark, source)
+    after, _ = _path(spark, target)
+    system.mkdirs(after.getParent())
+    if not system.rename(before, after):
+        raise OSError(f"{source} can't be moved to {target}")
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     file, system = _path(spark, path)
     if not system.exists(file):
