@@ -89,7 +89,7 @@ def queries() -> dict[str, Query]:
 
 def statements() -> dict[str, str]:
     """The same in DuckDB's SQL, where SQL can express it."""
-    return {"op3_benchmark_decontamination": _DECONTAMINATION, "op9_exact_dedup": _EXACT_DEDUP}
+    return {"op3_benchmark_decontamination": _DECONTAMINATION, "op6_secret_scans": _secrets(), "op9_exact_dedup": _EXACT_DEDUP}
 
 
 _EXACT_DEDUP = r"""
@@ -121,3 +121,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
+
+
+def _secrets() -> str:
+    """Positions from what lies between matches, as in the query; links by comparing spans of a text."""
+    patterns = {
+        "assign": secret_scan.ASSIGN, "access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}",
+        "account": secret_scan.ACCOUNT, "key": secret_scan.BARE_KEY, "endpoint": secret_scan.ENDPOINT,
+    }
+    rows = ",\n         ".join(
+        "('{}', {}, '{}', '{}')".format(
+            kind, i, secret_scan.ROLES[kind], p.replace("(?<![A-Za-z0-9_])", r"\b").replace("'", "''")
+        )
+        for i, (kind, p) in enumerate(patterns.items())
+    )
+    completes = " OR ".join(
+        f"(w.kind = '{kind}' AND o.role IN ({', '.join(map(repr, roles))}))"
+        for kind, roles in secret_scan.COMPLETED_BY.items()
+    )
+    assign, reach = secret_scan.ASSIGN.replace("'", "''"), secret_scan.REACH
+    return f"""
+WITH
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+kinds(kind, place, role, pattern) AS (VALUES {rows}),
+found AS (SELECT r, kind, place, role, unnest(string_split_regex(t, pattern)) AS gap,
+            unnest(regexp_extract_all(t, pattern, 0)) AS v, unnest(range(len(string_split_regex(t, pattern)))) AS i
+          FROM d, kinds WHERE regexp_matches(t, pattern)),
+placed AS (SELECT *, sum(len(gap) + len(v)) OVER (PARTITION BY r, kind ORDER BY i) AS past FROM found WHERE v IS NOT NULL),
+spans AS (SELECT r, kind, place, role, past - len(v) AS start, past, place < 3 AS base FROM placed
+          WHERE CASE kind WHEN 'assign' THEN len(regexp_extract(v, '{assign}', 2)) >= 6
+            WHEN 'key' THEN regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[0-9]') ELSE true END),
+weak AS (SELECT * FROM spans w WHERE NOT base AND NOT EXISTS (
+    SELECT 1 FROM spans o WHERE o.r = w.r AND o.base AND o.role = w.role AND w.start < o.past AND o.start < w.past)),
+kept AS (SELECT * FROM spans WHERE base UNION ALL SELECT * FROM weak w WHERE EXISTS (
+    SELECT 1 FROM spans o WHERE o.r = w.r AND ({completes})
+      AND o.start < w.past + {reach} AND o.past > greatest(w.start - {reach}, 0))),
+listed AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || start || ':' || past, ',' ORDER BY start, place) FILTER (base) AS bases,
+             string_agg(kind || ':' || start || ':' || past, ',' ORDER BY start, place) AS spans
+           FROM kept GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(bases, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (r)
+"""

@@ -22,9 +22,12 @@ HEX = r"[0-9a-f]+"
 HEX_LEAST = 24
 
 # Weak kinds. A bare key has 32 characters or more, letters of both cases and digits.
-ACCOUNT = r"""(?i)\b(?:user(?:_?name)?|login|client_?id|account_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}"""
+ACCOUNT = r"""(?i)(?<![A-Za-z0-9_])(?:user(?:_?name)?|login|client_?id|account_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}"""
 BARE_KEY = r"[A-Za-z0-9+/_-]{32,}={0,2}"
-ENDPOINT = r"""(?i)\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+"""
+ENDPOINT = (
+    r"""(?i)(?<![A-Za-z0-9_])(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)"""
+    r"""://[^\x00-\x20"'<>]+"""
+)
 
 KINDS = ("assign", "access", "hex", "account", "key", "endpoint")
 BASE = KINDS[:3]
