@@ -27,7 +27,9 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
     arc_warc.write_arc(table(spark, folder, "pages"), arc)
     arc_warc.convert(spark, arc, warc)
-    return arc_warc.read_warc(spark, warc)
+    return arc_warc.read_warc(spark, warc).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
 
 
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +91,7 @@ def queries() -> dict[str, Query]:
 
 def statements() -> dict[str, str]:
     """The same in DuckDB's SQL, where SQL can express it."""
-    return {"op3_benchmark_decontamination": _DECONTAMINATION, "op6_secret_scans": _secrets(), "op9_exact_dedup": _EXACT_DEDUP}
+    return {"op2_warc": _WARC, "op3_benchmark_decontamination": _DECONTAMINATION, "op6_secret_scans": _secrets(), "op9_exact_dedup": _EXACT_DEDUP}
 
 
 _EXACT_DEDUP = r"""
@@ -101,6 +103,25 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+_WARC = """
+WITH
+p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+bits AS (SELECT page_id, strlen(html) AS payload_bytes,
+           list_aggregate(list_transform(string_split(sha1(html), ''), lambda c: ['0000', '0001', '0010', '0011', '0100', '0101', '0110',
+             '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', c)]), 'string_agg', '') AS b
+         FROM p),
+digests AS (SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+              CAST(1 + 16 * CAST(substr(b, 5 * k + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * k + 2, 1) AS INT)
+                + 4 * CAST(substr(b, 5 * k + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * k + 4, 1) AS INT)
+                + CAST(substr(b, 5 * k + 5, 1) AS INT) AS BIGINT), 1)), 'string_agg', '') AS payload_digest
+            FROM bits),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM digests)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> f THEN f END AS refers_to
+FROM firsts
+"""
+
 _DECONTAMINATION = r"""
 WITH
 d AS (SELECT row_number() OVER () AS r, doc_id,
