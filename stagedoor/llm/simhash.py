@@ -29,6 +29,8 @@ MAX_BITS = 2
 HASH_SEED = 42
 # Shingles whose bits are unpacked at once; bounds memory for very long texts.
 CHUNK = 1 << 15
+# Fingerprints whose variants one task makes, about.
+TASK_FINGERPRINTS = 25_000
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -115,7 +117,8 @@ def _members_of(index: DataFrame, crowds: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): verified links between distinct fingerprints, enough to connect all within two bits."""
-    index = variants(fps)
+    # A fingerprint becomes 64 rows: dealt out first, so that no task makes more than some millions.
+    index = variants(fps.repartition(1 + fps.count() // TASK_FINGERPRINTS, "fp"))
     shared = settle(
         index.groupBy("variant")
         .agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n"))
