@@ -18,6 +18,15 @@ from stagedoor.plans.settings import PlanSettings
 from stagedoor.session import settle
 
 
+def _gathered(part: DataFrame, label: str) -> DataFrame:
+    """A written part of the document, read by one task.
+
+    The document is one row, so a task holds its lists in any case; what is derived from them needs no
+    shuffles then. Orders never come here, only sums by event, day and campaign.
+    """
+    return settle(part, label).coalesce(1)
+
+
 class PayloadParts:
     """The parts of the document as tables: one row each but for the three lists.
 
@@ -47,19 +56,19 @@ class PayloadParts:
     def events(self) -> DataFrame:
         attendance = self._attendance_of(self.sales)
         results = growth.event_results(self._roster, self.sales, attendance, self.settings)
-        return settle(results, "results")
+        return _gathered(results, "results")
 
     @cached_property
     def daily(self) -> DataFrame:
-        return settle(daily_pacing(self.sales), "pacing")
+        return _gathered(daily_pacing(self.sales), "pacing")
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        return settle(campaign_returns(self.sales, self._campaigns), "returns")
+        return _gathered(campaign_returns(self.sales, self._campaigns), "returns")
 
     @cached_property
     def _totals(self) -> DataFrame:
-        return settle(growth.season_totals(self.sales, self.events, self.campaigns), "totals")
+        return _gathered(growth.season_totals(self.sales, self.events, self.campaigns), "totals")
 
     @property
     def totals(self) -> DataFrame:
