@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DecimalType, DoubleType
 
 from stagedoor.functions.numbers import money_total, total
 
@@ -58,7 +58,7 @@ def with_grand_total(
 
     Runs on the grouped table, not on its source, so the doubling done by grouping sets is cheap.
     The total row exists even over no rows: a seed row of zeros, removed again at detail level,
-    makes sure of it. Real rows never have a NULL label.
+    makes sure of it. Real rows never have a NULL label. Decimal measures are summed exactly and become doubles.
     """
     spark = df.sparkSession
     seed = spark.range(1).select(
@@ -73,7 +73,7 @@ def with_grand_total(
         .agg(
             F.grouping_id().alias("_level"),
             *[
-                (money_total if isinstance(df.schema[name].dataType, DoubleType) else total)(
+                (money_total if isinstance(df.schema[name].dataType, (DoubleType, DecimalType)) else total)(
                     F.col(name)
                 ).alias(name)
                 for name in measures

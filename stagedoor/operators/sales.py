@@ -72,9 +72,9 @@ def revenue_by(sales: DataFrame, names: DataFrame, key: str, name: str, tier: st
         .groupBy(key, tier)
         .agg(
             total("tickets").alias("tickets_sold"),
-            money_total("gross").alias("gross_revenue"),
+            money_sum("gross").alias("gross_revenue"),
             total("refunded_tickets").alias("refunded_tickets"),
-            money_total("net").alias("net_revenue"),
+            money_sum("net").alias("net_revenue"),
         )
     )
     measures = ["tickets_sold", "gross_revenue", "refunded_tickets", "net_revenue"]
