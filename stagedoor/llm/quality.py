@@ -75,43 +75,51 @@ def _blocks(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[list[tupl
 def _grams(points: list[np.ndarray], owners: np.ndarray, order: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (n-gram, owner) of a block, ordered: the n-grams, where each one's run begins, owners, counts.
 
-    Characters are numbered within the block, so an n-gram and its owner fit one integer and one sort
-    groups them. Should they not fit (tens of thousands of different characters), the rarest are merged.
+    Characters are numbered within the block, so an n-gram and its owner mostly fit one integer and one sort
+    groups them. Should they not fit, they are spread over as many integers as they need, and sorted by all.
     """
     whole = np.concatenate(points)
     uses = np.bincount(whole)
     alphabet = np.flatnonzero(uses)
     owner_bits = max(1, int(owners.max()).bit_length())
     bits = max(1, int(len(alphabet) - 1).bit_length())
-    room = (64 - owner_bits) // order
-    if bits > room:
-        # The rarest characters share the replacement character's number.
-        kept = np.sort(alphabet[np.argsort(-uses[alphabet], kind="stable")[: (1 << room) - 1]])
-        alphabet, bits = np.append(kept, 0xFFFD), room
-    number = np.full(len(uses), len(alphabet) - 1, np.uint64)
-    number[alphabet[alphabet < len(uses)]] = np.arange(np.count_nonzero(alphabet < len(uses)))
+    number = np.zeros(len(uses), np.uint64)
+    number[alphabet] = np.arange(len(alphabet))
     letter = number[whole]
     sizes = np.array([len(p) for p in points])
-    code = np.zeros(len(letter), np.uint64)
-    for i in range(order):
-        code[order - 1 :] |= letter[i : len(letter) - order + 1 + i] << np.uint64(bits * (order - 1 - i))
     ends = np.cumsum(sizes)
     inside = np.ones(len(letter), bool)
     for i in range(order - 1):
         inside[(ends - sizes + i)[sizes > i]] = False
-    packed = (code << np.uint64(owner_bits)) | np.repeat(owners, sizes).astype(np.uint64)
-    packed = packed[inside]
-    packed.sort()
-    if not len(packed):
+    at = np.flatnonzero(inside)
+    if not len(at):
         return [], np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    first = np.flatnonzero(np.concatenate(([True], packed[1:] != packed[:-1])))
-    counts = np.diff(np.append(first, len(packed)))
-    packed = packed[first]
-    owner = (packed & np.uint64((1 << owner_bits) - 1)).astype(np.uint32)
-    code = packed >> np.uint64(owner_bits)
-    runs = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+    # Integers of an n-gram, the first characters first, and where each character is: integer, shift.
+    per = 64 // bits
+    places = [(i // per, bits * (min(per, order - i // per * per) - 1 - i % per)) for i in range(order)]
+    codes = [np.zeros(len(at), np.uint64) for _ in range(places[-1][0] + 1)]
+    for i, (k, shift) in enumerate(places):
+        codes[k] |= letter[at - (order - 1 - i)] << np.uint64(shift)
+    owner = np.repeat(owners, sizes)[at].astype(np.uint64)
+    fits = bits * (order - places[-1][0] * per) + owner_bits <= 64
+    keys = [*codes[:-1], (codes[-1] << np.uint64(owner_bits)) | owner] if fits else [*codes, owner]
+    if len(keys) == 1:
+        keys[0].sort()
+    else:
+        by_all = np.lexsort(keys[::-1])
+        keys = [k[by_all] for k in keys]
+
+    def begins(columns: list[np.ndarray]) -> np.ndarray:
+        return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))))
+
+    first = begins(keys)
+    counts = np.diff(np.append(first, len(at)))
+    keys = [k[first] for k in keys]
+    owner = (keys[-1] & np.uint64((1 << owner_bits) - 1)).astype(np.uint32)
+    codes = [*keys[:-1], keys[-1] >> np.uint64(owner_bits)] if fits else keys[:-1]
+    runs = begins(codes)
     mask = np.uint64((1 << bits) - 1)
-    shown = np.stack([alphabet[((code[runs] >> np.uint64(bits * (order - 1 - i))) & mask).astype(np.int64)] for i in range(order)], axis=1)
+    shown = np.stack([alphabet[((codes[k][runs] >> np.uint64(shift)) & mask).astype(np.int64)] for k, shift in places], axis=1)
     text = shown.astype("<u4").tobytes().decode("utf-32-le", "replace")
     return [text[i : i + order] for i in range(0, len(text), order)], runs, owner, counts
 

@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from stagedoor.llm import quality
@@ -110,6 +111,33 @@ def check_thresholds(out, trusted):
         assert r.kept == (r.perplexity is None or r.threshold is None or r.perplexity <= r.threshold)
 
 
+@pytest.mark.parametrize("letters, documents, order", [(40, 30, 4), (5_200, 4_200, 4), (70_000, 9_000, 4), (70_000, 300, 7)])
+def test_no_character_of_a_block_is_merged(letters, documents, order):
+    rng = random.Random(letters)
+    signs = rng.sample([i for i in range(0x3400, 0x110000) if not 0xD800 <= i < 0xE000], letters)
+    texts = [[*([2] * (order - 1)), *rng.choices(signs[:9] if i % 2 else signs, k=30)] for i in range(documents)]
+    texts[0] += signs
+    grams, runs, owner, counts = quality._grams([np.array(t, np.uint32) for t in texts], np.arange(documents, dtype=np.uint32), order)
+    assert len(set(grams)) == len(grams)
+    which = np.searchsorted(runs, np.arange(len(owner)), side="right") - 1
+    found = {(grams[g], int(o)): int(n) for g, o, n in zip(which, owner, counts, strict=True)}
+    shown = ["".join(map(chr, t)) for t in texts]
+    assert found == Counter((t[i : i + order], d) for d, t in enumerate(shown) for i in range(len(t) - order + 1))
+
+
+def test_many_characters_in_many_short_documents(spark, docs):
+    """One block with so many of both that an n-gram and its document need more than 64 bits."""
+    rng = random.Random(9)
+    signs = [chr(0x4E00 + i) for i in range(5_200)]
+    rows = [(i, signs[i % 5_200] + "".join(rng.choice(signs[:40]) for _ in range(4)) + signs[(i + 4_300) % 5_200], "zh") for i in range(4_300)]
+    trusted = [i for i, *_ in rows if i % 3]
+    out = quality.judged(docs(*rows).coalesce(1), spark.createDataFrame([(i,) for i in trusted], "i bigint")).collect()
+    book = Plain([t for i, t, _ in rows if i % 3 and not held(i)], [t for _, t, _ in rows], quality.ORDER)
+    assert len({c for _, t, _ in rows for c in t}) > 5_000 and len(out) == len(rows)
+    for r in out:
+        assert r.perplexity == pytest.approx(book.perplexity(rows[r.doc_id][1]), rel=1e-5)
+
+
 def test_probabilities_add_up(spark, docs):
     grams = spark.createDataFrame([(a + b + c, "en", (i * 7) % 5) for i, (a, b, c) in enumerate((a, b, c) for a in "abc" for b in "abc" for c in "abc")], "gram string, lang string, n long")
     sums = defaultdict(float)
