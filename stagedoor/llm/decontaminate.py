@@ -79,9 +79,14 @@ def _place_of(packed: Column) -> Column:
 
 
 def benchmark_index(items: DataFrame, item_id: str, text: str, window: int, gram: int) -> DataFrame:
-    """(item, words, n_words, hash, place): one row per fingerprint of an item; place counts from 1."""
+    """(key, item, words, item_words, hash, place): one row per fingerprint of an item; place counts from 1.
+
+    ``key`` numbers the distinct pairs of id and words; a null id is none to join by.
+    """
     item = items.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(text)).alias("words"))
-    item = settle(item.filter(F.size("words") > 0).distinct(), "items")
+    item = item.filter(F.size("words") > 0).distinct()
+    # Numbered as it is written, so every later read sees the same keys.
+    item = settle(item.select(F.monotonically_increasing_id().alias("key"), "item", "words"), "items")
     lengths = [n for (n,) in item.select(F.size("words")).filter(F.size("words") < window).distinct().collect()]
     long = item.filter(F.size("words") >= window).select(
         "*", F.explode(fingerprints(F.col("words"), window, gram)).alias("packed")
@@ -91,7 +96,7 @@ def benchmark_index(items: DataFrame, item_id: str, text: str, window: int, gram
         run = F.element_at(whole_runs(F.col("words"), [n]), 1)
         found = found.union(item.filter(F.size("words") == n).select("*", run.alias("packed")))
     return found.select(
-        "item", "words", F.size("words").alias("item_words"), _hash_of(F.col("packed")).alias("hash"), _place_of(F.col("packed")).alias("place")
+        "key", "item", "words", F.size("words").alias("item_words"), _hash_of(F.col("packed")).alias("hash"), _place_of(F.col("packed")).alias("place")
     )
 
 
@@ -115,9 +120,9 @@ def shared_windows(
         "doc_id", "text_key", _hash_of(F.col("packed")).alias("hash"), _place_of(F.col("packed")).alias("at")
     )
     # Small tables are read from files whose size Spark knows: it broadcasts them below its threshold only.
-    grams = index.select("hash", "item", "item_words", "place")
+    grams = index.select("hash", "key", "item_words", "place")
     hits = settle(marks.join(grams, "hash").drop("hash").distinct(), "hits")
-    texts = settle(index.select("item", "words").distinct(), "item-words")
+    texts = settle(index.select("key", "item", "words").distinct(), "item-words")
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
     return _extended(whole, hits, texts, window, gram)
 
@@ -138,7 +143,7 @@ def _extended(whole: DataFrame, hits: DataFrame, texts: DataFrame, window: int,
     reach = window - gram
     # A run is cut out around each hit before rows are made of them, so no row carries a whole text.
     by_text = hits.groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("at", "item", "item_words", "place")).alias("hits")
+        F.collect_list(F.struct("at", "key", "item_words", "place")).alias("hits")
     )
     named = by_text.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "hits")
     some = _with_hits(whole, hits.select("text_key").distinct())
@@ -150,14 +155,14 @@ def _extended(whole: DataFrame, hits: DataFrame, texts: DataFrame, window: int,
         length = F.when(h["item_words"] < window, h["item_words"]).otherwise(back + window)
         start = F.when(h["item_words"] < window, h["at"]).otherwise(h["at"] - back)
         return F.struct(
-            start.alias("start"), h["item"].alias("item"), h["item_words"].alias("item_words"),
+            start.alias("start"), h["key"].alias("key"), h["item_words"].alias("item_words"),
             h["place"].alias("place"), h["at"].alias("at"), F.slice(words, start, length).alias("run"),
         )
 
     cuts = both.select(
         "doc_id", "text_key", F.explode(F.transform("hits", lambda h: cut(F.col("words"), h))).alias("c")
     ).select("doc_id", "text_key", "c.*")
-    met = cuts.distinct().join(texts, "item")
+    met = cuts.distinct().join(texts, "key")
     short = F.col("item_words") < window
     size = F.when(short, F.col("item_words")).otherwise(F.lit(window))
     # Windows that hold the gram begin up to ``reach`` words before it.

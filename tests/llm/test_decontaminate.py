@@ -96,6 +96,20 @@ def test_edge_cases(spark, docs, with_clashes):
     assert decontaminate.contamination(docs(*rows).limit(0), table(spark, items)).collect() == []
 
 
+def test_items_without_an_id_hit_by_their_own_text(spark, docs):
+    """Long and short texts that only null ids have, one that an id has too, and an id with two texts."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(15)) for x in "abcd")
+    rows = [(1, f"x {a} y"), (2, f"{b} tail"), (3, "one short item"), (4, f"{c} {a}"), (5, d), (6, "nothing of these"), (None, b)]
+    items = [(None, a), (None, b), (None, "short item"), (7, c), (None, c), (7, d)]
+    named = {r[0]: r[2:] for r in plain(rows, [(i, t) for i, t in items if i is not None])}
+    hit = {r[0]: r[:3] for r in plain(rows, items)}
+    expected = sorted((*hit[i], *named[i][1:3], hit[i][2] > 0 and 20 * hit[i][2] >= hit[i][1]) for i in hit)
+    assert found(decontaminate.contamination(docs(*rows), table(spark, items))) == expected
+    assert [r[2] for r in expected] == [15, 15, 2, 30, 15, 0, 15]
+    kept = decontaminate.decontaminated(docs(*rows), table(spark, items))
+    assert [r.doc_id for r in kept.collect()] == [6]
+
+
 def test_decontaminated_keeps_clean_rows(spark, docs, with_clashes):
     span = " ".join(f"w{i}" for i in range(13))
     rows = with_clashes(docs((1, span), (2, "clean"), (None, span), (3, None), (2, "clean")))
