@@ -77,7 +77,3 @@ class Frames:
             "order_rows bigint, tickets bigint, refunded_tickets bigint, completed_tickets bigint, "
             "gross double, net double",
         )
-
-
-def rows(df, *columns):
-    return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql.types import StringType, StructField, StructType
 

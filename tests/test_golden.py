@@ -1,7 +1,7 @@
 """A known season: its figures per event, campaign and day, and the results that follow from them."""
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from stagedoor.operators import attribution, checks, sales

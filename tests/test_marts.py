@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 
 from stagedoor.functions.numbers import money_total
 from stagedoor.operators import attendance, attribution, sales

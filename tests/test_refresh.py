@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from stagedoor.operators.checks import BlockedByCheck
 from stagedoor.plans.refresh import Sources, Targets, refresh_admissions, refresh_all
