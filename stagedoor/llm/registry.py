@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import arc_warc, decontaminate, exact_dedup, language, mixing, packing, quality, secret_scan, sharding, simhash
+from stagedoor.llm import arc_warc, decontaminate, exact_dedup, language, merkle, mixing, packing, quality, secret_scan, sharding, simhash
 from stagedoor.llm.common import table
 from stagedoor.session import fresh_path
 
@@ -82,16 +82,21 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in the manifest, and whether its leaf, which may be tampered with, leads to the root."""
+    return merkle.verified(merkle.manifest(table(spark, folder, "documents"), tampered=merkle.lower_case_tampering()))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op7_token_ids, op8_quality_classifier, op9_exact_dedup, op10_mixing)
+        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op7_token_ids, op8_quality_classifier, op9_exact_dedup, op10_mixing, op12_merkle_manifest)
     }
 
 
 def statements() -> dict[str, str]:
     """The same in DuckDB's SQL, where SQL can express it."""
-    return {"op2_warc": _WARC, "op3_benchmark_decontamination": _DECONTAMINATION, "op6_secret_scans": _secrets(), "op9_exact_dedup": _EXACT_DEDUP}
+    return {"op2_warc": _WARC, "op3_benchmark_decontamination": _DECONTAMINATION, "op6_secret_scans": _secrets(), "op9_exact_dedup": _EXACT_DEDUP, "op12_merkle_manifest": _merkle()}
 
 
 _EXACT_DEDUP = r"""
@@ -144,6 +149,47 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
 
+def _merkle() -> str:
+    """Levels, proofs and folding by recursion; the checksum bit by bit."""
+
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    upper, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS r, doc_id, source, {leaf("text")} AS leaf, {leaf(f"translate(text, '{upper}', '{small}')")} AS lowered,
+        xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+          lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc
+      FROM documents),
+leaves AS (SELECT *, CASE WHEN crc % 5 = 0 THEN lowered ELSE leaf END AS claimed,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM d),
+nodes AS (SELECT source, 0 AS level, place, leaf AS digest, n FROM leaves
+  UNION ALL SELECT source, level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (n + 15) // 16
+            FROM nodes WHERE n > 1 GROUP BY source, level, place // 16, n),
+subroots AS (SELECT source, digest, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS level, place, digest, n FROM subroots
+  UNION ALL SELECT level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (n + 15) // 16 FROM tops WHERE n > 1 GROUP BY level, place // 16, n),
+root AS (SELECT digest FROM tops WHERE n = 1),
+beside AS (
+  SELECT r, level, coalesce(string_agg(digest, '' ORDER BY k.place) FILTER (k.place < l.place >> (4 * level)), '') AS a,
+         coalesce(string_agg(digest, '' ORDER BY k.place) FILTER (k.place > l.place >> (4 * level)), '') AS b
+  FROM leaves l JOIN nodes k ON k.source IS NOT DISTINCT FROM l.source AND k.n > 1 AND k.place // 16 = l.place >> (4 * level + 4) GROUP BY r, level
+  UNION ALL
+  SELECT r, height + level, coalesce(string_agg(k.digest, '' ORDER BY k.place) FILTER (k.place < s.place >> (4 * level)), ''),
+         coalesce(string_agg(k.digest, '' ORDER BY k.place) FILTER (k.place > s.place >> (4 * level)), '')
+  FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source JOIN tops k ON k.n > 1 AND k.place // 16 = s.place >> (4 * level + 4) GROUP BY r, height, level),
+up AS (SELECT r, 0 AS level, claimed AS digest FROM leaves
+  UNION ALL SELECT up.r, up.level + 1, sha256(a || digest || b) FROM up JOIN beside ON beside.r = up.r AND beside.level = up.level),
+folded AS (SELECT r, arg_max(digest, level) AS folded_root FROM up GROUP BY r),
+proofs AS (SELECT r, sha256(string_agg(a || b, '' ORDER BY level)) AS proof_sha256 FROM beside GROUP BY r)
+SELECT doc_id, leaf, s.digest AS subroot, root.digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root.digest AS verified
+FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source JOIN folded USING (r) LEFT JOIN proofs USING (r), root
+"""
+
+
 def _secrets() -> str:
     """Positions from what lies between matches, as in the query; links by comparing spans of a text."""
     patterns = {
