@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import arc_warc, decontaminate, exact_dedup, language, merkle, mixing, packing, quality, secret_scan, sharding, simhash
+from stagedoor.llm import alignment, arc_warc, decontaminate, exact_dedup, language, merkle, mixing, packing, quality, secret_scan, sharding, simhash
 from stagedoor.llm.common import table
 from stagedoor.session import fresh_path
 
@@ -87,10 +87,15 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified(merkle.manifest(table(spark, folder, "documents"), tampered=merkle.lower_case_tampering()))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's groups and links between a byte-level and a piece vocabulary."""
+    return alignment.alignment(table(spark, folder, "documents"), alignment.public_vocabularies())
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op7_token_ids, op8_quality_classifier, op9_exact_dedup, op10_mixing, op12_merkle_manifest)
+        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op7_token_ids, op8_quality_classifier, op9_exact_dedup, op10_mixing, op12_merkle_manifest, op13_cross_tokenizer_alignment)
     }
 
 
