@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagedoor.llm import alignment, arc_warc, decontaminate, exact_dedup, language, merkle, mixing, packing, quality, secret_scan, sharding, simhash
+from stagedoor.llm import alignment, arc_warc, decontaminate, exact_dedup, language, merkle, mixing, packing, pii, quality, secret_scan, sharding, simhash
 from stagedoor.llm.common import table
 from stagedoor.session import fresh_path
 
@@ -82,6 +82,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the personal data in it."""
+    return pii.digest_columns(pii.personal_spans(table(spark, folder, "documents"), pii.train()))
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place in the manifest, and whether its leaf, which may be tampered with, leads to the root."""
     return merkle.verified(merkle.manifest(table(spark, folder, "documents"), tampered=merkle.lower_case_tampering()))
@@ -95,7 +100,7 @@ def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFram
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op7_token_ids, op8_quality_classifier, op9_exact_dedup, op10_mixing, op12_merkle_manifest, op13_cross_tokenizer_alignment)
+        for f in (op1_simhash_near_dedup, op2_warc, op3_benchmark_decontamination, op4_language_id, op5_sharding, op6_secret_scans, op7_token_ids, op8_quality_classifier, op9_exact_dedup, op10_mixing, op11_pii, op12_merkle_manifest, op13_cross_tokenizer_alignment)
     }
 
 
