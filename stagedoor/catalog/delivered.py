@@ -1,5 +1,6 @@
 """Registered queries over the tables delivered as files: increments, folders, refreshes, gate, drops."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from stagedoor.plans.refresh import Refresh, Sources, Targets, refresh_admission
 from stagedoor.session import fresh_path, list_names, move, read_text, settle, write_text
 from stagedoor.sinks import documents, tables
 from stagedoor.sources import files
-from stagedoor.streaming import drops
+from stagedoor.streaming import admissions, drops, first_scans
 
 DAYS = ["2025-07-01", "2025-07-02", "2025-07-03"]
 
@@ -160,6 +161,70 @@ def admissions_refresh(s: Season) -> DataFrame:
     return files.table_input(s.spark, targets.warehouse, "attendance_by_event")
 
 
+class Crash(Exception):
+    """Stands for a lost driver."""
+
+
+def _crash() -> None:
+    raise Crash
+
+
+def followed(s: Season) -> admissions.Admissions:
+    """Attendance state after scan files came in steps: one, one more, whose batch crashes once, and a late one."""
+    folder, home = fresh_path(s.spark, "scans"), fresh_path(s.spark, "admissions")
+    state = admissions.Admissions(s.spark, folder, f"{home}/state", slices=8)
+    orders = settle(s.orders.select("order_id"), "known-orders")
+
+    def follow(before_commit=lambda: None) -> None:
+        admissions.process_new_files(state, f"{home}/stream", orders, before_commit)
+
+    deliver_scans(s, folder, 1)
+    follow()
+    deliver_scans(s, folder, 2)
+    try:
+        follow(_crash)
+    except StreamingQueryException:
+        pass
+    follow()
+    follow()
+    deliver_scans(s, folder, 0)
+    follow()  # late: triggers nothing
+    header = ",".join(schemas.RAW_SCANS.fieldNames())
+    write_text(s.spark, f"{folder}/ticket_scans_2025-07-04.csv", f"{header}\n")
+    follow()
+    return state
+
+
+@query
+def incremental_admissions(s: Season) -> DataFrame:
+    """Attendance from state that read every scan file once."""
+    return admissions.attendance_from(followed(s).counts(), s.sales, s.events)
+
+
+@query
+def incremental_batches(s: Season) -> DataFrame:
+    """Committed batches with the scans that each read, and what all of them dropped."""
+    state = followed(s)
+    read = [(b, int(state.ledger.entry(b).facts["scans_read"])) for b in state.ledger.batches()]
+    counts = state.drop_counts()
+    dropped = [F.lit(counts[k]).cast("bigint").alias(k) for k in ("duplicate_scans_dropped", "orphan_scans_dropped", "row_count")]
+    return s.spark.createDataFrame(read, "batch bigint, scans_read bigint").select("*", *dropped)
+
+
+@query
+def stream_first_arrivals(s: Season) -> DataFrame:
+    """Tickets with the scan that a stream kept and the one scanned first; some re-scans arrive before their scan."""
+    folder, kept, state = (fresh_path(s.spark, n) for n in ("scans", "kept", "stream"))
+    # A scan may come late by as much as all scans span.
+    at = F.to_timestamp("scanned_at")
+    span = s.source.raw_scans().agg(F.timestamp_diff("SECOND", F.min(at), F.max(at))).first()[0]
+    for day in range(len(DAYS)):
+        deliver_scans(s, folder, day)
+        first_scans.keep_first_arrivals(s.spark, folder, kept, state, f"{span + 60} seconds")
+    scans = s.source.raw_scans().withColumn("scanned_at", at)
+    return first_scans.agreement(s.spark.read.parquet(kept), scans)
+
+
 @query
 def exported_document(s: Season) -> DataFrame:
     """The events of the written document and of its script twin, in order, after a second export."""

@@ -641,6 +641,18 @@ _DELIVERED = {
         for n in ("check_order_amounts", "check_known_events", "check_promo_attributed", "check_show_up_rate")
     ),
     "admissions_refresh": _STATEMENTS["attendance_by_event"],
+    "incremental_admissions": _STATEMENTS["attendance_by_event"],
+    "incremental_batches": f"""
+        WITH d_dropped AS (
+          SELECT (SELECT count(*) FROM d_rawscans) - (SELECT count(*) FROM d_first) AS duplicate_scans_dropped,
+                 (SELECT count(*) FROM d_first) - (SELECT count(*) FROM d_scans) AS orphan_scans_dropped,
+                 (SELECT count(*) FROM d_scans) AS row_count)
+        SELECT b.*, d_dropped.* FROM (
+          SELECT 0 AS batch, {_scans_of(1)} AS scans_read UNION ALL SELECT 1, {_scans_of(2)} UNION ALL SELECT 2, {_scans_of(0)}) b, d_dropped""",
+    "stream_first_arrivals": """
+        SELECT ticket_id, arg_min(scan_id, CAST(scan_id AS BIGINT) % 3) AS kept_scan,
+               arg_min(scan_id, (CAST(scanned_at AS TIMESTAMP), scan_id)) AS first_scan
+        FROM d_rawscans GROUP BY ticket_id""",
     "exported_document": """
         SELECT CAST(row_number() OVER (ORDER BY r.id) - 1 AS INTEGER) AS position, r.id, r.sold, r.net,
                m.sold AS premium_sold, m.net AS premium_net, a.tickets_scanned AS scanned,
