@@ -12,7 +12,6 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +40,11 @@ def byte_alphabet() -> dict[str, int]:
 
 @dataclass(frozen=True)
 class Side:
-    """Ids of texts, and the bytes of each id."""
+    """Ids of texts, the bytes of each id, and those of some ids in a row."""
 
-    encode: Callable[[list[str]], list[list[int]]]
+    encode: Callable[[list[str]], list[np.ndarray]]
     pieces: list[bytes]
+    join: Callable[[np.ndarray], bytes]
 
 
 def byte_level(path: str) -> Side:
@@ -70,19 +70,19 @@ def byte_level(path: str) -> Side:
     ranks = {pieces[i]: i for entry, i in entries if entry not in special}
     fast = tiktoken.Encoding("aligned", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
         rest = []
         for i, text in enumerate(texts):
             if _SETTLED.search(text):
                 rest.append(i)
             else:
-                out[i] = fast.encode_ordinary(" " + text)
+                out[i] = fast.encode_to_numpy(" " + text, disallowed_special=())
         for i, found in zip(rest, exact.encode_batch_fast([" " + texts[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = found.ids
+            out[i] = np.array(found.ids, np.uint32)
         return out
 
-    return Side(encode, pieces)
+    return Side(encode, pieces, lambda ids: fast.decode_bytes(ids.tolist()))
 
 
 def piece_level(path: str) -> Side:
@@ -94,7 +94,11 @@ def piece_level(path: str) -> Side:
         bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
         for i, p in ((i, model.id_to_piece(i)) for i in range(model.get_piece_size()))
     ]
-    return Side(lambda texts: model.encode(texts, num_threads=1), pieces)
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.uint32) for ids in model.encode(texts, num_threads=1)]
+
+    return Side(encode, pieces, lambda ids: b"".join(map(pieces.__getitem__, ids.tolist())))
 
 
 def public_vocabularies(folder: str | None = None) -> tuple[str, str]:
@@ -109,47 +113,59 @@ def public_vocabularies(folder: str | None = None) -> tuple[str, str]:
 
 @dataclass
 class Aligned:
-    """One document's ids, the index of each group's first token on both sides, and where the last ends."""
+    """One document's ids, and the index of each group's first token on both sides, and where the last ends."""
 
-    left: list[int]
-    right: list[int]
-    left_cuts: list[int]
-    right_cuts: list[int]
+    left: np.ndarray
+    right: np.ndarray
+    left_cuts: np.ndarray
+    right_cuts: np.ndarray
 
     def groups(self) -> int:
         return len(self.left_cuts) - 1
 
-    def written(self, left_names: list[str], right_names: list[str]) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the ids of every group in order."""
-        a = [left_names[i] for i in self.left]
-        b = [right_names[i] for i in self.right]
-        out = []
-        i = j = 0
-        for k, m in zip(self.left_cuts[1:], self.right_cuts[1:], strict=True):
-            one = a[i] if k - i == 1 else ",".join(a[i:k])
-            other = b[j] if m - j == 1 else ",".join(b[j:m])
-            out.append(f"{one}|{other}")
-            i, j = k, m
-        return ";".join(out)
+    def written(self, left_names: "Names", right_names: "Names") -> str:
+        """``a1,a2|b1;a3|b2,b3``: the ids of every group in order.
+
+        Each id is written with the mark that follows it, at its place in the whole list: after the right
+        tokens of the groups before its own, and those of a right token's own group on the left.
+        """
+        n, m = np.diff(self.left_cuts), np.diff(self.right_cuts)
+        out = np.empty(len(self.left) + len(self.right), object)
+        out[np.arange(len(self.left)) + np.repeat(self.right_cuts[:-1], n)] = left_names.marked(self.left, self.left_cuts[1:] - 1)
+        out[np.arange(len(self.right)) + np.repeat(self.left_cuts[1:], m)] = right_names.marked(self.right, self.right_cuts[1:] - 1)
+        return "".join(out.tolist())[:-1]
 
     def links(self, width: int) -> np.ndarray:
         """``left id * width + right id`` of every link, slice by slice."""
-        cut, other = np.array(self.left_cuts), np.array(self.right_cuts)
-        n, m = np.diff(cut), np.diff(other)
+        n, m = np.diff(self.left_cuts), np.diff(self.right_cuts)
         # Every left token meets the ``m`` right tokens of its group, from the group's first one on.
         times = np.repeat(m, n)
-        left = np.repeat(np.array(self.left, np.int64), times)
-        first = np.repeat(other[:-1], n * m)
+        left = np.repeat(self.left.astype(np.int64), times)
+        first = np.repeat(self.right_cuts[:-1], n * m)
         step = np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
-        return left * width + np.array(self.right, np.int64)[first + step]
+        return left * width + self.right[first + step]
+
+
+class Names:
+    """Ids in decimal, followed by a comma, or by the mark that ends a group on this side."""
+
+    def __init__(self, count: int, mark: str):
+        self.inner = np.array([f"{i}," for i in range(count)], object)
+        self.last = np.array([f"{i}{mark}" for i in range(count)], object)
+
+    def marked(self, ids: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+        out = self.inner[ids]
+        out[lasts] = self.last[ids[lasts]]
+        return out
 
 
-def align(left: list[int], right: list[int], left_lengths: list[int], right_lengths: list[int]) -> Aligned:
+def align(left: np.ndarray, right: np.ndarray, left_lengths: np.ndarray, right_lengths: np.ndarray) -> Aligned:
     """Groups between the byte ends that both sides have."""
-    one = {end: i for i, end in enumerate(accumulate(map(left_lengths.__getitem__, left)), 1)}
-    other = {end: i for i, end in enumerate(accumulate(map(right_lengths.__getitem__, right)), 1)}
+    one = dict(zip(np.cumsum(left_lengths[left]).tolist(), range(1, len(left) + 1), strict=True))
+    other = dict(zip(np.cumsum(right_lengths[right]).tolist(), range(1, len(right) + 1), strict=True))
     common = sorted(one.keys() & other.keys())
-    return Aligned(left, right, [0, *map(one.__getitem__, common)], [0, *map(other.__getitem__, common)])
+    cuts = (np.array([0, *map(ends.__getitem__, common)]) for ends in (one, other))
+    return Aligned(left, right, *cuts)
 
 
 _ALIGNED = pa.schema([
@@ -196,8 +212,8 @@ def aligned(
         import hashlib
 
         left, right = byte_level(left_path), piece_level(right_path)
-        lengths = [list(map(len, side.pieces)) for side in (left, right)]
-        names = [list(map(str, range(len(side.pieces)))) for side in (left, right)]
+        lengths = [np.array(list(map(len, side.pieces))) for side in (left, right)]
+        names = Names(len(left.pieces), "|"), Names(len(right.pieces), ";")
         width = len(right.pieces)
         for ids, texts in _chunks(batches):
             filled = [t for t in texts if t]
@@ -206,7 +222,7 @@ def aligned(
             for i, t in zip(ids, texts, strict=True):
                 a, b = next(both) if t else ((), ())
                 whole = b" " + t.encode() if t else b""
-                if not t or b"".join(map(left.pieces.__getitem__, a)) != whole or b"".join(map(right.pieces.__getitem__, b)) != whole:
+                if not t or left.join(a) != whole or right.join(b) != whole:
                     row = (i, 0, 0, 0, 0, "", [], [])
                 else:
                     found = align(a, b, *lengths)
