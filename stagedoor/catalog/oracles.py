@@ -495,6 +495,33 @@ _STATEMENTS = {
         SELECT order_id, COALESCE(n, 0) AS live_campaigns, COALESCE(s, 0.0) AS live_spend
         FROM d_orders o LEFT JOIN (SELECT day, count(*) AS n, {money('spend_usd')} AS s FROM d_live GROUP BY day) l
           ON CAST(o.ordered_at AS DATE) = l.day""",
+    "window_sums": f"""
+        SELECT campaign_id, {count('n')} AS orders_while_live, {count('tickets')} AS tickets_while_live,
+               {money('net')} AS net_while_live
+        FROM d_live l LEFT JOIN (
+          SELECT CAST(ordered_at AS DATE) AS day, count(*) AS n, {count('qty')} AS tickets, {money('net_revenue')} AS net
+          FROM d_orders GROUP BY 1) o ON l.day = o.day GROUP BY campaign_id""",
+    "live_campaigns_by_day": f"""
+        SELECT o.day, COALESCE(n, 0) AS live_campaigns, COALESCE(s, 0.0) AS live_spend
+        FROM (SELECT DISTINCT CAST(ordered_at AS DATE) AS day FROM d_orders) o
+        LEFT JOIN (SELECT day, count(*) AS n, {money('spend_usd')} AS s FROM d_live GROUP BY day) l ON o.day = l.day""",
+    # orders of any size
+    "median_order_value": """
+        SELECT round(quantile_cont(gross_revenue, 0.5), 4) AS median_value, round(quantile_cont(gross_revenue, 0.9), 4) AS ninth_decile
+        FROM d_orders""",
+    "pacing_to_date": """
+        SELECT date, row_number() OVER w - 1 AS place, CAST(sum(tickets) OVER w AS BIGINT) AS tickets_to_date,
+               CAST(sum(CAST(net AS DECIMAL(38,4))) OVER w AS DOUBLE) AS net_to_date
+        FROM d_pacing WINDOW w AS (ORDER BY date)""",
+    "leaderboard_places": f"""
+        SELECT campaign_id, attributed_revenue, row_number() OVER (ORDER BY attributed_revenue DESC, campaign_id) - 1 AS place
+        FROM (SELECT {_PERF} FROM d_perf)""",
+    "event_places": """
+        SELECT r.id, r.net, lower(r.id) AS genre, row_number() OVER (ORDER BY r.net DESC, r.id) - 1 AS place,
+               row_number() OVER (PARTITION BY lower(r.id) ORDER BY r.net DESC, r.id) - 1 AS place_in_genre
+        FROM d_results r""",
+    "order_places_in_event": """
+        SELECT order_id, event_id, row_number() OVER (PARTITION BY event_id ORDER BY ordered_at, order_id) - 1 AS place FROM d_orders""",
     # sources and sinks
     "adhoc_sql": f"""
         SELECT order_date, {money('net_revenue')} AS net FROM d_orders WHERE order_date >= '1995-07-08' GROUP BY 1""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stagedoor import schemas
 from stagedoor.functions.text import normalize_code, ticket_number
-from stagedoor.operators import attendance, attribution, checks, relational, sales, staging
+from stagedoor.operators import attendance, attribution, checks, numbering, relational, sales, selection, staging, windows
 from stagedoor.plans import extensions, growth, payload, report, slices
 from stagedoor.session import fresh_path, settle
 from stagedoor.sinks import tables
@@ -550,6 +550,65 @@ def order_live_campaigns(s: Season) -> DataFrame:
     return attribution.order_live_campaigns(s.orders, s.campaigns)
 
 
+@query
+def window_sums(s: Season) -> DataFrame:
+    """Reach of campaign windows by running sums: two rows a campaign, however long its window."""
+    return windows.window_sums(s.orders, s.campaigns)
+
+
+@query
+def live_campaigns_by_day(s: Season) -> DataFrame:
+    """Campaigns live on each day with orders, by a difference array over the calendar."""
+    return windows.live_campaigns(s.orders, s.campaigns)
+
+
+# ---- orders of any size ------------------------------------------------------------------------
+
+
+@query
+def median_order_value(s: Season) -> DataFrame:
+    """Exact median and ninth decile of the gross value of all orders, by narrowing a histogram."""
+    values = settle(s.orders.select("gross_revenue"), "values")
+    shares = {"median_value": 0.5, "ninth_decile": 0.9}
+    found = {n: F.lit(selection.quantile(values, F.col("gross_revenue"), q)).cast("double") for n, q in shares.items()}
+    return s.spark.range(1).select(*(F.round(v, 4).alias(n) for n, v in found.items()))
+
+
+@query
+def pacing_to_date(s: Season) -> DataFrame:
+    """Each order day with its place, and tickets and net up to it."""
+    pacing = settle(sales.daily_pacing(s.orders).withColumn("net", F.col("net").cast("decimal(38,4)")), "pacing")
+    day = [F.col("date")]
+    placed = numbering.numbered(pacing, day)
+    ran = numbering.running_totals(placed, day, {"tickets_to_date": F.col("tickets"), "net_to_date": F.col("net")})
+    return ran.select("date", "place", "tickets_to_date", F.col("net_to_date").cast("double").alias("net_to_date"))
+
+
+@query
+def leaderboard_places(s: Season) -> DataFrame:
+    """The leaderboard with the place of every row."""
+    board = settle(attribution.campaign_performance(s.orders, s.campaigns), "leaderboard")
+    placed = numbering.numbered(board, [F.desc("attributed_revenue"), F.col("campaign_id")])
+    return placed.select("campaign_id", "attributed_revenue", "place")
+
+
+@query
+def event_places(s: Season) -> DataFrame:
+    """Events by net, with their place among all and within their genre."""
+    named = s.events.select(F.col("event_id").alias("id"), "genre")
+    events = settle(s.parts.events.select("id", "net").join(named, "id"), "events-by-net")
+    by_net = [F.desc("net"), F.col("id")]
+    return numbering.numbered(numbering.numbered(events, by_net), by_net, ["genre"], "place_in_genre")
+
+
+@query
+def order_places_in_event(s: Season) -> DataFrame:
+    """Every order's place in time within its event, whichever event has most of the orders."""
+    orders = s.orders.select("order_id", "event_id", "ordered_at")
+    order = [F.col("ordered_at"), F.col("order_id")]
+    return numbering.numbered(orders, order, ["event_id"]).select("order_id", "event_id", "place")
+
+
 # ---- sources and sinks -----------------------------------------------------------------------
 
 

@@ -11,10 +11,12 @@ from stagedoor.functions.numbers import (
     to_hundreds,
     total,
 )
+from stagedoor.operators import selection
 from stagedoor.operators.attendance import attendance_totals
 from stagedoor.operators.relational import first_row_by, side_by_side
 from stagedoor.operators.sales import launch_window, sales_measures, sales_totals
 from stagedoor.plans.settings import PlanSettings
+from stagedoor.session import settle
 
 
 _ATTENDANCE = "struct<kept: bigint, scanned: bigint, show_up: double, no_shows: bigint>"
@@ -228,8 +230,10 @@ def tracked_campaigns(returns: DataFrame) -> DataFrame:
 
 
 def median_return(returns: DataFrame) -> DataFrame:
-    """One row: the median return per dollar of the tracked campaigns."""
-    return tracked_campaigns(returns).agg(F.median("rpd").alias("median_rpd"))
+    """One row: the median return per dollar of the tracked campaigns, exact for any number of them."""
+    settled = settle(tracked_campaigns(returns).select("rpd"), "returns")
+    found = F.lit(selection.median(settled, F.col("rpd"))).cast("double")
+    return returns.sparkSession.range(1).select(found.alias("median_rpd"))
 
 
 def _weighted_return() -> Column:
@@ -243,7 +247,7 @@ def weakest_campaigns(returns: DataFrame, rows: int = 2) -> DataFrame:
 
 def lever_realloc(returns: DataFrame, settings: PlanSettings) -> DataFrame:
     """Move budget from the two weakest campaigns to those above the median."""
-    median = median_return(returns).scalar()
+    median = F.lit(median_return(returns).first().median_rpd).cast("double")
     strong = tracked_campaigns(returns).filter(F.col("rpd") > median)
     ends = side_by_side(
         strong.agg(_weighted_return().alias("target_rpd")),

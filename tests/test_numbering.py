@@ -4,7 +4,7 @@ import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
-from stagedoor.operators.numbering import numbered
+from stagedoor.operators.numbering import numbered, running_totals
 
 
 def by_hand(data, key):
@@ -48,3 +48,18 @@ def test_an_empty_table_stays_empty(spark):
     df = spark.createDataFrame([], "g string, v int")
     assert numbered(df, [F.col("v")]).collect() == []
     assert numbered(df, [F.col("v")], ["g"]).collect() == []
+
+
+@pytest.mark.parametrize("within", [[], ["g"]])
+def test_running_totals(spark, within):
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "a", "b", None]), i, rng.choice([None, 1, 2, -3])) for i in range(2_000)]
+    df = spark.createDataFrame(data, "g string, v int, n bigint").repartition(5)
+    found = running_totals(df, [F.col("v")], {"so_far": F.col("n"), "money": F.col("n").cast("decimal(20,2)")}, within)
+    sums, expected = {}, []
+    for g, v, n in data:
+        key = g if within else None
+        sums[key] = sums.get(key, 0) + (n or 0)
+        expected.append((v, sums[key], sums[key]))
+    assert sorted((r.v, r.so_far, int(r.money)) for r in found.collect()) == expected
+    assert running_totals(df.limit(0), [F.col("v")], {"so_far": F.col("n")}, within).collect() == []
