@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from stagedoor import schemas
 from stagedoor.catalog.queries import Season, query
 from stagedoor.functions.text import file_date
-from stagedoor.operators import checks, staging
-from stagedoor.plans import slices
+from stagedoor.operators import checks, relational, staging
+from stagedoor.plans import payload, slices
 from stagedoor.plans.refresh import Refresh, Sources, Targets, refresh_admissions, refresh_all
 from stagedoor.session import fresh_path, list_names, move, read_text, settle, write_text
-from stagedoor.sinks import documents, tables
+from stagedoor.sinks import documents, fragments, snapshots, tables
 from stagedoor.sources import files
 from stagedoor.streaming import admissions, drops, first_scans
 
@@ -247,6 +247,95 @@ def exported_document(s: Season) -> DataFrame:
     )
 
 
+EVENT_LAYOUT = (
+    "id string, sold bigint, net double, tiers map<string, struct<sold: bigint, cap: bigint, net: double>>, "
+    "attendance struct<kept: bigint, scanned: bigint, show_up: double, no_shows: bigint>"
+)
+
+
+def spread_parts(s: Season) -> payload.PayloadParts:
+    return payload.PayloadParts(s.orders, s.events, s.campaigns, s.attendance_from, s.settings, spread=True)
+
+
+@query
+def document_events(s: Season) -> DataFrame:
+    """Events of a document that all tasks wrote as fragments, in order, after an export with nothing new and a second one."""
+    out, other = fresh_path(s.spark, "report"), fresh_path(s.spark, "report")
+    parts = spread_parts(s)
+    wrote = [fragments.export_fragments(parts, out), fragments.export_fragments(parts, out), fragments.export_fragments(parts, other)]
+    texts = [s.spark.read.text(f"{o}/data").select("section", F.xxhash64("value").alias("h")) for o in (out, other)]
+    same = wrote == [True, False, True] and relational.changed_rows(*texts).isEmpty()
+    found = fragments.read_section(s.spark, out, "events", EVENT_LAYOUT)
+    premium = F.col("element.tiers")[s.settings.premium_tier]
+    return found.select(
+        "position", "element.id", "element.sold", "element.net", premium["sold"].alias("premium_sold"), premium["net"].alias("premium_net"),
+        "element.attendance.scanned", F.lit(same).alias("export_repeats"),
+    )
+
+
+@query
+def document_days(s: Season) -> DataFrame:
+    """Days of the document, from its fragments."""
+    out = fresh_path(s.spark, "report")
+    fragments.export_fragments(spread_parts(s), out)
+    return fragments.read_section(s.spark, out, "daily", "date string, net double, tickets bigint").select("position", "element.*")
+
+
+@query
+def document_campaigns(s: Season) -> DataFrame:
+    """Campaigns of the document, from its fragments, best return first."""
+    out = fresh_path(s.spark, "report")
+    fragments.export_fragments(spread_parts(s), out)
+    layout = "id string, name string, spend double, net double, rpd double"
+    return fragments.read_section(s.spark, out, "campaigns", layout).select("position", "element.*")
+
+
+@query
+def changed_by_digest(s: Season) -> DataFrame:
+    """What cleaning the promo codes changes, found by comparing digests of two snapshots first."""
+    before, after, again = (fresh_path(s.spark, "snapshot") for _ in range(3))
+    for orders, path in ((s.orders, before), (s.clean_orders, after), (s.orders, again)):
+        snapshots.write_snapshot(orders.select("order_id", "promo_code"), ["order_id"], path)
+    unchanged = snapshots.differing_slots(s.spark, before, again).count()
+    return snapshots.changed_since(s.spark, before, after).withColumn("slots_of_a_repeat", F.lit(unchanged))
+
+
+@query
+def rejected_rows(s: Season) -> DataFrame:
+    """Delivered orders of which some have a field too many or a quantity in words: rejects by reason, and the gate."""
+    folder, sorted_out = fresh_path(s.spark, "orders-csv"), fresh_path(s.spark, "sorted-out")
+    key = F.col("order_id").cast("bigint")
+    odd = s.source.raw_orders().withColumns({
+        "status": F.when(key % 50 == 7, F.concat("status", F.lit(",extra"))).otherwise(F.col("status")),
+        "qty": F.when(key % 50 == 9, F.lit("many")).otherwise(F.col("qty").cast("string")),
+    })
+    plain = odd.select(*tables.csv_fields(odd))
+    # Without quotes, the added comma makes a field.
+    plain.write.option("header", True).option("quote", "\u0000").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    good, bad = files.csv_with_rejects(s.spark, folder, schemas.RAW_ORDERS, sorted_out)
+    check = checks.evaluate(checks.few_rows_rejected(good, bad))
+    counted = files.reject_counts(bad).groupBy("reason").agg(F.sum("rows").alias("rows"))
+    accepted = good.agg(F.lit("accepted").alias("reason"), F.count("*").alias("rows"))
+    return accepted.union(counted).withColumn("passed", F.lit(check.passed))
+
+
+@query
+def slice_metrics(s: Season) -> DataFrame:
+    """Rows and net recorded for day slices of a range that was rebuilt, days without orders included."""
+    path = fresh_path(s.spark, "daily_sales")
+    slices.rebuild_days(s.orders, path, "1994-12-25", "1995-03-01")
+    return s.spark.read.parquet(f"{path}_metrics").drop("run_at")
+
+
+@query
+def refresh_texts(s: Season) -> DataFrame:
+    """Texts that a full refresh stores beside its numbers."""
+    _, targets, _ = refreshed(s)
+    stored = files.table_input(s.spark, targets.warehouse, "refresh_metrics").filter("text is not null")
+    # A file's number within its day depends on how the scans were partitioned.
+    return stored.select("table_name", "metric", F.regexp_replace("text", "_[0-9]{5}[.]csv$", ".csv").alias("text"))
+
+
 @query
 def dated_files(s: Season) -> DataFrame:
     """Scans as staged from a folder of dated files, with the date of each row's file."""

@@ -520,6 +520,13 @@ _STATEMENTS = {
         SELECT r.id, r.net, lower(r.id) AS genre, row_number() OVER (ORDER BY r.net DESC, r.id) - 1 AS place,
                row_number() OVER (PARTITION BY lower(r.id) ORDER BY r.net DESC, r.id) - 1 AS place_in_genre
         FROM d_results r""",
+    "customers_by_year": """
+        WITH d_placed AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders)
+        SELECT strftime(d, '%Y-%m') AS period, count(DISTINCT o_custkey) AS customers FROM d_placed GROUP BY 1
+        UNION ALL SELECT strftime(d, '%Y'), count(DISTINCT o_custkey) FROM d_placed GROUP BY 1
+        UNION ALL SELECT 'all', count(DISTINCT o_custkey) FROM d_placed""",
+    "tickets_by_gate": """
+        SELECT event_id, gate, count(DISTINCT ticket_id) AS tickets FROM d_rawscans GROUP BY GROUPING SETS ((event_id, gate), (gate), ())""",
     "order_places_in_event": """
         SELECT order_id, event_id, row_number() OVER (PARTITION BY event_id ORDER BY ordered_at, order_id) - 1 AS place FROM d_orders""",
     # sources and sinks
@@ -686,6 +693,29 @@ _DELIVERED = {
                true AS export_repeats, true AS twin_equals
         FROM d_results r LEFT JOIN d_att a ON r.id = a.event_id
         JOIN d_matrix m ON m.id = r.id AND m.tier = '1-URGENT'""",
+    "document_events": """
+        SELECT row_number() OVER (ORDER BY r.id) - 1 AS position, r.id, r.sold, r.net,
+               m.sold AS premium_sold, m.net AS premium_net, a.tickets_scanned AS scanned, true AS export_repeats
+        FROM d_results r LEFT JOIN d_att a ON r.id = a.event_id
+        JOIN d_matrix m ON m.id = r.id AND m.tier = '1-URGENT'""",
+    "document_days": "SELECT row_number() OVER (ORDER BY date) - 1 AS position, date, net, tickets FROM d_pacing",
+    "document_campaigns": f"""
+        SELECT row_number() OVER (ORDER BY rpd DESC, id) - 1 AS position, id, name, spend, net, rpd FROM (SELECT {_RETURNS} FROM d_returns)""",
+    "changed_by_digest": f"SELECT *, 0 AS slots_of_a_repeat FROM ({_STATEMENTS['changed_rows']})",
+    "rejected_rows": """
+        WITH d_odd AS (
+          SELECT CASE WHEN o_orderkey % 50 = 7 THEN 'too many fields' WHEN o_orderkey % 50 = 9 THEN 'qty: not a bigint' ELSE 'accepted' END AS reason
+          FROM d_raw)
+        SELECT reason, count(*) AS rows, (SELECT avg(CASE WHEN reason = 'accepted' THEN 0 ELSE 1 END) FROM d_odd) <= 0.01 AS passed
+        FROM d_odd GROUP BY reason""",
+    "slice_metrics": f"""
+        SELECT strftime(day, '%Y-%m-%d') AS slice, count(s.tier) AS row_count, COALESCE({money('s.net_revenue')}, 0.0) AS slice_net_revenue
+        FROM (SELECT CAST(unnest(generate_series(DATE '1994-12-25', DATE '1995-02-28', INTERVAL 1 DAY)) AS DATE) AS day) c
+        LEFT JOIN ({_daily("order_date >= '1994-12-25' AND order_date < '1995-03-01'")}) s ON CAST(s.order_date AS DATE) = c.day GROUP BY 1""",
+    "refresh_texts": """
+        SELECT 'campaign_performance' AS table_name, 'top_campaign' AS metric,
+               (SELECT name FROM d_perf WHERE campaign_id LIKE 'CMP-%' ORDER BY attributed_revenue DESC, campaign_id LIMIT 1) AS text
+        UNION ALL SELECT 'raw_ticket_scans', 'latest_file', 'ticket_scans_2025-07-03.csv'""",
     "dated_files": """
         SELECT scan_id, '2025-07-0' || (CAST(scan_id AS BIGINT) % 3 + 1) AS file_date FROM d_scans""",
     "written_tables_read_back": "SELECT order_id, event_id, tier, promo_code, gross_revenue, net_revenue FROM d_orders",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stagedoor import schemas
 from stagedoor.functions.text import normalize_code, ticket_number
-from stagedoor.operators import attendance, attribution, checks, numbering, relational, sales, selection, staging, windows
+from stagedoor.operators import attendance, attribution, checks, distinct, numbering, relational, sales, selection, staging, windows
 from stagedoor.plans import extensions, growth, payload, report, slices
 from stagedoor.session import fresh_path, settle
 from stagedoor.sinks import tables
@@ -609,6 +609,33 @@ def order_places_in_event(s: Season) -> DataFrame:
     return numbering.numbered(orders, order, ["event_id"]).select("order_id", "event_id", "place")
 
 
+@query
+def customers_by_year(s: Season) -> DataFrame:
+    """Distinct customers per month, per year and in all, years and total from the months' bitmaps."""
+    placed = s.source.table("orders").select(F.trunc(F.to_date("o_orderdate"), "month").alias("month"), "o_custkey")
+    months = settle(distinct.distinct_slices(placed, ["month"], F.col("o_custkey")), "customer-bitmaps")
+    by_year = months.withColumn("year", F.year("month"))
+    label = F.date_format("month", "yyyy-MM").alias("period")
+    return (
+        distinct.distinct_counts(months, ["month"], "customers").select(label, "customers")
+        .union(distinct.distinct_counts(by_year, ["year"], "customers").select(F.col("year").cast("string"), "customers"))
+        .union(distinct.distinct_counts(months, [], "customers").select(F.lit("all"), "customers"))
+    )
+
+
+@query
+def tickets_by_gate(s: Season) -> DataFrame:
+    """Distinct tickets scanned per event and gate, per gate and in all, the latter two from bitmaps of numbered tickets."""
+    scans = settle(distinct.with_dense_ids(s.source.raw_scans().select("ticket_id", "event_id", "gate"), "ticket_id"), "numbered-tickets")
+    fine = settle(distinct.distinct_slices(scans, ["event_id", "gate"], F.col("dense_id")), "ticket-bitmaps")
+    none = F.lit(None).cast("string")
+    return (
+        distinct.distinct_counts(fine, ["event_id", "gate"], "tickets").select("event_id", "gate", "tickets")
+        .union(distinct.distinct_counts(fine, ["gate"], "tickets").select(none, "gate", "tickets"))
+        .union(distinct.distinct_counts(fine, [], "tickets").select(none, none, "tickets"))
+    )
+
+
 # ---- sources and sinks -----------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stagedoor.functions.numbers import total
 from stagedoor.functions.text import ticket_number
 from stagedoor.operators.attribution import attribution_check_counts, dirty_code_count
-from stagedoor.operators.relational import with_unknown_key
+from stagedoor.operators.relational import side_by_side, with_unknown_key
 
 ERROR, WARN = "ERROR", "WARN"
 _HEAD = ["check_name", "passed", "severity", "blocking"]
@@ -53,6 +53,16 @@ def orders_reference_known_events(orders: DataFrame, events: DataFrame) -> DataF
     )
 
 
+def few_rows_rejected(read: DataFrame, rejects: DataFrame, at_most: float = 0.01) -> DataFrame:
+    """Blocking: of all delivered rows, no larger share than ``at_most`` was rejected. No row at all is none rejected."""
+    counts = side_by_side(
+        read.agg(F.count("*").alias("accepted_rows")),
+        rejects.agg(F.count("*").alias("rejected_rows"), F.count_distinct("file_name").alias("files_with_rejects")),
+    )
+    share = F.coalesce(F.try_divide(F.col("rejected_rows").cast("double"), F.col("accepted_rows") + F.col("rejected_rows")), F.lit(0.0))
+    return _verdict(counts, "few_rows_rejected", share <= at_most, blocking=True)
+
+
 def all_promo_orders_attributed(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Every coded order matches a campaign; says how to repair it if not."""
     counts = attribution_check_counts(orders, campaigns).withColumn(

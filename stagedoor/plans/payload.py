@@ -40,12 +40,20 @@ class PayloadParts:
         campaigns: DataFrame,
         attendance_of: Callable[[DataFrame], DataFrame],
         settings: PlanSettings | None = None,
+        spread: bool = False,
     ):
-        """``attendance_of`` gives the attendance table, from the roll-up it is handed."""
+        """``attendance_of`` gives the attendance table, from the roll-up it is handed.
+
+        With ``spread`` the lists stay in as many tasks as they have, for exports that never gather them.
+        """
+        self._spread = spread
         self._orders, self._roster, self._campaigns = orders, events, campaigns
         self._attendance_of = attendance_of
         self.settings = settings or PlanSettings()
 
+    def _part(self, part: DataFrame, label: str) -> DataFrame:
+        return settle(part, label) if self._spread else _gathered(part, label)
+
     @cached_property
     def sales(self) -> DataFrame:
         if GROUPING in self._orders.columns:
@@ -56,19 +64,19 @@ class PayloadParts:
     def events(self) -> DataFrame:
         attendance = self._attendance_of(self.sales)
         results = growth.event_results(self._roster, self.sales, attendance, self.settings)
-        return _gathered(results, "results")
+        return self._part(results, "results")
 
     @cached_property
     def daily(self) -> DataFrame:
-        return _gathered(daily_pacing(self.sales), "pacing")
+        return self._part(daily_pacing(self.sales), "pacing")
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        return _gathered(campaign_returns(self.sales, self._campaigns), "returns")
+        return self._part(campaign_returns(self.sales, self._campaigns), "returns")
 
     @cached_property
     def _totals(self) -> DataFrame:
-        return _gathered(growth.season_totals(self.sales, self.events, self.campaigns), "totals")
+        return self._part(growth.season_totals(self.sales, self.events, self.campaigns), "totals")
 
     @property
     def totals(self) -> DataFrame:

@@ -9,6 +9,7 @@ from stagedoor.functions.dates import within
 from stagedoor.functions.numbers import money_total, total
 from stagedoor.operators.sales import sales_measures
 from stagedoor.schemas import DAILY_SALES
+from stagedoor.session import settle
 from stagedoor.sinks.tables import read_slices, replace_slices
 
 # The calendar of the season, end exclusive.
@@ -76,9 +77,29 @@ def slice_summary(slices: DataFrame, key: str = "order_date") -> DataFrame:
     )
 
 
+def slice_metrics(rows: DataFrame, requested: DataFrame, key: str) -> DataFrame:
+    """Rows and net revenue of every requested slice, zeros where it is empty."""
+    found = slice_summary(rows, key).withColumnRenamed(key, "_slice")
+    return requested.join(found, requested[key] == F.col("_slice"), "left").select(
+        requested[key].cast("string").alias("slice"),
+        F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
+        F.coalesce("slice_net_revenue", F.lit(0.0)).alias("slice_net_revenue"),
+    )
+
+
+def record_slices(metrics: DataFrame, path: str) -> None:
+    """Add what a rebuild wrote to the table's metrics, a row for each slice and rebuild."""
+    metrics.withColumn("run_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}_metrics")
+
+
 def rebuild_days(orders: DataFrame, path: str, first: str, end: str) -> DataFrame:
-    """Rebuild the stored slices of a day range, empty ones included, and return the table."""
+    """Rebuild the stored slices of a day range, empty ones included, and return the table.
+
+    Rows and net revenue of each slice are recorded beside it.
+    """
     spark = orders.sparkSession
-    rows = daily_sales(orders, first, end).withColumn("order_date", F.to_date("order_date"))
-    replace_slices(rows, path, "order_date", calendar(spark, first, end))
+    rows = settle(daily_sales(orders, first, end).withColumn("order_date", F.to_date("order_date")), "days")
+    days = calendar(spark, first, end)
+    replace_slices(rows, path, "order_date", days)
+    record_slices(slice_metrics(rows, days, "order_date"), path)
     return read_slices(spark, path, DAILY_SALES, "order_date")

@@ -60,6 +60,54 @@ def csv_table(
     return text.select(*typed, *extra)
 
 
+# Columns of rejected rows.
+REJECTED = ["file_name", "reason", "row"]
+
+
+def csv_with_rejects(
+    spark: SparkSession, path: str | list[str], layout: StructType, out_dir: str, pattern: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of headered CSV that fit ``layout``, and those that don't with file name, reason and text.
+
+    Files are read once: rows are sorted out as they are written below ``out_dir``, both kinds in one pass. A row
+    with more fields than the header is rejected, and one with a field that is no value of its column's type;
+    the first reason found is given. Columns the layout does not know are left out. A shorter row lacks its last columns.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').option("columnPruning", False)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    names = reader.csv(path).columns
+    odd = "_odd_row"
+    strings = StructType([StructField(n, StringType()) for n in [*names, odd]])
+    text = reader.schema(strings).option("columnNameOfCorruptRecord", odd).csv(path)
+    unquoted = F.regexp_replace(odd, r'"(?:[^"]|"")*"', "")
+    reason = F.when(F.regexp_count(unquoted, F.lit(",")) + 1 > len(names), F.lit("too many fields"))
+    values = []
+    for f in layout.fields:
+        given = F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast("string")
+        field = F.when(~given.isin(MISSING_WORDS), given)
+        value = field.try_cast(f.dataType)
+        reason = reason.when(field.isNotNull() & value.isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
+        values.append(value.alias(f.name))
+    whole = F.coalesce(F.col(odd), F.concat_ws(",", *(F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names)))
+    sorted_out = text.select(
+        F.struct(*values).alias("good"), F.struct(F.col("_metadata.file_name").alias("file_name"), reason.alias("reason"), whole.alias("row")).alias("bad")
+    ).withColumn("rejected", F.col("bad.reason").isNotNull())
+    empty = F.lit(None)
+    sorted_out.select(
+        F.when(~F.col("rejected"), F.col("good")).otherwise(empty).alias("good"),
+        F.when(F.col("rejected"), F.col("bad")).otherwise(empty).alias("bad"), "rejected",
+    ).write.mode("overwrite").partitionBy("rejected").parquet(out_dir)
+    ddl = f"good {layout.simpleString()}, bad struct<file_name: string, reason: string, row: string>, rejected boolean"
+    stored = spark.read.schema(ddl).parquet(out_dir)
+    return stored.filter(~F.col("rejected")).select("good.*"), stored.filter("rejected").select("bad.*")
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(file_name, reason, rows) of rejected rows."""
+    return rejects.groupBy("file_name", "reason").agg(F.count("*").alias("rows"))
+
+
 def csv_plus_increments(
     spark: SparkSession, base_path: str, increments_dir: str, file_name: str, layout: StructType
 ) -> DataFrame:

@@ -118,3 +118,26 @@ def test_rows_that_do_not_fit_the_header(spark, tmp_path):
     (tmp_path / "lines.csv").write_text('a,b,c\n1,"two\nlines",3\n')
     broken = files.csv_table(spark, str(tmp_path / "lines.csv"), layout, multi_line=True)
     assert rows(broken) == [("1", "two\nlines", "3")]
+
+
+def test_rejected_rows_are_kept_apart(spark, tmp_path):
+    from stagedoor.operators.checks import BlockedByCheck, few_rows_rejected, gate
+    from stagedoor.sources.files import csv_with_rejects, reject_counts
+
+    folder = tmp_path / "orders"
+    folder.mkdir()
+    header = "order_id,event_id,ordered_at,tier,qty,unit_price_usd,promo_code,status\n"
+    (folder / "a.csv").write_text(
+        header + 'O1,E1,2025-07-01,GA,2,10.5,"A, ""B""",completed\nO2,E1,2025-07-01,GA,two,10.5,,completed\nO3,E1,2025-07-01,GA,2,10.5,,completed,more\n'
+    )
+    (folder / "b.csv").write_text(header + "O4,E1,2025-07-01,GA,1,free,,completed\nO5,E1\nO6,E1,2025-07-01,GA,NA,1,NULL,completed\n")
+    good, bad = csv_with_rejects(spark, str(folder), schemas.RAW_ORDERS, str(tmp_path / "out"))
+    assert rows(good, "order_id") == [("O1",), ("O5",), ("O6",)]
+    assert good.filter("order_id = 'O1'").first().promo_code == 'A, "B"'
+    assert rows(reject_counts(bad)) == [
+        ("a.csv", "qty: not a bigint", 1), ("a.csv", "too many fields", 1), ("b.csv", "unit_price_usd: not a double", 1),
+    ]
+    assert {r.row.split(",")[0] for r in bad.collect()} == {"O2", "O3", "O4"}
+    with pytest.raises(BlockedByCheck):
+        gate(few_rows_rejected(good, bad))
+    gate(few_rows_rejected(good, bad, at_most=0.5), few_rows_rejected(good.limit(0), bad.limit(0)))
