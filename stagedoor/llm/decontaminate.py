@@ -3,8 +3,13 @@
 Every run of ``window`` words that a text shares with a benchmark item is to be found. Words are hashed,
 ``gram`` consecutive hashes make a gram, and of any ``window - gram + 1`` consecutive grams the least is
 kept as a fingerprint. A shared run of ``window`` words holds the same grams on both sides, hence the same
-least one: an equality join of fingerprints misses none. Every hit is then extended and compared word by
-word, so equal hashes alone contaminate nothing. Items shorter than a window are matched whole, by length.
+least one: an equality join of fingerprints misses none. Every hit is then extended to the windows around it,
+and these are compared word by word, so equal hashes alone contaminate nothing. Items shorter than a window
+are matched whole, by length.
+
+A fingerprint of a text asks only whether any item has it, and a window around it only which items have it:
+positions of texts are never paired with positions of items, so rows grow with the words of both, however often a
+word or a passage repeats.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -78,37 +83,50 @@ def _place_of(packed: Column) -> Column:
     return packed.bitwiseAND(F.lit(_LOW)).cast("int")
 
 
-def benchmark_index(items: DataFrame, item_id: str, text: str, window: int, gram: int) -> DataFrame:
-    """(key, item, words, item_words, hash, place): one row per fingerprint of an item; place counts from 1.
+def benchmark_items(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
+    """(key, item, words, size): distinct items with words, and how many of them make a window.
 
     ``key`` numbers the distinct pairs of id and words; a null id is none to join by.
     """
     item = items.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(text)).alias("words"))
     item = item.filter(F.size("words") > 0).distinct()
+    size = F.least(F.size("words"), F.lit(window)).alias("size")
     # Numbered as it is written, so every later read sees the same keys.
-    item = settle(item.select(F.monotonically_increasing_id().alias("key"), "item", "words"), "items")
-    lengths = [n for (n,) in item.select(F.size("words")).filter(F.size("words") < window).distinct().collect()]
-    long = item.filter(F.size("words") >= window).select(
-        "*", F.explode(fingerprints(F.col("words"), window, gram)).alias("packed")
-    )
-    found = long
+    return settle(item.select(F.monotonically_increasing_id().alias("key"), "item", "words", size), "items")
+
+
+def item_marks(item: DataFrame, window: int, gram: int) -> DataFrame:
+    """(hash, size): distinct fingerprints of items, and the size of the windows that they stand for."""
+    lengths = [n for (n,) in item.filter(F.col("size") < window).select("size").distinct().collect()]
+    long = item.filter(F.size("words") >= window)
+    found = long.select(F.explode(fingerprints(F.col("words"), window, gram)).alias("packed"), "size")
     for n in sorted(lengths):
         run = F.element_at(whole_runs(F.col("words"), [n]), 1)
-        found = found.union(item.filter(F.size("words") == n).select("*", run.alias("packed")))
-    return found.select(
-        "key", "item", "words", F.size("words").alias("item_words"), _hash_of(F.col("packed")).alias("hash"), _place_of(F.col("packed")).alias("place")
-    )
+        found = found.union(item.filter(F.size("words") == n).select(run.alias("packed"), "size"))
+    return found.select(_hash_of(F.col("packed")).alias("hash"), "size").distinct()
+
+
+def _run(words: Column, first: Column, size: Column) -> Column:
+    """``size`` words from ``first`` on as text; no word holds a space."""
+    return F.array_join(F.slice(words, first, size), " ")
+
+
+def item_windows(item: DataFrame) -> DataFrame:
+    """(item, run): the distinct windows of items, as text."""
+    starts = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
+    runs = F.array_distinct(F.transform(starts, lambda i: _run(F.col("words"), i, F.col("size"))))
+    return item.select("item", F.explode(runs).alias("run")).distinct()
 
 
-def shared_windows(
-    docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, window: int, gram: int
+def hit_windows(
+    docs: DataFrame, item: DataFrame, runs: DataFrame, doc_id: str, text: str, window: int, gram: int
 ) -> DataFrame:
-    """(doc_id, text_key, item, first, past): occurrences of an item's windows in documents.
+    """(doc_id, text_key, first, past, run): windows of documents that are in ``runs``.
 
     ``text_key`` tells texts that share a doc_id apart. Word positions count from 1, ``past`` is exclusive.
     """
-    index = settle(benchmark_index(items, item_id, item_text, window, gram), "benchmark-index")
-    short = [n for (n,) in index.filter(F.col("item_words") < window).select("item_words").distinct().collect()]
+    marks = settle(item_marks(item, window, gram), "benchmark-marks")
+    short = [n for (n,) in marks.filter(F.col("size") < window).select("size").distinct().collect()]
     keyed = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), words_of(F.col(text)).alias("words")
     )
@@ -116,15 +134,15 @@ def shared_windows(
     packed = F.coalesce(fingerprints(F.col("words"), window, gram), F.array().cast("array<bigint>"))
     if short:
         packed = F.concat(packed, whole_runs(F.col("words"), sorted(short)))
-    marks = keyed.select("doc_id", "text_key", F.explode(packed).alias("packed")).select(
+    places = keyed.select("doc_id", "text_key", F.explode(packed).alias("packed")).select(
         "doc_id", "text_key", _hash_of(F.col("packed")).alias("hash"), _place_of(F.col("packed")).alias("at")
     )
-    # Small tables are read from files whose size Spark knows: it broadcasts them below its threshold only.
-    grams = index.select("hash", "key", "item_words", "place")
-    hits = settle(marks.join(grams, "hash").drop("hash").distinct(), "hits")
-    texts = settle(index.select("key", "item", "words").distinct(), "item-words")
+    # Marks are read from files whose size Spark knows: it broadcasts them below its threshold only.
+    hits = settle(places.join(marks, "hash").select("doc_id", "text_key", "at", "size").distinct(), "hits")
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    return _extended(whole, hits, texts, window, gram)
+    tried = _windows_around(whole, hits, window, gram)
+    kept = settle(tried, "tried").join(runs.select("run").distinct(), "run", "left_semi")
+    return kept.select("doc_id", "text_key", "first", (F.col("first") + F.col("size")).alias("past"), "run")
 
 
 def _with_hits(whole: DataFrame, keys: DataFrame) -> DataFrame:
@@ -138,44 +156,39 @@ def _with_hits(whole: DataFrame, keys: DataFrame) -> DataFrame:
     return with_bits(whole, table, [cell], "_maybe").filter("_maybe").drop("_maybe")
 
 
-def _extended(whole: DataFrame, hits: DataFrame, texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """Hits grown to whole windows and compared word by word."""
+def _windows_around(whole: DataFrame, hits: DataFrame, window: int, gram: int) -> DataFrame:
+    """(doc_id, text_key, first, size, run): every window of a text around its hits, once.
+
+    A text's hits are at most a few for each of its words, so the lists here are of the order of the text itself.
+    """
     reach = window - gram
-    # A run is cut out around each hit before rows are made of them, so no row carries a whole text.
-    by_text = hits.groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("at", "key", "item_words", "place")).alias("hits")
-    )
+    by_text = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "size")).alias("hits"))
     named = by_text.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "hits")
     some = _with_hits(whole, hits.select("text_key").distinct())
     both = some.join(named, some["doc_id"].eqNullSafe(F.col("_id")) & (some["text_key"] == F.col("_key")))
-    both = both.select("doc_id", "text_key", "hits", words_of(F.col("text")).alias("words"))
+    # Texts of one key are equal; one of them stands for all.
+    one = both.dropDuplicates(["doc_id", "text_key"])
+    ready = one.select("doc_id", "text_key", "hits", words_of(F.col("text")).alias("words"))
 
-    def cut(words: Column, h: Column) -> Column:
-        back = F.least(h["at"] - 1, F.lit(reach))
-        length = F.when(h["item_words"] < window, h["item_words"]).otherwise(back + window)
-        start = F.when(h["item_words"] < window, h["at"]).otherwise(h["at"] - back)
-        return F.struct(
-            start.alias("start"), h["key"].alias("key"), h["item_words"].alias("item_words"),
-            h["place"].alias("place"), h["at"].alias("at"), F.slice(words, start, length).alias("run"),
-        )
+    def around(h: Column) -> Column:
+        # A window that holds the gram begins up to ``reach`` words before it; a short item begins where its mark is.
+        starts = F.when(h["size"] < window, F.array(h["at"])).otherwise(F.sequence(F.greatest(h["at"] - reach, F.lit(1)), h["at"]))
+        return F.transform(starts, lambda i: F.shiftleft(i.cast("bigint"), 32).bitwiseOR(h["size"].cast("bigint")))
 
-    cuts = both.select(
-        "doc_id", "text_key", F.explode(F.transform("hits", lambda h: cut(F.col("words"), h))).alias("c")
-    ).select("doc_id", "text_key", "c.*")
-    met = cuts.distinct().join(texts, "key")
-    short = F.col("item_words") < window
-    size = F.when(short, F.col("item_words")).otherwise(F.lit(window))
-    # Windows that hold the gram begin up to ``reach`` words before it.
-    back = F.when(short, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(reach)))
-    tried = met.select("*", F.explode(back).alias("back"), size.alias("size"))
-    first, other = F.col("at") - F.col("back"), F.col("place") - F.col("back")
-    fits = tried.filter((first >= F.col("start")) & (other >= 1) & (other + F.col("size") - 1 <= F.col("item_words")))
-    equal = fits.filter(
-        F.slice("run", first - F.col("start") + 1, F.col("size")) == F.slice("words", other, F.col("size"))
+    # Start and size in one number, as distinct numbers are found by hashing and distinct structs by comparing all.
+    windows = F.array_distinct(F.flatten(F.transform("hits", around)))
+
+    def first(w: Column) -> Column:
+        return F.shiftright(w, 32).cast("int")
+
+    def size(w: Column) -> Column:
+        return w.bitwiseAND(F.lit(_LOW)).cast("int")
+
+    inside = F.filter(windows, lambda w: first(w) + size(w) - 1 <= F.size("words"))
+    runs = F.transform(
+        inside, lambda w: F.struct(first(w).alias("first"), size(w).alias("size"), _run(F.col("words"), first(w), size(w)).alias("run"))
     )
-    return equal.select(
-        "doc_id", "text_key", "item", first.alias("first"), (first + F.col("size")).alias("past")
-    ).distinct()
+    return ready.select("doc_id", "text_key", F.explode(runs).alias("w")).select("doc_id", "text_key", "w.*")
 
 
 def contamination(
@@ -203,7 +216,9 @@ def contamination(
 
     Documents with hits only are read a second time; counts of the others come from the words alone.
     """
-    found = shared_windows(docs, items, doc_id, text, item_id, item_text, window, gram)
+    item = benchmark_items(items, item_id, item_text, window)
+    runs = settle(item_windows(item), "item-windows")
+    found = settle(hit_windows(docs, item, runs, doc_id, text, window, gram), "hit-windows")
     state = F.struct(F.lit(0).alias("past"), F.lit(0).cast("bigint").alias("n"))
 
     def cover(s: Column, x: Column) -> Column:
@@ -212,9 +227,17 @@ def contamination(
             (s["n"] + F.greatest(F.lit(0), x["past"] - F.greatest(s["past"], x["first"]))).alias("n"),
         )
 
+    # A text's windows are at most one for each of its words and lengths, its items those that it shares words with.
     spans = F.array_sort(F.collect_set(F.struct("first", "past")))
-    names = F.array_sort(F.collect_set("item"))
-    per_text = found.groupBy("doc_id", "text_key").agg(spans.alias("spans"), names.alias("names"))
+    covered = found.groupBy("doc_id", "text_key").agg(spans.alias("spans"))
+    shared = found.select("doc_id", "text_key", "run").distinct().join(runs.filter("item is not null"), "run")
+    listed = shared.select("doc_id", "text_key", "item").distinct().groupBy("doc_id", "text_key").agg(
+        F.array_sort(F.collect_list("item")).alias("names")
+    )
+    named = listed.select(F.col("doc_id").alias("_named"), F.col("text_key").alias("_named_key"), "names")
+    same = F.col("doc_id").eqNullSafe(F.col("_named")) & (F.col("text_key") == F.col("_named_key"))
+    none = F.array().cast("array<string>")
+    per_text = covered.join(named, same, "left").withColumn("names", F.coalesce("names", none))
     verdicts = settle(
         per_text.select(
             F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),

@@ -115,3 +115,16 @@ def test_decontaminated_keeps_clean_rows(spark, docs, with_clashes):
     rows = with_clashes(docs((1, span), (2, "clean"), (None, span), (3, None), (2, "clean")))
     kept = decontaminate.decontaminated(rows, table(spark, [(1, span)]))
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "2", "3"] and kept.columns == rows.columns
+
+
+def test_repeated_words_and_shared_passages_stay_linear(spark, docs):
+    """20,000 equal words against an item of 5,000, and one passage in every document and item."""
+    import time
+
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(1, "word " * 20_000), (2, "word " * 12), (3, "a b " * 5_000 + passage), *((i, f"x{i} {passage} y{i}") for i in range(10, 300))]
+    items = [(1, "word " * 5_000), (2, "word"), *((i, f"u{i} {passage} v{i}") for i in range(10, 60))]
+    started = time.monotonic()
+    result = found(decontaminate.contamination(docs(*rows), table(spark, items)))
+    assert time.monotonic() - started < 120
+    assert result == plain(rows, items)
