@@ -1,20 +1,22 @@
 """Sources mixed to target weights by entropy balancing.
 
-Every token of a source gets a rate between 0 and ``most`` (2). Of all rates that give each source its
-target, entropy balancing takes those nearest to the present mixture, in the entropy that is bounded on
-both sides. Their dual is convex with one multiplier a source; its stationary point tilts rates
-exponentially: rate / (most - rate) = exp(multiplier). Newton steps find it, each one an aggregate over
-a table of sizes. Rates then become whole copies, with the rounding error carried from document to
-document within blocks that are dealt by hash.
+Every document gets a rate between 0 and ``most`` (2), its weight in the mix. Of all rates that give each source
+its target of words, entropy balancing takes those nearest to taking every document once, in the entropy that is
+bounded on both sides. The dual is convex with one multiplier a source, and its stationary point tilts the rates
+of documents exponentially in their words: rate / (most - rate) = exp(multiplier * size / mean size), so what a
+source has too much of is taken from its long documents first, and what it lacks is added by them. Newton steps find
+the multipliers, each one an aggregate over documents by source. Rates then become whole copies, with the rounding
+error carried from document to document within blocks that are dealt by hash.
 """
 
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagedoor.llm.common import WORD_CLASS, unused
+from stagedoor.operators.numbering import numbered
 from stagedoor.session import settle
 
 # Weights of sources in code point order, repeating, and the whole as a share of all sizes.
@@ -34,17 +36,19 @@ def spread_of(doc_id: Column, text: Column) -> Column:
 def source_targets(
     units: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST
 ) -> DataFrame:
-    """(source, n_docs, source_size, target): one row a source, targets at most ``most`` sizes.
+    """(source, n_docs, n_units, source_size, target): one row a source, targets at most ``most`` sizes.
 
-    The excess of sources above their limit is shared out again by weight until none is above. The
-    window that numbers the sources sees one row a source, never documents.
+    The excess of sources above their limit is shared out again by weight until none is above. Sources are
+    numbered by ranges of their names, so their number has no bound.
     """
     by_source = units.groupBy("source").agg(
-        F.count("*").alias("n_docs"), F.sum(F.col("size") * F.col("times")).alias("source_size")
+        F.count("*").alias("n_docs"),
+        F.sum("times").alias("n_units"),
+        F.sum(F.col("size") * F.col("times")).alias("source_size"),
     )
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    table = settle(by_source.withColumn("weight", weight), "sources")
+    placed = numbered(settle(by_source, "source-sizes"), [F.col("source").asc_nulls_last()])
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    table = settle(placed.withColumn("weight", weight).drop("place"), "sources")
     whole = table.agg(F.sum("source_size")).first()[0] or 0
     limit = F.col("source_size") * F.lit(float(most))
     level, full = None, -1
@@ -62,36 +66,68 @@ def source_targets(
     target = F.least(F.col("weight") * F.lit(level or 0.0), limit)
     if level is None:
         target = F.lit(0.0)
-    return table.select("source", "n_docs", "source_size", target.cast("double").alias("target"))
+    return table.select("source", "n_docs", "n_units", "source_size", target.cast("double").alias("target"))
 
 
-def tilts(targets: DataFrame, most: float = MOST, rounds: int = 60, close: float = 1e-12) -> DataFrame:
-    """``targets`` with the multiplier and the rate of every source.
+def rate_of(tilt: Column, size: Column, mean: Column, most: float = MOST) -> Column:
+    """The rate of a document: between 0 and ``most``, 1 where nothing tilts it, rounded so that reruns agree."""
+    return F.round(F.lit(float(most)) / (1 + F.exp(-tilt * size / mean)), 9)
 
-    Newton steps on the dual, all sources in one step. The dual's gradient for a source is its expected
-    tokens less its target; its curvature is size * rate * (1 - rate / most). A step longer than 2 is
-    shortened to 2, which keeps the iteration inside the region where it converges. Sources whose target is
-    0 or their limit have no finite multiplier; their rate is 0 or ``most``. The sums that enter
-    are whole numbers, so reruns agree to the last bit.
+
+def tilts(units: DataFrame, targets: DataFrame, most: float = MOST, rounds: int = 60, close: float = 1e-6) -> DataFrame:
+    """``targets`` with ``mean``, the mean size of a source's documents, ``tilt``, its multiplier, and ``edge``.
+
+    Newton steps on the dual, all sources in one step. The gradient for a source is the words that its
+    rates take less its target; the curvature is the sum of words * (size / mean) * rate * (1 - rate / most) over its
+    documents. Both are summed as decimals, so they don't depend on the order of rows. As the gradient rises with the
+    multiplier, every step narrows the interval that holds the solution; a step that would leave it, or is longer than
+    the multiplier so far, is shortened. A source whose target is 0 or its limit has no finite multiplier: ``edge``
+    is its rate, 0 or ``most``. Documents of one source and size have one rate, so they enter as one row with their number.
     """
-    ends = (F.col("target") <= 0) | (F.col("target") >= F.col("source_size") * F.lit(float(most)))
-    state = targets.withColumn("tilt", F.lit(0.0))
-    rate = F.lit(float(most)) / (1 + F.exp(-F.col("tilt")))
+    size, target = F.col("size"), F.col("target")
+    ends = (target <= 0) | (target >= F.col("source_size") * F.lit(float(most)))
+    edge = F.when(target <= 0, F.lit(0.0)).when(ends, F.lit(float(most)))
+    grouped = units.groupBy("source", "size").agg(F.sum("times").alias("n"))
+    sizes = settle(grouped.filter("size > 0").withColumnRenamed("source", "_source"), "sizes-by-source")
+    none = F.lit(None).cast("double")
+    state = targets.withColumn("mean", F.try_divide(F.col("source_size").cast("double"), "n_units")).select(
+        "*", edge.alias("edge"), F.lit(0.0).alias("tilt"), none.alias("low"), none.alias("high"), F.lit(False).alias("done")
+    )
+    state = settle(state, "tilts")
+    exact = "decimal(38,6)"
     for _ in range(rounds):
-        gap = F.col("source_size") * rate - F.col("target")
-        bend = F.col("source_size") * rate * (1 - rate / most)
-        step = F.when(ends | (bend <= 0), 0.0).otherwise(-gap / bend)
+        open_ = state.filter("edge is null and not done")
+        if open_.isEmpty():
+            break
+        words = F.col("n") * size
+        share = size / F.col("mean")
+        rate = rate_of(F.col("tilt"), size, F.col("mean"), most)
+        met = sizes.join(open_.select("source", "tilt", "mean"), F.col("_source").eqNullSafe(F.col("source")))
+        sums = met.groupBy("_source").agg(
+            F.sum((words * rate).cast(exact)).cast("double").alias("taken"),
+            F.sum((words * share * rate * (1 - rate / most)).cast(exact)).cast("double").alias("bend"),
+        )
+        gap = F.col("taken") - target
+        tilt, low, high = F.col("tilt"), F.col("low"), F.col("high")
+        newer_low = F.when(gap < 0, tilt).otherwise(low)
+        newer_high = F.when(gap >= 0, tilt).otherwise(high)
+        longest = F.greatest(F.lit(1.0), F.abs(tilt))
+        newton = F.coalesce(F.try_divide(-gap, F.col("bend")), F.when(gap < 0, longest).otherwise(-longest))
+        step = tilt + F.greatest(-longest, F.least(longest, newton))
+        inside = F.coalesce(step > newer_low, F.lit(True)) & F.coalesce(step < newer_high, F.lit(True))
+        after = F.when(inside, step).otherwise((newer_low + newer_high) / 2)
+        found = F.coalesce(F.abs(gap) <= target * close, F.lit(True))
+        moved = state.join(sums, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+        settled = F.col("edge").isNotNull() | F.col("done") | found
         state = settle(
-            state.withColumn("tilt", F.col("tilt") + F.greatest(F.lit(-2.0), F.least(F.lit(2.0), step))),
+            moved.select(
+                *targets.columns, "mean", "edge", F.when(settled, tilt).otherwise(after).alias("tilt"),
+                F.when(settled, low).otherwise(newer_low).alias("low"), F.when(settled, high).otherwise(newer_high).alias("high"),
+                settled.alias("done"),
+            ),
             "tilts",
-        )
-        worst = state.agg(
-            F.max(F.when(~ends, F.abs(F.col("source_size") * rate - F.col("target")) / F.col("target")))
-        ).first()[0]
-        if worst is None or worst <= close:
-            break
-    edge = F.when(F.col("target") <= 0, 0.0).when(ends, float(most))
-    return state.withColumn("rate", F.coalesce(edge, F.round(rate, 9)))
+        )
+    return state.select(*targets.columns, "mean", "tilt", "edge")
 
 
 def _copies(block: pd.DataFrame, most: float, whole: bool) -> pd.DataFrame:
@@ -149,12 +185,15 @@ def mixed_units(
         size_of(F.col(text)).alias("size"),
     )
     units = settle(row.groupBy(*row.columns).agg(F.count("*").alias("times")), "sizes")
-    rates = settle(tilts(source_targets(units, weights, share, most), most), "rates")
+    rates = tilts(units, source_targets(units, weights, share, most), most)
     # A row a source: Spark broadcasts it where it measures it as small, and else splits the hot sources.
-    joined = units.join(
-        rates.select(F.col("source").alias("_source"), "n_docs", "source_size", "target", "rate"),
+    tilted = units.join(
+        rates.select(F.col("source").alias("_source"), "n_docs", "source_size", "target", "mean", "tilt", "edge"),
         F.col("source").eqNullSafe(F.col("_source")),
     ).drop("_source")
+    # A source without words has no mean; its documents are taken once.
+    own = F.coalesce("edge", rate_of(F.col("tilt"), F.col("size"), F.col("mean"), most), F.lit(1.0))
+    joined = tilted.withColumn("rate", own).drop("mean", "tilt", "edge")
     words = F.col("size") * F.col("times")
     columns = [*units.columns, "source_size", "target", "rate"]
 

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import re
 from collections import defaultdict
@@ -71,10 +73,38 @@ def test_edge_cases(docs):
     assert [(r["size"], r.target) for r in lone.collect()] == [(0, 0.0), (0, 0.0)]
 
 
-def test_rates_tilt_to_their_targets(docs):
+def test_rates_tilt_by_size_to_their_targets(docs):
+    """Documents of a source have rates of their own, on one logistic curve, and expect the target."""
     rows = [(i, "w " * (i % 50 + 1), "en", f"s{i % 7}") for i in range(700)]
-    for r in mixing.mix(docs(*rows)).select("source_size", "target", "rate").distinct().collect():
-        assert r.rate * r.source_size == pytest.approx(r.target, rel=1e-6)
+    by_source = defaultdict(list)
+    for r in mixing.mix(docs(*rows)).collect():
+        by_source[r.source].append((r["size"], r.rate, r.source_size, r.target))
+    for found in by_source.values():
+        size, target = found[0][2:]
+        assert sum(s * rate for s, rate, *_ in found) == pytest.approx(target, rel=1e-4)
+        if 0 < target < 2 * size:
+            assert len({rate for _, rate, *_ in found}) > 5
+            tilts = [math.log(rate / (2 - rate)) / s for s, rate, *_ in found if 0.01 < rate < 1.99]
+            assert max(tilts) - min(tilts) <= 1e-5 * max(map(abs, tilts))
+        else:
+            assert {rate for _, rate, *_ in found} == {2.0 if target else 0.0}
+
+
+def test_multipliers_equal_plain_bisection(docs):
+    rng = random.Random(8)
+    rows = [(i, "w " * int(rng.paretovariate(0.9)), "en", f"s{i % 5}") for i in range(600)]
+    for source, found in itertools.groupby(sorted(mixing.mix(docs(*rows)).collect(), key=lambda r: r.source), key=lambda r: r.source):
+        found = list(found)
+        sizes, target = [r["size"] for r in found], found[0].target
+        if target >= 2 * sum(sizes):
+            continue
+        mean, low, high = sum(sizes) / len(sizes), -1e4, 1e4
+        for _ in range(200):
+            middle = (low + high) / 2
+            taken = sum(2 * s / (1 + math.exp(min(700, -middle * s / mean))) for s in sizes)
+            low, high = (middle, high) if taken < target else (low, middle)
+        for r in found:
+            assert r.rate == pytest.approx(2 / (1 + math.exp(min(700, -low * r["size"] / mean))), abs=1e-4), source
 
 
 def test_mixed_documents_are_repeated_as_taken(docs, with_clashes):
