@@ -31,8 +31,9 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-# Records in an archive file at most; an ARC file's version block is one of them.
+# Records in an archive file at most, an ARC file's version block being one of them, and bytes of records, about.
 FILE_RECORDS = 500
+FILE_BYTES = 256 << 20
 # Bytes of records that a task hands on at once, about.
 CHUNK_BYTES = 4 << 20
 WARC_END = "\r\n\r\n"
@@ -40,7 +41,7 @@ NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: na
 
 _RECORDS = (
     "archive string, start long, url string, ip string, date string, content_type string, "
-    "http binary, payload_bytes long, payload_digest string, block_digest string"
+    "http binary, payload_bytes long, payload_digest string, block_digest string, key long, is_http boolean"
 )
 
 
@@ -79,10 +80,14 @@ def write_arc(
 ) -> None:
     """One ARC record per row of ``pages``: an HTTP response whose body is the html in UTF-8 (null: empty).
 
-    Files hold ``FILE_RECORDS`` records at most, the first being the version block; without a version they
-    are of version 1 and 2 in turns.
+    Files hold ``FILE_RECORDS`` records at most, the first being the version block, and about ``FILE_BYTES``:
+    pages are written by classes of size, large ones few to a file. Without a version, files
+    are of version 1 and 2 in turns. The row's key travels in the HTTP header X-Record-Key.
 
-    The row's key travels in the HTTP header X-Record-Key; a null key leaves the header out.
+    - A null key leaves the header out; rows that repeat a key or are equal are records of their own.
+    - A null or blank url is ``-``, other white space in it ``%20``. Null and empty html are empty bodies.
+    - A page of any length is one record. An empty table gives a folder without archives.
+    - Columns other than the three named are not read, whatever their names.
     """
 
     def record(version: int, k: str | None, u: str | None, body: bytes | None) -> bytes:
@@ -95,28 +100,48 @@ def write_arc(
         }
         return _arc_header(version, fields, len(http)) + http
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, size, number, file = [], 0, 0, TaskContext.get().partitionId()
-        for row in (row for batch in batches for part in _pieces(batch) for row in _rows(part)):
-            if number % (FILE_RECORDS - 1) == 0:
-                file += 1
-                kind = version or 2 - file % 2
-                out.append(arc_version_block(kind, f"v{kind}.arc"))
-            out.append(record(kind, *row))
-            size, number = size + len(out[-1]), number + 1
-            if size > CHUNK_BYTES:
+    def archive(per_file: int):
+        def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out, size, number, file = [], 0, 0, TaskContext.get().partitionId()
+            for row in (row for batch in batches for part in _pieces(batch) for row in _rows(part)):
+                if number % (per_file - 1) == 0:
+                    file += 1
+                    kind = version or 2 - file % 2
+                    out.append(arc_version_block(kind, f"v{kind}.arc"))
+                out.append(record(kind, *row))
+                size, number = size + len(out[-1]), number + 1
+                if size > CHUNK_BYTES:
+                    yield _binary(out)
+                    out, size = [], 0
+            if out:
                 yield _binary(out)
-                out, size = [], 0
-        if out:
-            yield _binary(out)
 
-    rows = pages.select(F.col(key).cast("string"), F.col(url), F.col(html).cast("binary"))
-    _write_archive(rows.mapInArrow(records, "record binary"), path, "\n")
+        return records
+
+    rows = pages.select(F.col(key).cast("string").alias("key"), F.col(url).alias("url"), F.col(html).cast("binary").alias("html"))
+    sizes = F.coalesce(F.octet_length("html"), F.lit(0))
+    for per_file, chosen in _by_size(rows, sizes, at_least=2):
+        _write_archive(chosen.mapInArrow(archive(per_file), "record binary"), path, "\n", per_file)
 
 
-def _write_archive(records: DataFrame, path: str, end: str) -> None:
+def _by_size(rows: DataFrame, size: Column, at_least: int = 1, known: DataFrame | None = None) -> Iterator[tuple[int, DataFrame]]:
+    """Rows by class of size, with how many of a class go into a file: classes are powers of two of bytes.
+
+    All rows whose ``FILE_RECORDS`` fit into ``FILE_BYTES`` are one class, so mostly there is one. ``known`` has
+    the same sizes in a narrower table.
+    """
+    small = (FILE_BYTES // FILE_RECORDS).bit_length() - 1
+    kind = F.greatest(F.lit(small), F.ceil(F.log2(F.greatest(size, F.lit(1)))).cast("int"))
+    found = sorted((rows if known is None else known).select(kind).distinct().collect())
+    if not found:
+        yield FILE_RECORDS, rows
+    for (bits,) in found:
+        yield max(at_least, min(FILE_RECORDS, FILE_BYTES >> bits)), rows.filter(kind == bits)
+
+
+def _write_archive(records: DataFrame, path: str, end: str, per_file: int) -> None:
     text = records.select(F.col("record").cast("string").alias("value"))
-    write = text.write.option("lineSep", end).option("maxRecordsPerFile", FILE_RECORDS)
+    write = text.write.mode("append").option("lineSep", end).option("maxRecordsPerFile", per_file)
     write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
@@ -155,17 +180,25 @@ def _field_names(values: list[str], content: bytes) -> list[str]:
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the ARC files below ``path``, with digests; files of both versions may be mixed."""
+    """The records of the ARC files below ``path``, with digests; files of both versions may be mixed.
+
+    A block that begins with an HTTP status line has its body as payload, and its X-Record-Key, which may stand
+    anywhere in the header, as key. Any other block, such as that of a ``dns:`` record, is its own payload. A file is read
+    whole by one task, so it may have two gigabytes at most as it is stored.
+    """
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 rows, size = [], 0
                 for start, fields, http in parse_arc(gzip.open(pa.BufferReader(content.as_buffer()))):
-                    body = http.partition(b"\r\n\r\n")[2]
+                    is_http = http.startswith(b"HTTP/")
+                    head, _, body = http.partition(b"\r\n\r\n") if is_http else (b"", b"", http)
+                    key = _KEY.search(head)
                     rows.append((
                         name, start, fields.get("URL"), fields.get("IP-address"), fields.get("Archive-date"),
                         fields.get("Content-type"), http, len(body), base32_sha1(body), base32_sha1(http),
+                        int(key[1]) if key else None, is_http,
                     ))
                     size += len(http)
                     if size > CHUNK_BYTES:
@@ -177,7 +210,9 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInArrow(records, _RECORDS)
 
 
-_ARROW = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+# The header line that carries a record's key.
+_KEY = re.compile(rb"(?m)^X-Record-Key: (-?\d+)\r?$")
+_ARROW = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
 def _binary(records: list[bytes]) -> pa.RecordBatch:
@@ -212,16 +247,20 @@ def record_id(url: str, date: str, digest: str, key: str | None) -> str:
 
 
 def warc_record(row: dict) -> bytes:
-    """A WARC record without its end. A revisit has the HTTP header only, and names what it revisits."""
+    """A WARC record without its end. A revisit has the HTTP header only, and names what it revisits.
+
+    What is no HTTP exchange is a resource, of the content type that the ARC gave it.
+    """
     http, date = row["http"], warc_date(row["date"])
+    kind = "revisit" if row["revisits"] else "response" if row["is_http"] else "resource"
     head = [
-        ("WARC-Type", "revisit" if row["revisits"] else "response"),
+        ("WARC-Type", kind),
         ("WARC-Record-ID", record_id(row["url"], date, row["payload_digest"], row["key"])),
         ("WARC-Date", date),
         ("WARC-Target-URI", row["url"]),
         ("WARC-IP-Address", row["ip"]),
         ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
-        ("Content-Type", "application/http; msgtype=response"),
+        ("Content-Type", "application/http; msgtype=response" if row["is_http"] else row["content_type"]),
     ]
     block_digest = row["block_digest"]
     if row["revisits"]:
@@ -258,25 +297,26 @@ def parse_warc(stream: BinaryIO) -> Iterator[tuple[dict, bytes]]:
         yield head, block
 
 
-def key_of(http: Column) -> Column:
-    """The X-Record-Key of an HTTP block; null without one. Only the header is looked at."""
-    head = F.substring_index(F.substring(http, 1, 512).cast("string"), WARC_END, 1)
-    return F.nullif(F.regexp_extract(head, r"(?m)^X-Record-Key: (-?\d+)\r?$", 1), F.lit("")).cast("bigint")
-
-
 def convert(spark: SparkSession, arc_path: str, warc_path: str, *, min_revisit_bytes: int = 0) -> None:
     """WARC archives from the ARC archives below ``arc_path``.
 
-    Of records with one payload of ``min_revisit_bytes`` or more, the one with the smallest key becomes the
-    response and the others revisits of it; records without a key are responses. Records are shuffled once,
+    Of HTTP records with one payload of ``min_revisit_bytes`` or more, the one with the smallest key becomes the
+    response and the others revisits of it. Records are shuffled once,
     by their place in the archives, which no two share; what decides is joined in narrow tables.
+
+    - Records without a key come after those with one, by date, url and place, so archives that nobody keyed are
+      deduplicated too; a revisit of such a record names it by its identifier alone.
+    - Repeated keys and equal records are records of their own: one of them is the response.
+    - A record that is no HTTP exchange becomes a resource and is neither revisit nor revisited.
+    - Dates that are none become the epoch. Empty payloads are payloads. No records give no archives.
     """
-    records = read_arc(spark, arc_path).withColumn("key", key_of(F.col("http")))
+    records = read_arc(spark, arc_path)
     meta = settle(records.drop("http", "content_type", "ip", "block_digest"), "arc-records")
-    eligible = meta.filter(F.col("key").isNotNull() & (F.col("payload_bytes") >= min_revisit_bytes))
+    eligible = meta.filter(F.col("is_http") & (F.col("payload_bytes") >= min_revisit_bytes))
+    rank = F.struct(F.col("key").isNull().alias("unkeyed"), F.coalesce("key", F.lit(0)).alias("by"), "date", "url", "archive", "start")
     first = settle(
         eligible.groupBy("payload_digest").agg(
-            F.min(F.struct(F.col("key").alias("refers_to"), F.col("url").alias("refers_url"), F.col("date").alias("refers_date"), F.col("archive"), F.col("start"))).alias("first")
+            F.min_by(F.struct(F.col("key").alias("refers_to"), F.col("url").alias("refers_url"), F.col("date").alias("refers_date"), F.col("archive"), F.col("start")), rank).alias("first")
         ),
         "responses",
     )
@@ -288,7 +328,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, *, min_revisit_b
         "revisits",
     )
     joined = records.join(refers, ["archive", "start"], "left").select(
-        "url", "ip", "date", "http", "payload_bytes", "payload_digest", "block_digest", F.col("key").cast("string").alias("key"),
+        "url", "ip", "date", "http", "content_type", "is_http", "payload_bytes", "payload_digest", "block_digest", F.col("key").cast("string").alias("key"),
         F.coalesce("revisits", F.lit(False)).alias("revisits"), F.col("refers_to").cast("string").alias("refers_to"), "refers_url", "refers_date",
     )
 
@@ -297,7 +337,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, *, min_revisit_b
             for part in _pieces(batch):
                 yield _binary([warc_record(row) for row in part.to_pylist()])
 
-    _write_archive(joined.mapInArrow(synthesise, "record binary"), warc_path, WARC_END)
+    for per_file, chosen in _by_size(joined, F.col("payload_bytes"), known=meta):
+        _write_archive(chosen.mapInArrow(synthesise, "record binary"), warc_path, WARC_END, per_file)
 
 
 def _pieces(batch: pa.RecordBatch, rows: int = 64) -> Iterator[pa.RecordBatch]:
@@ -311,8 +352,9 @@ _READ = "page_id long, payload_bytes long, payload_digest string, record_type st
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the WARC archives below ``path``.
 
-    Lengths and digests of responses are computed from their payloads; revisits give those of the payload
-    that they stand for.
+    Lengths and digests of responses and resources are computed from their payloads; revisits give those of the
+    payload that they stand for. A record without a key has a null page_id, one that revisits such a record a null
+    refers_to. Repeated records are rows of their own; no archives give no rows. A damaged record raises.
     """
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,15 +362,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for content in batch.column(0):
                 rows = []
                 for head, block in parse_warc(gzip.open(pa.BufferReader(content.as_buffer()))):
-                    http, _, body = block.partition(b"\r\n\r\n")
-                    key = re.search(rb"(?m)^X-Record-Key: (-?\d+)\r?$", http)
+                    plain = head["WARC-Type"] == "resource"
+                    http, _, body = (b"", b"", block) if plain else block.partition(b"\r\n\r\n")
+                    key = _KEY.search(http)
                     revisit = head["WARC-Type"] == "revisit"
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     if not revisit and base32_sha1(body) != digest:
                         raise ValueError("a payload differs from its digest")
                     rows.append((
                         int(key[1]) if key else None, int(head["X-Payload-Length"]) if revisit else len(body), digest,
-                        head["WARC-Type"], int(head["X-Refers-To-Key"]) if revisit else None,
+                        head["WARC-Type"], int(head["X-Refers-To-Key"]) if "X-Refers-To-Key" in head else None,
                         head["WARC-Record-ID"], head["WARC-Date"], head["WARC-Target-URI"],
                     ))
                 yield _batch(rows, _READ)

@@ -132,8 +132,8 @@ digests AS (SELECT page_id, payload_bytes, list_aggregate(list_transform(range(3
             FROM bits),
 firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM digests)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> f THEN f END AS refers_to
+       CASE WHEN page_id IS NOT DISTINCT FROM f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM f THEN f END AS refers_to
 FROM firsts
 """
 

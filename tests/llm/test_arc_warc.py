@@ -30,16 +30,19 @@ def digest(html):
 
 
 def expected(rows, least=0):
+    """Of equal payloads the smallest key is the response, a null one being the last."""
     first, out, seen = {}, [], set()
     for i, _, html in rows:
-        if i is not None and len((html or "").encode()) >= least:
-            first[digest(html)] = min(i, first.get(digest(html), i))
+        if len((html or "").encode()) >= least:
+            first[digest(html)] = min((i is None, i or 0), first.get(digest(html), (True, 0)))
     for i, _, html in rows:
         d, size = digest(html), len((html or "").encode())
-        response = i is None or size < least or (first[d] == i and d not in seen)
-        if i is not None and first.get(d) == i:
+        own = first.get(d) == (i is None, i or 0)
+        response = size < least or own and d not in seen
+        if own:
             seen.add(d)
-        out.append((str(i), size, d, "response" if response else "revisit", "None" if response else str(first[d])))
+        refers = None if response or first[d][0] else first[d][1]
+        out.append((str(i), size, d, "response" if response else "revisit", str(refers)))
     return sorted(out)
 
 
@@ -122,3 +125,47 @@ def test_damaged_arc_is_an_error(bad):
 def test_dates():
     assert arc_warc.warc_date("20080430204825") == "2008-04-30T20:48:25Z"
     assert arc_warc.warc_date("20081430204825") == arc_warc.warc_date(None) == "1970-01-01T00:00:00Z"
+
+
+def write_by_hand(path, version, *records):
+    path.mkdir(exist_ok=True)
+    (path / f"{len(list(path.iterdir()))}.arc.gz").write_bytes(gzip.compress(arc(version, *records).read()))
+
+
+def by_hand(url, block, kind="text/html", date="19970101010101"):
+    return b"%s 1.2.3.4 %s %s %d\n%s\n" % (url.encode(), date.encode(), kind.encode(), len(block), block)
+
+
+def test_archives_that_others_wrote(spark, tmp_path):
+    """A key late in a long header, records without keys, and what is no HTTP exchange."""
+    http = b"HTTP/1.0 200 OK\r\n"
+    late = http + b"X-Filler: " + b"f" * 2_000 + b"\r\nX-Record-Key: 5\r\n\r\nbody"
+    write_by_hand(
+        tmp_path / "arc", 1, by_hand("http://a", late), by_hand("http://b", http + b"X-Record-Key: 9\r\n\r\nbody"), by_hand("http://c", http + b"\r\nbody"),
+        by_hand("http://d", http + b"\r\nother", date="19980101010101"), by_hand("dns:a", b"19970101 a 1.2.3.4\r\n\r\nbody", "text/dns"),
+    )
+    write_by_hand(tmp_path / "arc", 1, by_hand("http://e", http + b"\r\nother"), by_hand("dns:a", b"", "text/dns"))
+    warc = str(tmp_path / "warc")
+    arc_warc.convert(spark, str(tmp_path / "arc"), warc)
+    rows = {(r.target_uri, r.payload_bytes): r for r in arc_warc.read_warc(spark, warc).collect()}
+    kinds = {k: (r.page_id, r.record_type, r.refers_to) for k, r in rows.items()}
+    assert kinds == {
+        ("http://a", 4): (5, "response", None), ("http://b", 4): (9, "revisit", 5), ("http://c", 4): (None, "revisit", 5),
+        ("http://d", 5): (None, "revisit", None), ("http://e", 5): (None, "response", None),
+        ("dns:a", 26): (None, "resource", None), ("dns:a", 0): (None, "resource", None),
+    }
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(warc).collect()
+    records = [r for f in files for r in arc_warc.parse_warc(io.BytesIO(gzip.decompress(f.content)))]
+    heads = {h["WARC-Target-URI"]: h for h, b in records if b or h["WARC-Type"] != "resource"}
+    assert heads["http://d"]["WARC-Refers-To"] == heads["http://e"]["WARC-Record-ID"]
+    assert heads["dns:a"]["Content-Type"] == "text/dns"
+
+
+def test_large_pages_are_few_to_a_file(spark, monkeypatch):
+    monkeypatch.setattr(arc_warc, "FILE_BYTES", 4 << 20)
+    rows = [(i, "u", chr(65 + i % 26) * (1_500_000 if i < 12 else 100)) for i in range(60)]
+    result, warc = converted(spark, spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1))
+    assert found(result) == expected(rows)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(warc).collect()
+    sizes = [len(gzip.decompress(f.content)) for f in files]
+    assert max(sizes) < 8 << 20
