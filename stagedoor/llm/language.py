@@ -5,8 +5,9 @@ matched anywhere in the sample. A text is parsed greedily into phrases, each the
 one ended; in its own language it needs few long phrases. Phrases are normalised to an entropy,
 phrases * log2(length of the sample) / length of the text, and the least one wins.
 
-The samples are bounded by parameters, so the automata are, and they are broadcast. Texts are parsed whole, many at a
-time: a step of the parse is one look-up for a character of each of thousands of pieces.
+The samples are bounded by parameters, so the automata are, and they are broadcast. Every letter of a sample is told
+apart. Texts are parsed whole, many at a time: a step of the parse is one look-up for a character of each of
+thousands of texts, and the state of a text is carried on until it ends.
 """
 
 import functools
@@ -22,15 +23,17 @@ from stagedoor.session import settle
 
 UNKNOWN = "und"
 FOLDS = 5
-# Bounds of what is learned: documents a language, characters of each, characters of all languages together.
+# Bounds of what is learned: documents a language, and characters of all languages together. Texts of up to
+# USUAL_CHARS are learned before longer ones.
 SAMPLE_DOCS = 256
-DOC_CHARS = 2_000
 ALL_CHARS = 1 << 18
-# Letters a language tells apart; rarer ones share a class. Bounds the automaton's table.
-LETTERS = 60
-# Characters parsed in one go; a phrase ends with its piece.
+USUAL_CHARS = 4_000
+# Letters with a column of the automaton's table; the ways on by rarer ones are found by search.
+DENSE = 60
+# Texts and characters parsed together, at most, and characters of each laid out at once.
+PART_DOCS, PART_CHARS = 5_000, 1 << 24
 PIECE = 2_048
-BLOCK_CHARS = 1 << 23
+COLUMNS = 4_096
 SPACE = 32
 
 
@@ -49,39 +52,65 @@ def letters_of(text: str) -> np.ndarray:
 
 
 class Parser:
-    """A language's greedy parser: a table of the next state for each state and class of character.
+    """A language's greedy parser: the next state for each state and letter.
 
-    An entry below zero ends a phrase; its complement is the state in which the next phrase begins.
+    Frequent letters have a table; an entry below zero ends a phrase, and its complement is the state in which
+    the next phrase begins. Rare letters have a sorted list of (state, letter). State 0 is that before a text.
     """
 
     def __init__(self, sample: np.ndarray):
         known, counts = np.unique(sample, return_counts=True)
-        kept = np.sort(known[np.argsort(-counts, kind="stable")][:LETTERS])
-        self.points = kept
+        frequent = np.argsort(-counts, kind="stable")
+        self.dense = np.sort(known[frequent[:DENSE]])
+        self.rare = np.sort(known[frequent[DENSE:]])
         self.size = len(sample)
-        # Classes: the kept characters, a class for other letters of the sample, one for all else.
-        self.other = np.setdiff1d(known, kept)
-        self.width = len(kept) + 2
-        classes = np.searchsorted(kept, sample)
-        classes = np.where(np.isin(sample, kept), classes, len(kept))
-        states = _suffix_automaton(classes.tolist())
+        # Codes: the dense letters, then one for all that the sample lacks, then the rare letters.
+        self.width = len(self.dense) + 1
+        codes = self.classes()[sample]
+        states = _suffix_automaton(codes.tolist())
+        lacking = len(states)
         table = np.full((len(states) + 1, self.width), -1, np.int32)
+        keys, after = [], []
         for s, edges in enumerate(states):
-            table[s, list(edges)] = list(edges.values())
+            for code, target in edges.items():
+                if code < self.width:
+                    table[s, code] = target
+                else:
+                    keys.append(s * len(self.rare) + code - self.width)
+                    after.append(target)
         # A character that the sample lacks is a phrase; the last state has no way on.
-        begin = np.where(table[0] < 0, len(states), table[0])
+        begin = np.where(table[0] < 0, lacking, table[0])
         table = np.where(table < 0, ~begin[None, :], table)
-        # The first state is that before a text, where nothing has begun that could end.
+        # Before a text, nothing has begun that could end.
         table[0] = begin
         self.table = table.astype(np.int32).ravel()
+        order = np.argsort(keys) if keys else []
+        self.keys = np.array(keys, np.int64)[order] if keys else np.empty(0, np.int64)
+        self.after = np.array(after, np.int64)[order] if keys else np.empty(0, np.int64)
+        self.rare_begin = np.array([states[0][self.width + i] for i in range(len(self.rare))], np.int64)
 
     def classes(self) -> np.ndarray:
-        """The class of every code point."""
-        out = np.full(0x110000, self.width - 1, np.uint8)
-        out[self.other] = self.width - 2
-        out[self.points] = np.arange(len(self.points))
+        """The code of every code point."""
+        most = self.width + len(self.rare)
+        out = np.full(0x110000, self.width - 1, np.uint8 if most < 256 else np.uint32)
+        out[self.dense] = np.arange(len(self.dense))
+        out[self.rare] = self.width + np.arange(len(self.rare))
         return out
 
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The next states, complemented where a phrase ended."""
+        if not len(self.rare):
+            return self.table[state * self.width + code]
+        after = self.table[state * self.width + np.minimum(code, self.width - 1)]
+        where = np.flatnonzero(code >= self.width)
+        if len(where):
+            letter = code[where].astype(np.int64) - self.width
+            key = state[where] * len(self.rare) + letter
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            # Every letter of the sample leads on from the first state, so nothing ends there.
+            after[where] = np.where(self.keys[at] == key, self.after[at], ~self.rare_begin[letter])
+        return after
+
 
 def _suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     edges, link, length, last = [{}], [-1], [0], 0
@@ -111,17 +140,19 @@ def _suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return edges
 
 
-def phrases(parser: Parser, pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Phrases of each piece. ``pieces`` has a row a position and a column a piece, long pieces first."""
-    count = np.ones(pieces.shape[1], np.int64)
-    state = np.zeros(pieces.shape[1], np.int64)
+def phrases(parser: Parser, pieces: np.ndarray, lengths: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """Phrases that end in each piece; ``state`` holds the states before and, afterwards, after the pieces.
+
+    ``pieces`` has a row a position and a column a piece, long pieces first.
+    """
+    ended = np.zeros(pieces.shape[1], np.int64)
     active = np.searchsorted(-lengths, -np.arange(len(pieces)), side="left")
     for t, k in enumerate(active):
-        after = parser.table[state[:k] * parser.width + pieces[t, :k]]
-        ended = after >> 31
-        count[:k] -= ended
-        state[:k] = after ^ ended
-    return count
+        after = parser.step(state[:k], pieces[t, :k])
+        end = after >> 31
+        ended[:k] -= end
+        state[:k] = after ^ end
+    return ended
 
 
 def _held_out(doc_id: Column) -> Column:
@@ -131,13 +162,15 @@ def _held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, doc_id: str, text: str, lang: str) -> dict[str, Parser]:
     """A parser for each language of the rows that aren't held out.
 
-    Per language, the ``SAMPLE_DOCS`` documents with the least hash of their id are looked at, ``DOC_CHARS``
-    characters of each, and so much of that is learned that all languages together have ``ALL_CHARS`` at most.
+    Per language, ``SAMPLE_DOCS`` documents are looked at, those of up to ``USUAL_CHARS`` first, by the least hash of
+    their id. Whole texts are learned as long as all languages together stay within ``ALL_CHARS``; only if the
+    first text alone is longer than its language's share is it cut there.
     """
     usable = F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & ~_held_out(F.col(doc_id)) & F.col(text).isNotNull()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
+    order = Window.partitionBy("lang").orderBy("long", F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
     # Which documents: without their texts, cut to so many a language before the shuffle.
-    some = docs.filter(usable).select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
+    long = F.length(text) > USUAL_CHARS
+    some = docs.filter(usable).select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), long.alias("long"))
     chosen = some.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS)
     chosen = settle(chosen.groupBy("doc_id", "lang").agg(F.min("n").alias("n")), "sample-ids")
     languages = chosen.select("lang").distinct().count()
@@ -146,13 +179,14 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str) -> dict[str, Parse
     # SAMPLE_DOCS rows a language; Spark broadcasts them if it measures them as small.
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = texts.join(named, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select(
-        "lang", "n", F.substring("text", 1, DOC_CHARS).alias("text")
+        "lang", "n", "text"
     )
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("n").sort_values("n")
         parts = [letters_of(t) for t in rows["text"]]
-        sample = np.concatenate([*parts, np.empty(0, np.uint32)])[:share]
+        whole = np.searchsorted(np.cumsum([len(p) for p in parts]), share, "right")
+        sample = np.concatenate(parts[: max(whole, 1)])[:share]
         return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "sample": [sample.astype("<u4").tobytes()]})
 
     samples = rows.groupBy("lang").applyInPandas(build, "lang string, sample binary").collect()
@@ -160,38 +194,42 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str) -> dict[str, Parse
     return {k: Parser(found[k]) for k in sorted(found) if (found[k] != SPACE).any()}
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Pieces of texts with the texts' numbers, some ``BLOCK_CHARS`` characters at a time."""
-    owners, pieces, size = [], [], 0
-    for i, text in enumerate(texts):
-        points = letters_of(text) if text else ()
-        for at in range(0, len(points), PIECE):
-            owners.append(i)
-            pieces.append(points[at : at + PIECE])
-            size += len(pieces[-1])
-            if size >= BLOCK_CHARS:
-                yield owners, pieces
-                owners, pieces, size = [], [], 0
-    if pieces:
-        yield owners, pieces
+def _parts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of a bounded number of texts and characters, with their texts."""
+    texts = batch.column(column).to_pylist()
+    at = 0
+    while at < len(texts):
+        upto, size = at + 1, len(texts[at] or "")
+        while upto < len(texts) and upto - at < PART_DOCS and size + len(texts[upto] or "") <= PART_CHARS:
+            size += len(texts[upto] or "")
+            upto += 1
+        yield batch.slice(at, upto - at), texts[at:upto]
+        at = upto
 
 
 def entropies(parsers: dict[str, Parser], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Normalised phrases, a row a text and a column a language, and whether a text has a letter."""
-    counts, sizes = np.zeros((len(texts), len(parsers))), np.zeros(len(texts), np.int64)
-    has_letter = np.zeros(len(texts), bool)
+    """Normalised phrases, a row a text and a column a language, and whether a text has a letter.
+
+    Texts are laid out side by side, ``PIECE`` characters of each at a time, long ones first.
+    """
+    points = [letters_of(text) if text else np.empty(0, np.uint32) for text in texts]
+    sizes = np.array([len(p) for p in points], np.int64)
+    has_letter = np.array([bool((p != SPACE).any()) for p in points], bool)
+    order = np.argsort(-sizes, kind="stable")
+    lengths = sizes[order]
+    counts = np.ones((len(texts), len(parsers)))
+    states = np.zeros((len(parsers), len(texts)), np.int64)
     classes = [p.classes() for p in parsers.values()]
-    for owners, pieces in _blocks(texts):
-        lengths = np.array([len(p) for p in pieces])
-        order = np.argsort(-lengths, kind="stable")
-        owner, lengths = np.array(owners)[order], lengths[order]
-        matrix = np.full((lengths[0], len(pieces)), SPACE, np.uint32)
-        for column, i in enumerate(order):
-            matrix[: len(pieces[i]), column] = pieces[i]
-        np.add.at(sizes, owner, lengths)
-        np.logical_or.at(has_letter, owner, (matrix != SPACE).any(axis=0))
-        for j, parser in enumerate(parsers.values()):
-            np.add.at(counts[:, j], owner, phrases(parser, classes[j][matrix], lengths))
+    for at in range(0, int(lengths[0]) if len(lengths) else 0, PIECE):
+        active = int(np.searchsorted(-lengths, -at, side="left"))
+        for first in range(0, active, COLUMNS):
+            some = order[first : min(active, first + COLUMNS)]
+            left = np.minimum(sizes[some] - at, PIECE)
+            matrix = np.full((left[0], len(some)), SPACE, np.uint32)
+            for column, i in enumerate(some):
+                matrix[: left[column], column] = points[i][at : at + PIECE]
+            for j, parser in enumerate(parsers.values()):
+                counts[some, j] += phrases(parser, classes[j][matrix], left, states[j, first : first + len(some)])
     bits = np.log2([max(p.size, 2) for p in parsers.values()])
     return counts * bits / np.maximum(sizes, 1)[:, None], has_letter
 
@@ -205,7 +243,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
     - A null text, or one without a letter, is ``und`` with score 0; so is every text if nothing can be learned.
     - A null doc_id isn't held out and isn't learned from. Repeated rows get equal predictions.
-    - Very long texts are parsed whole, in pieces of ``PIECE`` characters, which only bound a phrase.
+    - Very long texts are parsed whole, from their first character to their last.
     - An empty table gives an empty result; columns other than those named are not read.
     """
     parsers = docs.sparkSession.sparkContext.broadcast(learn(docs, doc_id, text, lang))
@@ -214,8 +252,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
         known = parsers.value
         names = np.array([*known, UNKNOWN], object)
         for batch in batches:
-            for part in (batch.slice(at, 2_000) for at in range(0, batch.num_rows, 2_000)):
-                texts = part.column(2).to_pylist()
+            for part, texts in _parts(batch, 2):
                 best, score = np.full(len(texts), len(known)), np.zeros(len(texts))
                 if known:
                     bits, has_letter = entropies(known, texts)

@@ -22,17 +22,24 @@ def points(text):
     return np.array([ord(c) for c in text], np.uint32)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_phrases_equal_string_search(seed):
+@pytest.mark.parametrize("letters", ["abc ", "".join(map(chr, range(0x4E00, 0x4E00 + 3_000)))])
+@pytest.mark.parametrize("seed", range(2))
+def test_phrases_equal_string_search(seed, letters, monkeypatch):
+    """Texts longer than a piece too, over few letters and over thousands, some of which the sample lacks."""
+    monkeypatch.setattr(language, "PIECE", 16)
+    monkeypatch.setattr(language, "COLUMNS", 7)
     rng = random.Random(seed)
-    sample = "".join(rng.choice("abc ") for _ in range(400))
+    pairs = [rng.choice(letters) + rng.choice(letters) for _ in range(400)]
+    sample = "".join(rng.choice(pairs) for _ in range(4_000 if len(letters) > 100 else 200))
     parser = language.Parser(points(sample))
-    texts = sorted(("".join(rng.choice("abcd ") for _ in range(rng.randint(1, 90))) for _ in range(50)), key=len, reverse=True)
-    lengths = np.array([len(t) for t in texts])
-    matrix = np.full((lengths[0], len(texts)), parser.width - 1, np.uint8)
-    for i, t in enumerate(texts):
-        matrix[: len(t), i] = parser.classes()[points(t)]
-    assert language.phrases(parser, matrix, lengths).tolist() == [plain_phrases(sample, t) for t in texts]
+    assert len(parser.rare) == max(0, len(set(sample)) - language.DENSE)
+    texts = ["".join(rng.choice([*pairs, "é", rng.choice(letters)]) for _ in range(rng.randint(0, 90))) for _ in range(50)]
+    parsed = [t for t in texts if t]
+    # The text as the parser is given it: letters, and single spaces for all else.
+    shown = ["".join(map(chr, language.letters_of(t))) for t in parsed]
+    bits, _ = language.entropies({"x": parser}, parsed)
+    found = bits[:, 0] * np.array([len(t) for t in shown]) / np.log2(parser.size)
+    assert np.rint(found).astype(int).tolist() == [plain_phrases(sample, t) for t in shown]
 
 
 def test_letters():
