@@ -265,7 +265,11 @@ def contamination(
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with the columns of ``docs``."""
+    """The rows of ``docs`` that are not contaminated, with the columns of ``docs``, whatever their names.
+
+    Rows that repeat an id and its text share their fate; rows of one id with different texts don't. Null and empty
+    texts stay, a null id is an id like any other. Empty tables give an empty result, or all rows.
+    """
     bad = contamination(docs, items, doc_id, text, **options).filter("contaminated")
     keys = bad.select(F.xxhash64(F.col("doc_id").cast("string")).alias("_id"), F.col("text_key").alias("_text"))
     return without(docs, keys, doc_id, text)

@@ -240,7 +240,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as they are taken, with the columns of ``docs``."""
+    """The mix itself: rows of ``docs`` as often as they are taken, with the columns of ``docs``, whatever their names.
+
+    Rows equal in id, source and text are taken equally often, each as many times as :func:`mix` says. A
+    document without words is taken by its rate, which is 1 unless its source takes nothing or all twice.
+    An empty table gives an empty result.
+    """
     names = [unused(docs, n) for n in ("_doc_id", "_spread", "_source", "_copies")]
     units = mixed_units(docs, doc_id, text, source, **options)
     taken = units.filter("copies > 0").select("doc_id", "spread", "source", "copies").toDF(*names)
