@@ -448,7 +448,11 @@ def judged(
 
 
 def accepted(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with the columns of ``docs``."""
+    """The rows of ``docs`` that are kept, with the columns of ``docs``, whatever their names.
+
+    Null, empty and blank texts stay, as do those of a language without a threshold. Rows that repeat an id and its
+    text share their fate. An empty table gives an empty result; without trusted rows everything stays.
+    """
     verdicts = judged(docs, trusted, doc_id, text, lang, **options)
     bad = verdicts.filter("not kept").select(
         F.xxhash64(F.col("doc_id").cast("string")).alias("_id"), F.col("text_key").alias("_text")
