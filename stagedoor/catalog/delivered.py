@@ -8,10 +8,10 @@ from stagedoor import schemas
 from stagedoor.catalog.queries import Season, query
 from stagedoor.functions.text import file_date
 from stagedoor.operators import checks, relational, staging
-from stagedoor.plans import payload, slices
+from stagedoor.plans import slices
 from stagedoor.plans.refresh import Refresh, Sources, Targets, refresh_admissions, refresh_all
-from stagedoor.session import fresh_path, list_names, move, read_text, settle, write_text
-from stagedoor.sinks import documents, fragments, snapshots, tables
+from stagedoor.session import fresh_path, list_names, move, settle, write_text
+from stagedoor.sinks import fragments, snapshots, tables
 from stagedoor.sources import files
 from stagedoor.streaming import admissions, drops, first_scans
 
@@ -225,51 +225,27 @@ def stream_first_arrivals(s: Season) -> DataFrame:
     return first_scans.agreement(s.spark.read.parquet(kept), scans)
 
 
-@query
-def exported_document(s: Season) -> DataFrame:
-    """The events of the written document and of its script twin, in order, after a second export."""
-    out = fresh_path(s.spark, "report")
-    first = documents.export_document(s.parts, out)
-    text = read_text(s.spark, f"{out}/data.json")
-    again = documents.export_document(s.parts, out)
-    unchanged = sorted(first) == ["data.js", "data.json"] and not again and read_text(s.spark, f"{out}/data.json") == text
-    script = read_text(s.spark, f"{out}/data.js")
-    twin = script == f"{documents.SCRIPT_NOTE}{documents.SCRIPT_VARIABLE} = {text.rstrip()};\n"
-    came = "attendance struct<kept: bigint, scanned: bigint, show_up: double, no_shows: bigint>"
-    tiers = "tiers map<string, struct<sold: bigint, cap: bigint, net: double>>"
-    layout = f"events array<struct<id: string, sold: bigint, net: double, {tiers}, {came}>>"
-    read = s.spark.read.schema(layout).option("multiLine", True).json(f"{out}/data.json")
-    event = read.select(F.posexplode("events").alias("position", "e"))
-    premium = F.col("e.tiers")[s.settings.premium_tier]
-    return event.select(
-        "position", "e.id", "e.sold", "e.net", premium["sold"].alias("premium_sold"), premium["net"].alias("premium_net"),
-        "e.attendance.scanned", F.lit(unchanged).alias("export_repeats"), F.lit(twin).alias("twin_equals"),
-    )
-
-
 EVENT_LAYOUT = (
     "id string, sold bigint, net double, tiers map<string, struct<sold: bigint, cap: bigint, net: double>>, "
     "attendance struct<kept: bigint, scanned: bigint, show_up: double, no_shows: bigint>"
 )
 
 
-def spread_parts(s: Season) -> payload.PayloadParts:
-    return payload.PayloadParts(s.orders, s.events, s.campaigns, s.attendance_from, s.settings, spread=True)
-
-
 @query
-def document_events(s: Season) -> DataFrame:
+def exported_document(s: Season) -> DataFrame:
     """Events of a document that all tasks wrote as fragments, in order, after an export with nothing new and a second one."""
     out, other = fresh_path(s.spark, "report"), fresh_path(s.spark, "report")
-    parts = spread_parts(s)
+    parts = s.spread_parts
     wrote = [fragments.export_fragments(parts, out), fragments.export_fragments(parts, out), fragments.export_fragments(parts, other)]
     texts = [s.spark.read.text(f"{o}/data").select("section", F.xxhash64("value").alias("h")) for o in (out, other)]
     same = wrote == [True, False, True] and relational.changed_rows(*texts).isEmpty()
+    listed = fragments.listed_files(s.spark, out)
+    twin = listed["data.js"][1:-1] == listed["data.json"] == fragments.fragment_names(s.spark, out)
     found = fragments.read_section(s.spark, out, "events", EVENT_LAYOUT)
     premium = F.col("element.tiers")[s.settings.premium_tier]
     return found.select(
         "position", "element.id", "element.sold", "element.net", premium["sold"].alias("premium_sold"), premium["net"].alias("premium_net"),
-        "element.attendance.scanned", F.lit(same).alias("export_repeats"),
+        "element.attendance.scanned", F.lit(same).alias("export_repeats"), F.lit(twin).alias("twin_equals"),
     )
 
 
@@ -277,7 +253,7 @@ def document_events(s: Season) -> DataFrame:
 def document_days(s: Season) -> DataFrame:
     """Days of the document, from its fragments."""
     out = fresh_path(s.spark, "report")
-    fragments.export_fragments(spread_parts(s), out)
+    fragments.export_fragments(s.spread_parts, out)
     return fragments.read_section(s.spark, out, "daily", "date string, net double, tickets bigint").select("position", "element.*")
 
 
@@ -285,7 +261,7 @@ def document_days(s: Season) -> DataFrame:
 def document_campaigns(s: Season) -> DataFrame:
     """Campaigns of the document, from its fragments, best return first."""
     out = fresh_path(s.spark, "report")
-    fragments.export_fragments(spread_parts(s), out)
+    fragments.export_fragments(s.spread_parts, out)
     layout = "id string, name string, spend double, net double, rpd double"
     return fragments.read_section(s.spark, out, "campaigns", layout).select("position", "element.*")
 

@@ -14,7 +14,7 @@ from stagedoor.functions.text import normalize_code, ticket_number
 from stagedoor.operators import attendance, attribution, checks, distinct, numbering, relational, sales, selection, staging, windows
 from stagedoor.plans import extensions, growth, payload, report, slices
 from stagedoor.session import fresh_path, settle
-from stagedoor.sinks import tables
+from stagedoor.sinks import fragments, tables
 from stagedoor.sources import files
 from stagedoor.sources.star_schema import END_DAY, FIRST_DAY, StarSchema, plan_settings
 from stagedoor.streaming import drops
@@ -95,6 +95,13 @@ class Season:
             self.orders, self.events, self.campaigns, self.attendance_from, self.settings
         )
 
+    @cached_property
+    def spread_parts(self) -> payload.PayloadParts:
+        """The same for exports that never gather a list."""
+        return payload.PayloadParts(
+            self.orders, self.events, self.campaigns, self.attendance_from, self.settings, spread=True
+        )
+
 
 _QUERIES: dict[str, Query] = {}
 
@@ -683,10 +690,10 @@ def changed_rows(s: Season) -> DataFrame:
 
 @query
 def payload_headline(s: Season) -> DataFrame:
-    """The headline of an exported document."""
-    path = fresh_path(s.spark, "document")
-    payload.payload_json(payload.payload_row(s.parts)).write.text(path)
-    return files.headline_of(s.spark, path)
+    """The headline of an exported document, which all tasks write and none reads whole."""
+    out = fresh_path(s.spark, "document")
+    fragments.export_fragments(s.spread_parts, out)
+    return fragments.headline(s.spark, out)
 
 
 @query

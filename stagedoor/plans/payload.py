@@ -5,6 +5,7 @@ into a written roll-up, and all parts are computed from that.
 """
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -74,6 +75,12 @@ class PayloadParts:
     def campaigns(self) -> DataFrame:
         return self._part(campaign_returns(self.sales, self._campaigns), "returns")
 
+    def prepare(self) -> None:
+        """Write the three lists at once: they depend on the roll-up, and not on each other."""
+        self.sales  # noqa: B018
+        with ThreadPoolExecutor(3) as pool:
+            list(pool.map(lambda name: getattr(self, name), ("events", "daily", "campaigns")))
+
     @cached_property
     def _totals(self) -> DataFrame:
         return self._part(growth.season_totals(self.sales, self.events, self.campaigns), "totals")
@@ -127,6 +134,7 @@ def payload_row(parts: PayloadParts) -> DataFrame:
 
     One row by nature, whatever the number of events, days and campaigns.
     """
+    parts.prepare()
     levers = parts.levers
     amounts = growth.lever_amounts(levers)
     return side_by_side(

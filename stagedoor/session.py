@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
-def _path(spark: SparkSession, path: str):
+def opened(spark: SparkSession, path: str):
     """A path and its file system, as Spark itself would open it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -45,7 +45,7 @@ def _path(spark: SparkSession, path: str):
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, in order; none where there is no folder."""
-    folder, system = _path(spark, path)
+    folder, system = opened(spark, path)
     if not system.exists(folder) or not system.getFileStatus(folder).isDirectory():
         return []
     return sorted(s.getPath().getName() for s in system.listStatus(folder))
@@ -53,21 +53,21 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 def delete_folders(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
-        folder, system = _path(spark, path)
+        folder, system = opened(spark, path)
         system.delete(folder, True)
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file within its file system; the folder it goes to is made."""
-    before, system = _path(spark, source)
-    after, _ = _path(spark, target)
+    before, system = opened(spark, source)
+    after, _ = opened(spark, target)
     system.mkdirs(after.getParent())
     if not system.rename(before, after):
         raise OSError(f"{source} can't be moved to {target}")
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    file, system = _path(spark, path)
+    file, system = opened(spark, path)
     if not system.exists(file):
         return None
     stream = system.open(file)
@@ -78,7 +78,7 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, content: str) -> None:
-    file, system = _path(spark, path)
+    file, system = opened(spark, path)
     stream = system.create(file, True)
     try:
         stream.write(bytearray(content.encode("utf-8")))

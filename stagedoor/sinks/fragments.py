@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagedoor.operators.numbering import numbered
-from stagedoor.operators.relational import has_changed
+from stagedoor.operators.relational import has_changed, side_by_side
 from stagedoor.plans import growth
 from stagedoor.plans.payload import PayloadParts
-from stagedoor.session import _path, list_names, settle, write_text
+from stagedoor.session import list_names, opened, read_text, settle, write_text
 from stagedoor.sinks.documents import SCRIPT_NOTE, SCRIPT_VARIABLE
 
 DATA, MANIFEST = "data", "manifest"
@@ -83,6 +83,7 @@ def export_fragments(parts: PayloadParts, out_dir: str) -> bool:
     No row, list or text of the document passes through one task or the driver; what the driver lists is file names.
     The manifest comes last, so an export that is cut short is not taken for a whole one.
     """
+    parts.prepare()
     spark = parts.totals.sparkSession
     elements = settle(_elements(spark, parts), "elements")
     manifest = elements.select("section", "place", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
@@ -123,17 +124,28 @@ def read_section(spark: SparkSession, out_dir: str, name: str, layout: str) -> D
     return met.select(F.col("place").alias("position"), F.from_json("text", layout).alias("element"))
 
 
+def headline(spark: SparkSession, out_dir: str) -> DataFrame:
+    """One row: net revenue and nights with scans of an exported document, from two of its sections."""
+    net = read_section(spark, out_dir, "totals", "net double").select(F.format_number("element.net", 0).alias("net"))
+    nights = read_section(spark, out_dir, "season", "nights_scanned bigint").select("element.nights_scanned")
+    text = F.concat(F.lit("$"), F.col("net"), F.lit(" net, "), F.col("nights_scanned").cast("string"), F.lit(" nights of scans"))
+    return side_by_side(net, nights).select(text.alias("headline"))
+
+
+def listed_files(spark: SparkSession, out_dir: str) -> dict[str, list[str]]:
+    """The fragments of ``data.json`` and of its script twin."""
+    return json.loads(read_text(spark, f"{out_dir}/files.json"))
+
+
 def assemble(spark: SparkSession, out_dir: str, name: str, target: str) -> None:
     """One file of the fragments, ``data.json`` or ``data.js``, copied end to end in small buffers."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    from stagedoor.session import read_text
-
-    files = json.loads(read_text(spark, f"{out_dir}/files.json"))[name]
-    path, system = _path(spark, target)
+    files = listed_files(spark, out_dir)[name]
+    path, system = opened(spark, target)
     out = system.create(path, True)
     try:
         for file in files:
-            part, home = _path(spark, f"{out_dir}/{file}")
+            part, home = opened(spark, f"{out_dir}/{file}")
             source = home.open(part)
             try:
                 jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)

@@ -61,7 +61,6 @@ def test_dense_ids(spark):
 
 def test_fragments_make_the_document(spark, tmp_path):
     """The fragments end to end are the document that one task would write; empty lists included."""
-    from stagedoor.catalog.delivered import spread_parts
     from stagedoor.catalog.queries import Season
     from stagedoor.sinks import fragments
     from stagedoor.sinks.documents import document
@@ -72,7 +71,7 @@ def test_fragments_make_the_document(spark, tmp_path):
         season.source.table("orders")
     except Exception:
         pytest.skip("no test tables here")
-    parts, out = spread_parts(season), str(tmp_path / "report")
+    parts, out = season.spread_parts, str(tmp_path / "report")
     assert fragments.export_fragments(parts, out)
     fragments.assemble(spark, out, "data.json", str(tmp_path / "data.json"))
     assert json.loads((tmp_path / "data.json").read_text()) == document(season.parts)
@@ -82,7 +81,7 @@ def test_fragments_make_the_document(spark, tmp_path):
     # Something else under the same name is replaced as a whole.
     other = Season(spark, folder)
     other.__dict__["orders"] = season.orders.filter("false")
-    assert fragments.export_fragments(spread_parts(other), out)
+    assert fragments.export_fragments(other.spread_parts, out)
     fragments.assemble(spark, out, "data.json", str(tmp_path / "data.json"))
     again = json.loads((tmp_path / "data.json").read_text())
     assert again["daily"] == [] and again["totals"]["tickets_sold"] == 0
