@@ -266,6 +266,30 @@ def document_campaigns(s: Season) -> DataFrame:
     return fragments.read_section(s.spark, out, "campaigns", layout).select("position", "element.*")
 
 
+@query
+def document_tiers(s: Season) -> DataFrame:
+    """Every tier of every event of the document, and whether the event has attendance, from its fragments."""
+    out = fresh_path(s.spark, "report")
+    fragments.export_fragments(s.spread_parts, out)
+    found = fragments.read_section(s.spark, out, "events", EVENT_LAYOUT).select("element.*")
+    came = F.col("attendance").isNotNull().alias("has_attendance")
+    return found.select("id", came, F.explode("tiers").alias("tier", "figures")).select("id", "has_attendance", "tier", "figures.*")
+
+
+@query
+def document_levers(s: Season) -> DataFrame:
+    """The levers of the document with all their details, from its fragments."""
+    out = fresh_path(s.spark, "report")
+    fragments.export_fragments(s.spread_parts, out)
+    details = (
+        "event string, sell_through double, target_sell_through double, add_tickets bigint, avg_net_per_ticket double, unsold_seats bigint, "
+        "sellout_nights bigint, nights bigint, vip_net_on_sellouts double, price_lift double, budget_moved double, source_rpd double, "
+        "target_rpd double, incrementality double, refunded_rev double, convert_rate double"
+    )
+    layout = f"key string, amount bigint, detail struct<{details.replace(' ', ':').replace(',:', ',')}>"
+    return fragments.read_section(s.spark, out, "levers", layout).select("position", "element.key", "element.amount", "element.detail.*")
+
+
 @query
 def changed_by_digest(s: Season) -> DataFrame:
     """What cleaning the promo codes changes, found by comparing digests of two snapshots first."""

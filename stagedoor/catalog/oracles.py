@@ -355,6 +355,21 @@ _STATEMENTS = {
         SELECT name, channel, attributed_orders, attributed_revenue, revenue_per_dollar FROM d_perf
         ORDER BY attributed_revenue DESC, campaign_id LIMIT 5""",
     "summary_show_up": "SELECT event_name, tickets_sold, tickets_scanned, show_up_rate FROM d_att",
+    "published_summary": f"""
+        WITH k AS (SELECT {_REPORT}),
+        s AS (SELECT 'Summer stand: ' || format('{{:,}}', tickets_sold) || ' tickets brought in $' || format('{{:,.2f}}', total_net)
+          || ' after refunds, and ' || format('{{:.0f}}%', 100 * overall_rate) || ' of them were used. Most was earned through '
+          || best_by_revenue || ', most for each dollar spent through ' || best_per_dollar || '.' AS text FROM k),
+        c AS (SELECT * FROM d_perf ORDER BY attributed_revenue DESC, campaign_id LIMIT 5)
+        SELECT 0 AS part, 0 AS place, text, true AS written FROM s
+        UNION ALL SELECT 1, 0, 'Leading campaigns | channel | orders | net | net per dollar', true
+        UNION ALL SELECT 2, 0, 'Show-up | sold | scanned | rate', true
+        UNION ALL SELECT 1, row_number() OVER (ORDER BY attributed_revenue DESC, name),
+          concat_ws(' | ', COALESCE(name, '-'), COALESCE(channel, '-'), format('{{:,}}', attributed_orders), '$' || format('{{:,.2f}}', attributed_revenue),
+                    COALESCE(format('{{:,.2f}}', revenue_per_dollar), '-')), true FROM c
+        UNION ALL SELECT 2, row_number() OVER (ORDER BY event_name),
+          concat_ws(' | ', event_name, format('{{:,}}', tickets_sold), format('{{:,}}', tickets_scanned), COALESCE(format('{{:.1f}}%', 100 * show_up_rate), '-')), true
+        FROM d_att""",
     # slices
     "daily_sales": _daily(_SEASON_DAYS),
     "daily_sales_one_day": _daily("order_date = '1996-03-04'"),
@@ -696,6 +711,13 @@ _DELIVERED = {
     "document_days": "SELECT row_number() OVER (ORDER BY date) - 1 AS position, date, net, tickets FROM d_pacing",
     "document_campaigns": f"""
         SELECT row_number() OVER (ORDER BY rpd DESC, id) - 1 AS position, id, name, spend, net, rpd FROM (SELECT {_RETURNS} FROM d_returns)""",
+    "document_tiers": """
+        SELECT m.id, a.event_id IS NOT NULL AS has_attendance, m.tier, m.sold, m.cap, m.net
+        FROM d_matrix m LEFT JOIN d_att a ON m.id = a.event_id""",
+    "document_levers": " UNION ALL BY NAME ".join(
+        f"SELECT {i} AS position, '{key}' AS key, * FROM ({_STATEMENTS[f'lever_{key}']})"
+        for i, key in enumerate(("soft_night", "vip", "realloc", "refunds"))
+    ),
     "changed_by_digest": f"SELECT *, 0 AS slots_of_a_repeat FROM ({_STATEMENTS['changed_rows']})",
     "rejected_rows": """
         WITH d_odd AS (

@@ -266,6 +266,18 @@ def summary_show_up(s: Season) -> DataFrame:
     return report.summary_tables(performance, s.attendance)[1]
 
 
+@query
+def published_summary(s: Season) -> DataFrame:
+    """The one-pager as published, line by line: the sentence and both tables."""
+    marts = s.marts()
+    summary = report.executive_summary(*marts, "Summer stand", s.capacity)
+    page = settle(report.summary_page(summary, *report.summary_tables(marts[0], marts[2])), "page")
+    path = fresh_path(s.spark, "summary")
+    report.write_page(page, path)
+    written = s.spark.read.text(path).withColumnRenamed("value", "text")
+    return page.withColumn("written", F.lit(not relational.has_changed(page.select("text"), written)))
+
+
 # ---- slices ----------------------------------------------------------------------------------
 
 

@@ -7,7 +7,9 @@ from stagedoor.functions.numbers import money_total, total
 from stagedoor.functions.text import dollars, joined_or_none, percent, thousands
 from stagedoor.operators.attribution import real_campaigns, top_campaigns
 from stagedoor.operators.relational import first_row_by, side_by_side
+from stagedoor.operators.numbering import numbered
 from stagedoor.plans.settings import VENUE_CAPACITY
+from stagedoor.session import settle
 
 
 def headline_numbers(
@@ -108,3 +110,39 @@ def executive_summary(
         F.lit("."),
     )
     return headline_numbers(performance, revenue, attendance, capacity).select(text.alias("summary"))
+
+
+def summary_page(summary: DataFrame, leaders: DataFrame, shown: DataFrame) -> DataFrame:
+    """(part, place, text): the one-pager line by line, the sentence and below it both tables with their headings.
+
+    ``leaders`` come by revenue, the leading row first, ``shown`` by event. Lines of the second table are numbered
+    by range, so its length doesn't matter. A missing figure shows as a dash.
+    """
+
+    def line(*cells: Column) -> Column:
+        return F.concat_ws(" | ", *(F.coalesce(c.cast("string"), F.lit("-")) for c in cells))
+
+    def heading(part: int, text: str) -> DataFrame:
+        return summary.sparkSession.range(1).select(F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("place"), F.lit(text).alias("text"))
+
+    campaign = line(
+        F.col("name"), F.col("channel"), thousands(F.col("attributed_orders")), dollars(F.col("attributed_revenue")),
+        F.format_number("revenue_per_dollar", 2),
+    )
+    night = line(F.col("event_name"), thousands(F.col("tickets_sold")), thousands(F.col("tickets_scanned")), percent(F.col("show_up_rate")))
+    tables = (
+        (1, leaders.select("attributed_revenue", "name", campaign.alias("text")), [F.desc("attributed_revenue"), F.col("name")]),
+        (2, shown.select("event_name", night.alias("text")), [F.col("event_name")]),
+    )
+    page = summary.select(F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("place"), F.col("summary").alias("text"))
+    page = page.union(heading(1, "Leading campaigns | channel | orders | net | net per dollar"))
+    page = page.union(heading(2, "Show-up | sold | scanned | rate"))
+    for part, table, order in tables:
+        placed = numbered(settle(table, "summary-table"), order)
+        page = page.union(placed.select(F.lit(part).alias("part"), (F.col("place") + 1).alias("place"), "text"))
+    return page
+
+
+def write_page(page: DataFrame, path: str) -> None:
+    """The page as text files whose names sort as its lines do."""
+    page.repartitionByRange("part", "place").sortWithinPartitions("part", "place").select("text").write.mode("overwrite").text(path)
