@@ -17,6 +17,7 @@ from stagedoor.functions.numbers import total
 from stagedoor.operators.attendance import show_rate_by
 from stagedoor.operators.relational import keep_first, with_known_key
 from stagedoor.operators.sales import sales_measures
+from stagedoor.session import list_names
 from stagedoor.sources.files import SCAN_FILES, csv_table, ingest_manifest
 from stagedoor.streaming.drops import file_drops
 from stagedoor.streaming.ledger import Ledger
@@ -51,8 +52,12 @@ class Admissions:
         return held.groupBy("event_id").agg(total("tickets").alias("tickets"), total("known_tickets").alias("known_tickets"))
 
     def handled(self) -> DataFrame:
-        """Names of files that are in the state."""
-        return self.ledger.read(FILES, _FILE, "part")
+        """Names of files that are in the state: those of committed batches."""
+        last, root = self.ledger.last().batch, f"{self.ledger.root}/{FILES}"
+        if not any(n.startswith("batch=") for n in list_names(self.spark, root)):
+            return self.spark.createDataFrame([], _FILE)
+        listed = self.spark.read.schema(f"{_FILE}, batch bigint").parquet(root)
+        return listed.filter(F.col("batch") <= last).select("file_name")
 
     def pending(self) -> DataFrame:
         """Names of files in the folder that are not in the state: new ones, and late ones."""
@@ -62,6 +67,9 @@ class Admissions:
     def newest(self) -> str:
         return self.ledger.last().facts.get("newest") or ""
 
+    def scans_so_far(self) -> int:
+        return int(self.ledger.last().facts.get("scans_so_far") or 0)
+
     def apply(self, batch: int, orders: DataFrame, before_commit: Callable[[], None] = lambda: None) -> bool:
         """Bring all pending files into the state as ``batch``; False if it is there already or nothing is pending.
 
@@ -89,10 +97,10 @@ class Admissions:
         written = self.spark.read.schema(f"{_TICKET}, {SLICE} int").parquet(firsts)
         self._count(written, orders).write.mode("overwrite").partitionBy(SLICE).parquet(self.ledger.folder(COUNTS, batch))
         done = self.spark.createDataFrame([(n,) for n in names], _FILE)
-        done.coalesce(1).write.mode("overwrite").parquet(f"{self.ledger.folder(FILES, batch)}/part={batch}")
+        done.coalesce(1).write.mode("overwrite").parquet(self.ledger.folder(FILES, batch))
         before_commit()
-        facts = {"scans_read": read, "files": len(names), "newest": max([*names, self.newest()])}
-        self.ledger.commit(batch, {TICKETS: touched, COUNTS: touched, FILES: [str(batch)]}, facts)
+        facts = {"scans_read": read, "scans_so_far": self.scans_so_far() + read, "files": len(names), "newest": max([*names, self.newest()])}
+        self.ledger.commit(batch, {TICKETS: touched, COUNTS: touched}, facts)
         return True
 
     def recount(self, batch: int, orders: DataFrame) -> None:
@@ -100,12 +108,12 @@ class Admissions:
         whole = self._with_slice(self.tickets())
         self._count(whole, orders).write.mode("overwrite").partitionBy(SLICE).parquet(self.ledger.folder(COUNTS, batch))
         slices = list(self.ledger.last().slices.get(TICKETS, {}))
-        facts = {"scans_read": 0, "files": 0, "newest": self.newest()}
+        facts = {"scans_read": 0, "scans_so_far": self.scans_so_far(), "files": 0, "newest": self.newest()}
         self.ledger.commit(batch, {COUNTS: slices}, facts)
 
     def drop_counts(self) -> dict[str, int]:
         """Scans read, dropped as repeats, dropped as orphans, and kept, over all batches."""
-        read = sum(int(self.ledger.entry(b).facts["scans_read"]) for b in self.ledger.batches())
+        read = self.scans_so_far()
         row = self.counts().agg(total("tickets").alias("first"), total("known_tickets").alias("kept")).first()
         return {
             "scans_read": read, "duplicate_scans_dropped": read - row.first, "orphan_scans_dropped": row.first - row.kept, "row_count": row.kept,
