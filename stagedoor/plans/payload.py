@@ -107,7 +107,7 @@ class PayloadParts:
             self.events, self.campaigns, self.daily, self._totals, self.settings
         )
 
-    @property
+    @cached_property
     def levers(self) -> dict[str, DataFrame]:
         return growth.growth_levers(self.events, self.campaigns, self._totals, self.settings)
 
