@@ -46,9 +46,9 @@ def normalised(text: bytes | None) -> str:
 
 
 def _pieces(rows: Iterator[tuple], order: int) -> Iterator[tuple[tuple, np.ndarray]]:
-    """(row, code points) with the context that n-grams need; long texts come in several pieces."""
-    for row in rows:
-        text = normalised(row[-1])
+    """(row without its text, code points) with the context that n-grams need; long texts come in several pieces."""
+    for *row, text in rows:
+        text = normalised(text)
         points = np.frombuffer((BEGIN * (order - 1) + text).encode("utf-32-le", "replace"), np.uint32)
         for at in range(0, max(len(text), 1), BLOCK_CHARS):
             yield row, points[at : at + BLOCK_CHARS + order - 1]
@@ -77,32 +77,43 @@ def _grams(points: list[np.ndarray], owners: np.ndarray, order: int) -> tuple[li
 
     Characters are numbered within the block, so an n-gram and its owner mostly fit one integer and one sort
     groups them. Should they not fit, they are spread over as many integers as they need, and sorted by all.
+    Of what is as long as the block, only the integers take eight bytes a character; all is changed in place.
     """
-    whole = np.concatenate(points)
-    uses = np.bincount(whole)
+    letter = np.concatenate(points)
+    uses = np.bincount(letter)
     alphabet = np.flatnonzero(uses)
     owner_bits = max(1, int(owners.max()).bit_length())
     bits = max(1, int(len(alphabet) - 1).bit_length())
-    number = np.zeros(len(uses), np.uint64)
+    number = np.zeros(len(uses), np.uint32)
     number[alphabet] = np.arange(len(alphabet))
-    letter = number[whole]
+    letter = number[letter]
     sizes = np.array([len(p) for p in points])
     ends = np.cumsum(sizes)
     inside = np.ones(len(letter), bool)
     for i in range(order - 1):
         inside[(ends - sizes + i)[sizes > i]] = False
-    at = np.flatnonzero(inside)
-    if not len(at):
+    inside = inside[order - 1 :]
+    n = int(np.count_nonzero(inside))
+    if not n:
         return [], np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
     # Integers of an n-gram, the first characters first, and where each character is: integer, shift.
     per = 64 // bits
     places = [(i // per, bits * (min(per, order - i // per * per) - 1 - i % per)) for i in range(order)]
-    codes = [np.zeros(len(at), np.uint64) for _ in range(places[-1][0] + 1)]
+    codes = [np.zeros(len(inside), np.uint64) for _ in range(places[-1][0] + 1)]
     for i, (k, shift) in enumerate(places):
-        codes[k] |= letter[at - (order - 1 - i)] << np.uint64(shift)
-    owner = np.repeat(owners, sizes)[at].astype(np.uint64)
+        codes[k] |= letter[i : i + len(inside)] * np.uint64(1 << shift)
+    owner = np.repeat(owners, sizes)[order - 1 :]
     fits = bits * (order - places[-1][0] * per) + owner_bits <= 64
-    keys = [*codes[:-1], (codes[-1] << np.uint64(owner_bits)) | owner] if fits else [*codes, owner]
+    if fits:
+        codes[-1] <<= np.uint64(owner_bits)
+        codes[-1] |= owner
+        keys = codes
+    else:
+        keys = [*codes, owner]
+    del letter, owner, codes
+    for i in range(len(keys)):
+        keys[i] = keys[i][inside]
+    del inside
     if len(keys) == 1:
         keys[0].sort()
     else:
@@ -110,10 +121,14 @@ def _grams(points: list[np.ndarray], owners: np.ndarray, order: int) -> tuple[li
         keys = [k[by_all] for k in keys]
 
     def begins(columns: list[np.ndarray]) -> np.ndarray:
-        return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))))
+        differ = np.ones(len(columns[0]), bool)
+        np.not_equal(columns[0][1:], columns[0][:-1], out=differ[1:])
+        for c in columns[1:]:
+            differ[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(differ)
 
     first = begins(keys)
-    counts = np.diff(np.append(first, len(at)))
+    counts = np.diff(np.append(first, n))
     keys = [k[first] for k in keys]
     owner = (keys[-1] & np.uint64((1 << owner_bits) - 1)).astype(np.uint32)
     codes = [*keys[:-1], keys[-1] >> np.uint64(owner_bits)] if fits else keys[:-1]
@@ -137,19 +152,22 @@ _POSTINGS = "lang string, gram string, block long, owners binary, counts binary"
 def count_grams(rows: DataFrame, order: int) -> DataFrame:
     """(lang, gram, n) of rows (lang, trains, text): all n-grams, n counting those of rows that train."""
 
+    def counted(lang: str, pieces: list[tuple[tuple, np.ndarray]]) -> pa.RecordBatch:
+        trains = np.array([bool(row[1]) for row, _ in pieces])
+        grams, runs, owner, counts = _grams([points for _, points in pieces], trains.astype(np.uint32), order)
+        n = np.add.reduceat(counts * owner, runs) if grams else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())],
+            names=["lang", "gram", "n"],
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, order):
             for lang, members in _by_language(block):
-                trains = np.array([bool(block[i][0][1]) for i in members])
-                grams, runs, owner, counts = _grams([block[i][1] for i in members], trains.astype(np.uint32), order)
-                n = np.add.reduceat(counts * owner, runs) if grams else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())],
-                    names=["lang", "gram", "n"],
-                )
+                yield counted(lang, [block[i] for i in members])
 
-    counted = rows.select("lang", "trains", "text").mapInArrow(count, _GRAMS)
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = rows.select("lang", "trains", "text").mapInArrow(count, _GRAMS)
+    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 # ---- the model -------------------------------------------------------------------------------------
@@ -230,39 +248,40 @@ def postings(rows: DataFrame, order: int, hot: dict[str, dict[str, float]]) -> D
     """
     shared = rows.sparkSession.sparkContext.broadcast(hot)
 
+    def listed(lang: str, name: int, pieces: list[tuple[tuple, np.ndarray]]) -> pa.RecordBatch:
+        known = shared.value.get(lang, {})
+        grams, runs, owner, counts = _grams([points for _, points in pieces], np.arange(len(pieces), dtype=np.uint32), order)
+        ends = np.append(runs[1:], len(owner))
+        logp = np.array([known.get(g, np.nan) for g in grams], float)
+        each = np.repeat(logp, ends - runs[: len(grams)])
+        here = ~np.isnan(each)
+        sums = np.bincount(owner[here], each[here] * counts[here], minlength=len(pieces))
+        rare = np.flatnonzero(np.isnan(logp))
+        small = owner.astype("<u2")
+        few = counts.astype(np.uint8 if len(counts) == 0 or counts.max() < 256 else "<u4")
+        spans = [(int(runs[g]), int(ends[g])) for g in rare]
+        keys = np.array([row[1:3] for row, _ in pieces], "<i8")
+        sizes = np.array([len(points) - order + 1 for _, points in pieces], "<i8")
+        n = len(rare) + 1
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang] * n, pa.string()),
+                pa.array([None, *(grams[g] for g in rare)], pa.string()),
+                pa.array([name] * n, pa.int64()),
+                pa.array([keys.tobytes(), *(small[a:b].tobytes() for a, b in spans)], pa.binary()),
+                pa.array([sizes.tobytes() + sums.astype("<f8").tobytes(), *(few[a:b].tobytes() for a, b in spans)], pa.binary()),
+            ],
+            names=["lang", "gram", "block", "owners", "counts"],
+        )
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, number = TaskContext.get().partitionId(), 0
         for block in _blocks(batches, order):
             for lang, members in _by_language(block):
-                known = shared.value.get(lang, {})
-                name, number = (task << 32) + number, number + 1
-                grams, runs, owner, counts = _grams(
-                    [block[i][1] for i in members], np.arange(len(members), dtype=np.uint32), order
-                )
-                ends = np.append(runs[1:], len(owner))
-                logp = np.array([known.get(g, np.nan) for g in grams], float)
-                each = np.repeat(logp, ends - runs[: len(grams)])
-                here = ~np.isnan(each)
-                sums = np.bincount(owner[here], each[here] * counts[here], minlength=len(members))
-                rare = np.flatnonzero(np.isnan(logp))
-                small = owner.astype("<u2")
-                few = counts.astype(np.uint8 if len(counts) == 0 or counts.max() < 256 else "<u4")
-                spans = [(int(runs[g]), int(ends[g])) for g in rare]
-                keys = np.array([block[i][0][1:3] for i in members], "<i8")
-                sizes = np.array([len(block[i][1]) - order + 1 for i in members], "<i8")
-                n = len(rare) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * n, pa.string()),
-                        pa.array([None, *(grams[g] for g in rare)], pa.string()),
-                        pa.array([name] * n, pa.int64()),
-                        pa.array([keys.tobytes(), *(small[a:b].tobytes() for a, b in spans)], pa.binary()),
-                        pa.array([sizes.tobytes() + sums.astype("<f8").tobytes(), *(few[a:b].tobytes() for a, b in spans)], pa.binary()),
-                    ],
-                    names=["lang", "gram", "block", "owners", "counts"],
-                )
+                yield listed(lang, (task << 32) + number, [block[i] for i in members])
+                number += 1
 
     return rows.select("lang", "id", "text_key", "text").mapInArrow(post, _POSTINGS)
 

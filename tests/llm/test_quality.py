@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -125,6 +126,17 @@ def test_no_character_of_a_block_is_merged(letters, documents, order):
     assert found == Counter((t[i : i + order], d) for d, t in enumerate(shown) for i in range(len(t) - order + 1))
 
 
+def test_a_full_block_of_one_language_takes_little_memory():
+    rng = np.random.default_rng(3)
+    points = [np.append([2, 2, 2], rng.integers(0, 8, 2_000) + 97).astype(np.uint32) for _ in range(500)]
+    tracemalloc.start()
+    _, _, _, counts = quality._grams(points, np.arange(500, dtype=np.uint32), 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.sum() == 1_000_000
+    assert peak < 48 * counts.sum()
+
+
 def test_many_characters_in_many_short_documents(spark, docs):
     """One block with so many of both that an n-gram and its document need more than 64 bits."""
     rng = random.Random(9)
