@@ -1,7 +1,7 @@
 """Two tokenizers' tokens of the same text, linked where they cover the same bytes.
 
-A document's tokens are cumulative byte ends on either side. Ends that both sides have, found by meeting
-two dictionaries from end to index, cut the document into groups; within a group every token of one side is
+A document's tokens are cumulative byte ends on either side. Ends that both sides have, found by searching
+one sorted list for the other, cut the document into groups; within a group every token of one side is
 linked to every one of the other. How often a pair of ids is linked is counted over documents, and each
 document's links are then weighed by these counts: the most frequent pairs, of a bounded number, where the
 documents are, all others by a join.
@@ -24,6 +24,8 @@ from stagedoor.session import settle
 HOT_PAIRS = 1 << 17
 # Documents that are tokenised together, and characters of them at most.
 BATCH_DOCS, BATCH_CHARS = 256, 1 << 20
+# Strings that are laid out at once; bounds memory for very long texts.
+LAID_OUT = 1 << 18
 # How words are cut before byte pairs are merged, and the mark that stands for a space.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE_MARK = "▁"
@@ -38,13 +40,32 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Strings:
+    """Numbered byte strings, end to end in one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.lengths = np.array(list(map(len, strings)), np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        """The strings of these numbers, one after the other."""
+        return b"".join(self._laid_out(numbers[at : at + LAID_OUT]) for at in range(0, len(numbers), LAID_OUT))
+
+    def _laid_out(self, numbers: np.ndarray) -> bytes:
+        lengths = self.lengths[numbers]
+        before = np.cumsum(lengths) - lengths
+        places = np.repeat(self.starts[numbers] - before, lengths)
+        places += np.arange(len(places))
+        return self.bytes[places].tobytes()
+
+
 @dataclass(frozen=True)
 class Side:
-    """Ids of texts, the bytes of each id, and those of some ids in a row."""
+    """Ids of texts, and the bytes of each id."""
 
     encode: Callable[[list[str]], list[np.ndarray]]
     pieces: list[bytes]
-    join: Callable[[np.ndarray], bytes]
 
 
 def byte_level(path: str) -> Side:
@@ -82,7 +103,7 @@ def byte_level(path: str) -> Side:
             out[i] = np.array(found.ids, np.uint32)
         return out
 
-    return Side(encode, pieces, lambda ids: fast.decode_bytes(ids.tolist()))
+    return Side(encode, pieces)
 
 
 def piece_level(path: str) -> Side:
@@ -96,9 +117,9 @@ def piece_level(path: str) -> Side:
     ]
 
     def encode(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, np.uint32) for ids in model.encode(texts, num_threads=1)]
+        return [np.fromiter(ids, np.uint32, len(ids)) for ids in model.encode(texts, num_threads=1)]
 
-    return Side(encode, pieces, lambda ids: b"".join(map(pieces.__getitem__, ids.tolist())))
+    return Side(encode, pieces)
 
 
 def public_vocabularies(folder: str | None = None) -> tuple[str, str]:
@@ -123,17 +144,17 @@ class Aligned:
     def groups(self) -> int:
         return len(self.left_cuts) - 1
 
-    def written(self, left_names: "Names", right_names: "Names") -> str:
+    def written(self, names: "Names") -> bytes:
         """``a1,a2|b1;a3|b2,b3``: the ids of every group in order.
 
         Each id is written with the mark that follows it, at its place in the whole list: after the right
         tokens of the groups before its own, and those of a right token's own group on the left.
         """
         n, m = np.diff(self.left_cuts), np.diff(self.right_cuts)
-        out = np.empty(len(self.left) + len(self.right), object)
-        out[np.arange(len(self.left)) + np.repeat(self.right_cuts[:-1], n)] = left_names.marked(self.left, self.left_cuts[1:] - 1)
-        out[np.arange(len(self.right)) + np.repeat(self.left_cuts[1:], m)] = right_names.marked(self.right, self.right_cuts[1:] - 1)
-        return "".join(out.tolist())[:-1]
+        out = np.empty(len(self.left) + len(self.right), np.int64)
+        out[np.arange(len(self.left)) + np.repeat(self.right_cuts[:-1], n)] = names.left(self.left, self.left_cuts[1:] - 1)
+        out[np.arange(len(self.right)) + np.repeat(self.left_cuts[1:], m)] = names.right(self.right, self.right_cuts[1:] - 1)
+        return names.strings.joined(out)[:-1]
 
     def links(self, width: int) -> np.ndarray:
         """``left id * width + right id`` of every link, slice by slice."""
@@ -147,25 +168,32 @@ class Aligned:
 
 
 class Names:
-    """Ids in decimal, followed by a comma, or by the mark that ends a group on this side."""
+    """Ids in decimal, followed by a comma, or by the mark that ends a group on their side."""
+
+    def __init__(self, left: int, right: int):
+        self.count = max(left, right)
+        self.strings = Strings([f"{i}{mark}".encode() for mark in ",|;" for i in range(self.count)])
+
+    def left(self, ids: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+        return self._marked(ids, lasts, self.count)
 
-    def __init__(self, count: int, mark: str):
-        self.inner = np.array([f"{i}," for i in range(count)], object)
-        self.last = np.array([f"{i}{mark}" for i in range(count)], object)
+    def right(self, ids: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+        return self._marked(ids, lasts, 2 * self.count)
 
-    def marked(self, ids: np.ndarray, lasts: np.ndarray) -> np.ndarray:
-        out = self.inner[ids]
-        out[lasts] = self.last[ids[lasts]]
+    def _marked(self, ids: np.ndarray, lasts: np.ndarray, mark: int) -> np.ndarray:
+        out = ids.astype(np.int64)
+        out[lasts] += mark
         return out
 
 
 def align(left: np.ndarray, right: np.ndarray, left_lengths: np.ndarray, right_lengths: np.ndarray) -> Aligned:
-    """Groups between the byte ends that both sides have."""
-    one = dict(zip(np.cumsum(left_lengths[left]).tolist(), range(1, len(left) + 1), strict=True))
-    other = dict(zip(np.cumsum(right_lengths[right]).tolist(), range(1, len(right) + 1), strict=True))
-    common = sorted(one.keys() & other.keys())
-    cuts = (np.array([0, *map(ends.__getitem__, common)]) for ends in (one, other))
-    return Aligned(left, right, *cuts)
+    """Groups between the byte ends that both sides have; what has no bytes belongs to the group before it."""
+    ends, others = np.cumsum(left_lengths[left]), np.cumsum(right_lengths[right])
+    upto = np.searchsorted(others, ends, "right")
+    common = others[upto - 1] == ends
+    common &= upto > 0
+    common[:-1] &= ends[1:] != ends[:-1]
+    return Aligned(left, right, np.append(0, np.flatnonzero(common) + 1), np.append(0, upto[common]))
 
 
 _ALIGNED = pa.schema([
@@ -212,8 +240,8 @@ def aligned(
         import hashlib
 
         left, right = byte_level(left_path), piece_level(right_path)
-        lengths = [np.array(list(map(len, side.pieces))) for side in (left, right)]
-        names = Names(len(left.pieces), "|"), Names(len(right.pieces), ";")
+        left_bytes, right_bytes = Strings(left.pieces), Strings(right.pieces)
+        names = Names(len(left.pieces), len(right.pieces))
         width = len(right.pieces)
         for ids, texts in _chunks(batches):
             filled = [t for t in texts if t]
@@ -222,15 +250,14 @@ def aligned(
             for i, t in zip(ids, texts, strict=True):
                 a, b = next(both) if t else ((), ())
                 whole = b" " + t.encode() if t else b""
-                if not t or left.join(a) != whole or right.join(b) != whole:
+                if not t or left_bytes.joined(a) != whole or right_bytes.joined(b) != whole:
                     row = (i, 0, 0, 0, 0, "", [], [])
                 else:
-                    found = align(a, b, *lengths)
+                    found = align(a, b, left_bytes.lengths, right_bytes.lengths)
                     links = found.links(width)
                     pairs, times = np.unique(links, return_counts=True)
-                    groups = found.written(*names)
-                    if digest:
-                        groups = hashlib.sha256(groups.encode()).hexdigest()
+                    groups = found.written(names)
+                    groups = hashlib.sha256(groups).hexdigest() if digest else groups.decode()
                     row = (i, len(a), len(b), found.groups(), len(links), groups, pairs, times)
                 for name, value in zip(_ALIGNED.names, row, strict=True):
                     rows[name].append(value)

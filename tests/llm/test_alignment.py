@@ -1,6 +1,8 @@
 import collections
 import hashlib
+import tracemalloc
 
+import numpy as np
 import pytest
 
 pytest.importorskip("tokenizers")
@@ -113,3 +115,39 @@ def test_both_encoders_agree_where_the_fast_one_is_used(documents):
     texts = [r.text for r in documents.collect()] + mixed
     side = alignment.byte_level(VOCABULARIES[0])
     assert [ids.tolist() for ids in side.encode(texts)] == [exact.encode(" " + t, add_special_tokens=False).ids for t in texts]
+
+
+def test_tokens_are_aligned_without_an_object_each():
+    """Time goes with what is made for a token: some numbers in arrays, not entries of dictionaries."""
+    n = 200_000
+    rng = np.random.default_rng(1)
+    lengths = np.array([1, 2, 3, 0])
+    left = rng.integers(0, 3, n)
+    right = np.concatenate([rng.permutation(left[at : at + 5]) for at in range(0, n, 5)])
+    tracemalloc.start()
+    found = alignment.align(left, right, lengths, lengths)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ends = [np.cumsum(lengths[ids]).tolist() for ids in (left, right)]
+    common = sorted(set(ends[0]) & set(ends[1]))
+    assert found.left_cuts.tolist() == [0, *(np.searchsorted(ends[0], common) + 1)]
+    assert found.right_cuts.tolist() == [0, *(np.searchsorted(ends[1], common) + 1)]
+    assert peak < 80 * n
+
+
+def test_tokens_without_bytes_belong_to_the_group_before():
+    lengths = np.array([1, 2, 3, 0])
+    found = alignment.align(np.array([0, 3, 1, 3]), np.array([2, 3, 3]), lengths, lengths)
+    assert (found.left_cuts.tolist(), found.right_cuts.tolist()) == ([0, 4], [0, 3])
+    found = alignment.align(np.array([3, 1, 3, 0]), np.array([1, 0, 3]), lengths, lengths)
+    assert (found.left_cuts.tolist(), found.right_cuts.tolist()) == ([0, 3, 4], [0, 1, 3])
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 1 << 18])
+def test_strings_are_joined_in_parts(monkeypatch, at_once):
+    monkeypatch.setattr(alignment, "LAID_OUT", at_once)
+    words = [b"", b"a", b"bc", "ß".encode(), b""]
+    numbers = np.array([4, 1, 1, 0, 3, 2, 4, 2], np.uint32)
+    strings = alignment.Strings(words)
+    assert strings.joined(numbers) == b"".join(words[i] for i in numbers)
+    assert strings.joined(numbers[:0]) == b"" == strings.joined(np.array([0, 4]))
